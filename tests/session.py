@@ -1,0 +1,24 @@
+"""The local session of tests, benchmark and comparisons."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import SparkSession
+
+
+def make_session(cpus: int | None = None, name: str = "brokerflow") -> SparkSession:
+    cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
+    spark = (
+        SparkSession.builder.master(f"local[{cpus}]")
+        .appName(name)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.enabled", "true")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark

@@ -111,11 +111,11 @@ class Book:
 
     @cached_property
     def dim_policy(self) -> DataFrame:
-        return settle(score_policies(self.unscored_policies), "dim_policy")
+        return score_policies(self.unscored_policies)
 
     @cached_property
     def fact_claim(self) -> DataFrame:
-        return settle(score_claims(self.unscored_claims), "fact_claim")
+        return score_claims(self.unscored_claims)
 
     @cached_property
     def dim_customer(self) -> DataFrame:

@@ -861,8 +861,7 @@ def stage_log(b: Book) -> DataFrame:
 @query
 def stream_freshness(b: Book) -> DataFrame:
     """Landing totals kept by a stream over the events, aged when read."""
-    schema = testdata.table(b.spark, b.sf_dir, "events").schema
-    events = b.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(b.sf_dir)
+    events = b.spark.readStream.schema(testdata.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(b.sf_dir)
     tables = Tables(b.spark, new_folder(b.spark, "tables"))
     state = new_folder(b.spark, "freshness-state")
     _finish(ingest.stream_freshness(testdata.as_raw_events(events), tables, state, every=None))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,16 +9,17 @@ from brokerflow.config import words
 
 
 def _any_phrase(phrases) -> str:
-    return r"\b(" + "|".join(re.escape(p).replace(r"\ ", " ").replace(r"\&", "&") for p in phrases) + r")\b"
+    return r"\b(" + "|".join(phrases) + r")\b"
 
 
-def classify_product(text: Column) -> Column:
+def classify_product(product: Column) -> Column:
     """One of the eight product lines; OTHER for NULL or unclear text."""
-    lowered = F.lower(F.coalesce(text, F.lit("unknown")))
-    line = F.lit(None)
-    for name, phrases in reversed(words.PRODUCT_PHRASES):
-        line = F.when(lowered.rlike(_any_phrase(phrases)), F.lit(name)).otherwise(line)
-    return F.coalesce(line, F.lit("OTHER"))
+    lowered = F.lower(F.coalesce(product, F.lit("unknown")))
+    (first, phrases), *others = words.PRODUCT_PHRASES
+    line = F.when(lowered.rlike(_any_phrase(phrases)), first)
+    for name, phrases in others:
+        line = line.when(lowered.rlike(_any_phrase(phrases)), name)
+    return line.otherwise("OTHER")
 
 
 def claim_sentiment(narrative: Column) -> Column:

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerflow.plans.scratch import fits_broadcast, settle
+from brokerflow.plans.scratch import fits_broadcast, settle_measured
 
 # Every key holding more than 1/HOT_KEYS of the rows is among the HOT_KEYS most frequent ones.
 HOT_KEYS = 1000
@@ -105,8 +105,8 @@ def lookup_join(
     The lookup is written out once, measured, and broadcast only if it fits.
     """
     keys = list(keys)
-    table = settle(lookup, name)
-    if fits_broadcast(table):
+    table, size = settle_measured(lookup, name)
+    if fits_broadcast(size):
         values = [c for c in table.columns if c not in keys]
         return rows.join(F.broadcast(table), keys, how).select(*rows.columns, *values)
     return hot_key_join(rows, table, keys, spread_by, how)

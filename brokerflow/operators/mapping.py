@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from brokerflow.config.brokers import BROKERS
 from brokerflow.config.canonical import FIELDS, mapped_fields
 from brokerflow.functions.payload import header_signature, with_payload_map
+from brokerflow.functions.sqltext import name, text
 from brokerflow.operators.joins import lookup_join
 from brokerflow.plans.scratch import settle
 
@@ -29,13 +31,11 @@ def to_broker_format(layouts: dict[str, dict[str, str]]) -> Column:
 
     Columns outside the layout, such as internal ones, are left out. NULL for an unknown broker.
     """
-    native = F.lit(None).cast("string")
+    cases = []
     for code, headers in layouts.items():
-        record = F.struct(*[F.col(field).alias(header) for header, field in headers.items()])
-        native = F.when(
-            F.col("broker_code") == code, F.to_json(record, {"ignoreNullFields": "false"})
-        ).otherwise(native)
-    return native
+        record = ", ".join(f"{name(field)} AS {name(header)}" for header, field in headers.items())
+        cases.append(f"WHEN {text(code)} THEN to_json(struct({record}), map('ignoreNullFields', 'false'))")
+    return F.expr(f"CASE broker_code {' '.join(cases)} END")
 
 
 def with_signature(raw: DataFrame) -> DataFrame:
@@ -131,11 +131,11 @@ def _bare(text: str) -> str:
 
 def known_headers() -> list[tuple[str, str, str]]:
     """(record type, bare header, canonical field) from the canonical names and all broker layouts."""
-    names = {(entity, _bare(f), f) for entity in FIELDS for f in mapped_fields(entity)}
+    known = {(entity, _bare(f), f) for entity in FIELDS for f in mapped_fields(entity)}
     for broker in BROKERS.values():
         for entity, headers in broker.headers.items():
-            names |= {(entity, _bare(h), f) for h, f in headers.items()}
-    return sorted(names)
+            known |= {(entity, _bare(h), f) for h, f in headers.items()}
+    return sorted(known)
 
 
 def match_headers(unmapped: DataFrame, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
@@ -144,11 +144,9 @@ def match_headers(unmapped: DataFrame, min_similarity: float = MIN_SIMILARITY) -
     A header scores 1 on equality after dropping case and punctuation, else 1 - edit distance over
     length. Every header proposes its best field; a field takes its best header.
     """
-    known = F.array(
-        *[
-            F.struct(F.lit(e).alias("entity"), F.lit(h).alias("known"), F.lit(f).alias("field"))
-            for e, h, f in known_headers()
-        ]
+    known = F.from_json(
+        F.lit(json.dumps([dict(zip(("entity", "known", "field"), k)) for k in known_headers()])),
+        "array<struct<entity:string,known:string,field:string>>",
     )
     headers = unmapped.select(
         "record_type", "header_signature", F.explode("source_headers").alias("header")
@@ -210,13 +208,13 @@ def invert_mapping(registry: DataFrame, entity: str) -> DataFrame:
     When several headers point at a field, the greatest header wins.
     """
 
-    def headers_of(field: str) -> Column:
-        return F.map_keys(F.map_filter("mapping", lambda _, target: target == field))
-
-    source = [F.array_max(headers_of(f)).alias(f) for f in mapped_fields(entity)]
+    source = ", ".join(
+        f"array_max(map_keys(map_filter(mapping, (header, target) -> target = {text(f)}))) AS {name(f)}"
+        for f in mapped_fields(entity)
+    )
     return registry.where((F.col("record_type") == entity) & F.col("mapping").isNotNull()).select(
         "header_signature", "mapping_source", F.col("confidence").alias("mapping_confidence"),
-        F.struct(*source).alias("source"),
+        F.expr(f"struct({source}) AS source"),
     )
 
 
@@ -226,10 +224,10 @@ def project_canonical(raw: DataFrame, registry: DataFrame, entity: str) -> DataF
     mapped = lookup_join(
         signed, invert_mapping(registry, entity), ["header_signature"], ["raw_id"], "inner", "registry"
     )
-    return mapped.select(
+    return mapped.selectExpr(
         "raw_id",
         "broker_code",
-        *[F.col("payload_map")[F.col(f"source.{f}")].alias(f) for f in mapped_fields(entity)],
+        *[f"payload_map[source.{name(f)}] AS {name(f)}" for f in mapped_fields(entity)],
         "mapping_source",
         "mapping_confidence",
         "ingested_at",

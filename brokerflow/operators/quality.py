@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from brokerflow.config.rules import EXPLANATION_CAP, RULES, SEVERITIES, Rule
 from brokerflow.functions.compute import once
+from brokerflow.functions.sqltext import name, text
 from brokerflow.operators.joins import hot_key_join, joint_key
 from brokerflow.operators.upsert import upsert
 
@@ -90,11 +91,13 @@ def with_policy(claims: DataFrame, policies: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- evaluation
 
-def _observed(rule: Rule) -> Column:
-    shown = [
-        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("NULL"))) for c in rule.columns
-    ]
-    return F.concat_ws(", ", *shown)
+def _verdict(rule: Rule) -> str:
+    passed = f"coalesce({rule.expression}, false)"
+    shown = ", ".join(f"concat('{c}=', coalesce(cast({name(c)} AS string), 'NULL'))" for c in rule.columns)
+    return (
+        f"struct({text(rule.rule_id)} AS rule_id, {text(rule.severity)} AS severity, {passed} AS passed, "
+        f"CASE WHEN NOT {passed} THEN concat_ws(', ', {shown}) END AS observed_value)"
+    )
 
 
 def check(staged: DataFrame, rules: Sequence[Rule], as_of: dt.date) -> DataFrame:
@@ -103,18 +106,8 @@ def check(staged: DataFrame, rules: Sequence[Rule], as_of: dt.date) -> DataFrame
     A rule that does not fit the columns is rejected before any job starts.
     """
     dated = staged.withColumn("as_of", F.lit(as_of))
-
-    def verdict(rule: Rule) -> Column:
-        passed = F.coalesce(F.expr(rule.expression), F.lit(False))
-        return F.struct(
-            F.lit(rule.rule_id).alias("rule_id"),
-            F.lit(rule.severity).alias("severity"),
-            passed.alias("passed"),
-            F.when(~passed, _observed(rule)).alias("observed_value"),
-        )
-
-    checked = once(dated, "verdicts", F.array(*[verdict(r) for r in rules])).drop("as_of")
-    return checked.withColumn("dq_status", _status())
+    verdicts = F.expr(f"array({', '.join(_verdict(r) for r in rules)})")
+    return once(dated, "verdicts", verdicts).drop("as_of").withColumn("dq_status", _status())
 
 
 def _status() -> Column:

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brokerflow.config.brokers import BROKERS
 from brokerflow.config.canonical import PRODUCT_LINES
 from brokerflow.functions.cleaning import days_between
 from brokerflow.functions.keys import customer_id, surrogate_key
+from brokerflow.functions.sqltext import text
 from brokerflow.functions.text import customer_segment, risk_tier
 from brokerflow.operators.upsert import latest_per_key, upsert
 
@@ -25,24 +26,22 @@ POLICY_UPDATES = [
 CLAIM_UPDATES = ["claim_status", "claim_amount", "reported_date", "reporting_lag_days", "sentiment_score"]
 
 
-def broker_name(code: Column) -> Column:
-    name = code
-    for broker in BROKERS.values():
-        name = F.when(code == broker.code, broker.display_name).otherwise(name)
-    return name
+def _of_broker(attribute: str, default: str) -> str:
+    cases = " ".join(f"WHEN {text(b.code)} THEN {text(getattr(b, attribute))}" for b in BROKERS.values())
+    return f"CASE broker_code {cases} ELSE {default} END"
 
 
 def broker_rows(policies: DataFrame, claims: DataFrame) -> DataFrame:
-    """Every broker code of staging, each table collapsed before they meet."""
+    """Every broker code of staging, each table collapsed before they meet.
+
+    A broker that is not configured is named by its code.
+    """
     codes = policies.select("broker_code").distinct().union(claims.select("broker_code").distinct()).distinct()
-    source_format = F.lit(None)
-    for broker in BROKERS.values():
-        source_format = F.when(F.col("broker_code") == broker.code, broker.format).otherwise(source_format)
     return codes.where(F.col("broker_code").isNotNull()).select(
         surrogate_key(F.col("broker_code")).alias("broker_key"),
         "broker_code",
-        broker_name(F.col("broker_code")).alias("broker_name"),
-        source_format.alias("source_format"),
+        F.expr(f"{_of_broker('display_name', 'broker_code')} AS broker_name"),
+        F.expr(f"{_of_broker('format', 'NULL')} AS source_format"),
     )
 
 

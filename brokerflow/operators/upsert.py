@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerflow.plans.scratch import fits_broadcast, settle
+from brokerflow.plans.scratch import fits_broadcast, settle_measured
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -38,7 +38,7 @@ def upsert(
     if target is None:
         return source.select(*keys, *insert_cols)
 
-    new = settle(source, "upsert")
+    new, size = settle_measured(source, "upsert")
     fields = {f.name: f.dataType for f in target.schema.fields}
 
     def inserted(name: str) -> Column:
@@ -56,7 +56,7 @@ def upsert(
             return F.col(name)
         return F.when(F.col("_matched"), F.col(f"_new_{name}").cast(fields[name])).otherwise(F.col(name)).alias(name)
 
-    if fits_broadcast(new):
+    if fits_broadcast(size):
         kept = target.join(F.broadcast(renamed), keys, "left").select(*[merged(c) for c in fields])
         known = target.join(F.broadcast(renamed.select(*keys)), keys, "left_semi").select(*keys)
         added = new.join(F.broadcast(known), keys, "left_anti")  # known: at most the source's keys

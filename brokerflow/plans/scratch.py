@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A lookup table is sent to every executor only up to this many bytes of row text.
@@ -36,18 +36,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write once, read many times."""
-    spark = df.sparkSession
-    path = new_folder(spark, name)
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(settled: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the text of all rows of a settled frame stays below the limit (measured, not guessed)."""
-    size = settled.agg(
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes")
-    ).first()["bytes"]
-    return size <= limit
+def settle_measured(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``settle``, and the bytes of all rows as text, summed up while they are written."""
+    size = Observation()
+    row_bytes = F.octet_length(F.to_json(F.struct("*")))
+    settled = settle(df.observe(size, F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")), name)
+    return settled, size.get["bytes"]
+
+
+def fits_broadcast(size: int) -> bool:
+    return size <= BROADCAST_BYTES
 
 
 def release(spark: SparkSession) -> None:

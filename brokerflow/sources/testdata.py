@@ -9,12 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brokerflow.config.brokers import BROKERS, CLAIM_TOPIC, POLICY_TOPIC
 from brokerflow.functions import keys
-from brokerflow.functions.cleaning import MONEY, days_between
 from brokerflow.functions.compute import once
 from brokerflow.functions.text import claim_sentiment, classify_product
 from brokerflow.operators.mapping import to_broker_format
@@ -22,226 +21,206 @@ from brokerflow.operators.mapping import to_broker_format
 AS_OF = dt.date(2001, 12, 31)
 EVENTS_AS_OF = dt.datetime(2024, 1, 30, 23, 59, 0)
 
+SCHEMAS = {
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
 # Values of the test records.
-BROKER_CODES = ("BRK_ALPHA", "BRK_BETA", "BRK_GAMMA")
-PRODUCT_NAMES = (
-    "Private Motor", "Buildings & Contents", "Term Life", "Private Medical", "Worldwide Travel",
-    "Business Pack", "Marine Cargo",
+_BROKER = "element_at(array('BRK_ALPHA', 'BRK_BETA', 'BRK_GAMMA'), cast({} % 3 + 1 AS int))"
+_PRODUCT = (
+    "element_at(array('Private Motor', 'Buildings & Contents', 'Term Life', 'Private Medical', "
+    "'Worldwide Travel', 'Business Pack', 'Marine Cargo'), cast(o_orderkey % 7 + 1 AS int))"
+)
+_STATE = (
+    "element_at(array('OPEN', 'IN_REVIEW', 'APPROVED', 'PAID', 'DENIED', 'CLOSED'), cast(l_partkey % 6 + 1 AS int))"
 )
-CLAIM_STATES = ("OPEN", "IN_REVIEW", "APPROVED", "PAID", "DENIED", "CLOSED")
-NARRATIVES = (
-    "Minor damage to the rear bumper, repaired quickly.",
-    "Burst pipe caused severe water damage.",
-    "Windscreen cracked by road debris.",
-    "Bicycle stolen from the garage, theft reported.",
-    "Claim settled after prompt inspection.",
-    "Routine notification without further detail.",
+_NARRATIVE = (
+    "element_at(array('Minor damage to the rear bumper, repaired quickly.', "
+    "'Burst pipe caused severe water damage.', 'Windscreen cracked by road debris.', "
+    "'Bicycle stolen from the garage, theft reported.', 'Claim settled after prompt inspection.', "
+    "'Routine notification without further detail.'), cast(l_suppkey % 6 + 1 AS int))"
 )
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _pick(index: Column, values) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical policies, one per order."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    key = F.col("o_orderkey")
-    k = key % 100
-    price = F.col("o_totalprice").cast(MONEY)
-    ordered = F.col("o_orderdate").cast("date")
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        key.alias("order_key"),
-        _pick(key % 3, BROKER_CODES).alias("broker_code"),
-        F.when(k == 7, "")
-        .when(k == 37, F.concat(F.lit("POL-"), (key - 3).cast("string")))
-        .otherwise(F.concat(F.lit("POL-"), key.cast("string")))
-        .alias("policy_number"),
-        F.when(k == 13, "").otherwise(F.col("c_name")).alias("customer_name"),
-        F.when(k == 29, "Unlisted cover").otherwise(_pick(key % 7, PRODUCT_NAMES)).alias("product_name"),
-        F.when(k == 3, -price).when(k == 17, price * 25).when(k != 31, price).cast(MONEY).alias("premium_amount"),
-        F.when(k == 19, F.lit(1)).otherwise(price * 30).cast(MONEY).alias("sum_insured"),
-        F.when(k == 11, F.date_add(ordered, 365)).otherwise(ordered).alias("effective_date"),
-        F.when(k == 11, ordered)
-        .when(k == 23, F.date_add(ordered, 365 + 2190))
-        .otherwise(F.date_add(ordered, 365))
-        .alias("expiry_date"),
-        F.concat(F.lit("AG"), (100 + F.col("o_custkey") % 900).cast("string")).alias("broker_agent"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("ingested_at"),
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderkey % 100 AS k",
+        "cast(o_totalprice AS decimal(18,2)) AS price",
+        "cast(o_orderdate AS date) AS ordered",
+        "o_orderdate AS ingested_at",
+    )
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey AS o_custkey", "c_name")
+    return orders.join(customers, "o_custkey").selectExpr(
+        "o_orderkey AS order_key",
+        f"{_BROKER.format('o_orderkey')} AS broker_code",
+        "CASE k WHEN 7 THEN '' WHEN 37 THEN 'POL-' || (o_orderkey - 3) ELSE 'POL-' || o_orderkey END AS policy_number",
+        "CASE k WHEN 13 THEN '' ELSE c_name END AS customer_name",
+        f"CASE k WHEN 29 THEN 'Unlisted cover' ELSE {_PRODUCT} END AS product_name",
+        "cast(CASE k WHEN 3 THEN -price WHEN 17 THEN price * 25 WHEN 31 THEN NULL ELSE price END AS decimal(18,2))"
+        " AS premium_amount",
+        "cast(CASE k WHEN 19 THEN 1 ELSE price * 30 END AS decimal(18,2)) AS sum_insured",
+        "CASE k WHEN 11 THEN date_add(ordered, 365) ELSE ordered END AS effective_date",
+        "CASE k WHEN 11 THEN ordered WHEN 23 THEN date_add(ordered, 2555) ELSE date_add(ordered, 365) END AS expiry_date",
+        "'AG' || (100 + o_custkey % 900) AS broker_agent",
+        "ingested_at",
     )
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical claims, one per returned line."""
     lines = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
-    part, supp = F.col("l_partkey"), F.col("l_suppkey")
-    j = (part + supp) % 100
-    amount = F.col("l_extendedprice").cast(MONEY)
-    as_of = F.lit(AS_OF)
-    shipped = F.col("l_shipdate").cast("date")
-    loss = F.when(j == 3, F.date_add(as_of, 10)).otherwise(shipped)
-    number = F.concat_ws(
-        "-", F.lit("CLM"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
-        part.cast("string"), supp.cast("string"),
+    shaped = lines.selectExpr(
+        "l_orderkey AS order_key",
+        "(l_partkey + l_suppkey) % 100 AS defect",
+        "concat_ws('-', 'CLM', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line_id",
+        "cast(l_extendedprice AS decimal(18,2)) AS amount",
+        "cast(l_shipdate AS date) AS shipped",
+        "cast(l_partkey % 46 AS int) AS delay",
+        f"{_STATE} AS state",
+        f"CASE WHEN l_suppkey % 11 <> 0 THEN {_NARRATIVE} END AS loss_description",
+        "l_shipdate AS ingested_at",
     )
-    order = F.col("l_orderkey").cast("string")
-    return lines.select(
-        F.col("l_orderkey").alias("order_key"),
-        j.alias("defect"),
-        number.alias("line_id"),
-        _pick(F.col("l_orderkey") % 3, BROKER_CODES).alias("broker_code"),
-        F.when(j == 29, "").otherwise(number).alias("claim_number"),
-        F.when(j == 13, "")
-        .when(j == 23, F.concat(F.lit("POL-X"), order))
-        .otherwise(F.concat(F.lit("POL-"), order))
-        .alias("policy_number"),
-        loss.alias("loss_date"),
-        F.when(j == 3, F.date_add(as_of, 12))
-        .when(j == 7, F.date_add(loss, -5))
-        .when(j == 17, F.date_add(loss, 400))
-        .otherwise(F.date_add(loss, (part % 46).cast("int")))
-        .alias("reported_date"),
-        F.when(j == 11, -amount).when(j == 31, amount * 25).otherwise(amount).cast(MONEY).alias("claim_amount"),
-        F.when(j == 19, "UNKNOWN").otherwise(_pick(part % 6, CLAIM_STATES)).alias("claim_status"),
-        F.when(supp % 11 != 0, _pick(supp % 6, NARRATIVES)).alias("loss_description"),
-        F.col("l_shipdate").cast("timestamp_ntz").alias("ingested_at"),
+    today = f"DATE '{AS_OF}'"
+    return shaped.selectExpr(
+        "order_key",
+        "defect",
+        "line_id",
+        f"{_BROKER.format('order_key')} AS broker_code",
+        "CASE defect WHEN 29 THEN '' ELSE line_id END AS claim_number",
+        "CASE defect WHEN 13 THEN '' WHEN 23 THEN 'POL-X' || order_key ELSE 'POL-' || order_key END AS policy_number",
+        f"CASE defect WHEN 3 THEN date_add({today}, 10) ELSE shipped END AS loss_date",
+        f"CASE defect WHEN 3 THEN date_add({today}, 12) WHEN 7 THEN date_add(shipped, -5)"
+        " WHEN 17 THEN date_add(shipped, 400) ELSE date_add(shipped, delay) END AS reported_date",
+        "cast(CASE defect WHEN 11 THEN -amount WHEN 31 THEN amount * 25 ELSE amount END AS decimal(18,2)) AS claim_amount",
+        "CASE defect WHEN 19 THEN 'UNKNOWN' ELSE state END AS claim_status",
+        "loss_description",
+        "ingested_at",
     )
 
 
-def policy_offset() -> Column:
-    return F.col("order_key")
-
-
-def claim_offset() -> Column:
-    """A 60-bit number from the line's identity, since several lines share an order."""
-    return F.conv(F.substring(F.md5("line_id"), 1, 15), 16, 10).cast("long")
+# Place of a record in its topic. Several lines share an order, so a claim's offset is a 60-bit number
+# from the line's identity.
+POLICY_OFFSET = "order_key"
+CLAIM_OFFSET = "cast(conv(substring(md5(line_id), 1, 15), 16, 10) AS long)"
 
 
 def staged_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The policies as they stand in staging, classified, waiting for the quality checks."""
-    raw = keys.raw_id(F.lit(POLICY_TOPIC), F.col("order_key") % 3, policy_offset())
+    raw = keys.raw_id(F.lit(POLICY_TOPIC), F.expr("order_key % 3"), F.expr(POLICY_OFFSET))
     return policies(spark, sf_dir).select(
         keys.staged_id(raw).alias("stg_id"),
         raw.alias("raw_id"),
         "broker_code", "policy_number", "customer_name", "product_name",
         classify_product(F.col("product_name")).alias("product_line"),
         "premium_amount", "sum_insured", "effective_date", "expiry_date", "broker_agent",
-        F.lit("seed").alias("mapping_source"),
-        F.lit(1.0).alias("mapping_confidence"),
-        F.col("ingested_at").alias("loaded_at"),
+        F.expr("'seed' AS mapping_source"),
+        F.expr("1.0D AS mapping_confidence"),
+        F.expr("ingested_at AS loaded_at"),
     )
 
 
 def staged_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The claims as they stand in staging, waiting for the quality checks."""
-    raw = keys.raw_id(F.lit(CLAIM_TOPIC), F.col("order_key") % 3, claim_offset())
+    raw = keys.raw_id(F.lit(CLAIM_TOPIC), F.expr("order_key % 3"), F.expr(CLAIM_OFFSET))
     return claims(spark, sf_dir).select(
         keys.staged_id(raw).alias("stg_id"),
         raw.alias("raw_id"),
         "broker_code", "claim_number", "policy_number", "loss_date", "reported_date", "claim_amount",
         "claim_status", "loss_description",
-        days_between(F.col("loss_date"), F.col("reported_date")).alias("reporting_lag_days"),
+        F.expr("datediff(reported_date, loss_date) AS reporting_lag_days"),
         claim_sentiment(F.col("loss_description")).alias("sentiment_score"),
-        F.col("ingested_at").alias("loaded_at"),
+        F.expr("ingested_at AS loaded_at"),
     )
 
 
 # ---------------------------------------------------------------- wire form
 
-UNSEEN_LAYOUT_DEFECT = 73
+UNSEEN_LAYOUT = 73
+# ALPHA and GAMMA write amounts as text, BETA as a JSON number.
+_NUMBERS = {"premium_amount": "premium_number", "claim_amount": "claim_number_amount"}
 
 
-def _wire_date(date: Column, defect: Column) -> Column:
+def _wire_date(column: str) -> str:
     return (
-        F.when(defect == 79, F.date_format(date, "dd-MMM-yyyy"))
-        .when(defect == 83, F.date_format(date, "MM/dd/yyyy"))
-        .when(F.col("broker_code") == "BRK_BETA", F.date_format(date, "dd/MM/yyyy"))
-        .otherwise(F.date_format(date, "yyyy-MM-dd"))
+        f"CASE WHEN defect = 79 THEN date_format({column}, 'dd-MMM-yyyy') "
+        f"WHEN defect = 83 THEN date_format({column}, 'MM/dd/yyyy') "
+        f"WHEN broker_code = 'BRK_BETA' THEN date_format({column}, 'dd/MM/yyyy') "
+        f"ELSE date_format({column}, 'yyyy-MM-dd') END AS {column}"
     )
 
 
-def _wire_money(amount: Column) -> Column:
-    """'$12.50', 12.50 or 'USD 12.50' by broker; 'n/a' when there is no amount."""
-    text = amount.cast("string")
-    return F.parse_json(
-        F.when(amount.isNull(), '"n/a"')
-        .when(F.col("broker_code") == "BRK_ALPHA", F.concat(F.lit('"$'), text, F.lit('"')))
-        .when(F.col("broker_code") == "BRK_BETA", text)
-        .otherwise(F.concat(F.lit('"USD '), text, F.lit('"')))
-    )
+def _wire_money(column: str) -> list[str]:
+    """'$12.50' or 'USD 12.50' as text, 'n/a' without an amount; and the number itself."""
+    return [
+        f"coalesce(CASE broker_code WHEN 'BRK_ALPHA' THEN '$' ELSE 'USD ' END || {column}, 'n/a') AS {column}",
+        f"{column} AS {_NUMBERS[column]}",
+    ]
 
 
-def _padded(text: Column, defect: Column) -> Column:
-    return F.when(defect == 89, F.concat(F.lit("  "), text, F.lit(" "))).otherwise(text)
+def _padded(column: str) -> str:
+    return f"CASE defect WHEN 89 THEN '  ' || {column} || ' ' ELSE {column} END AS {column}"
 
 
-def _messages(wire: DataFrame, entity: str, topic: str, record_type: Column, offset: Column) -> DataFrame:
-    d = F.col("defect")
-    layouts = {b.code: b.headers[entity] for b in BROKERS.values()}
+def _messages(wire: DataFrame, entity: str, topic: str, record_type: str, offset: str) -> DataFrame:
+    layouts = {b.code: dict(b.headers[entity]) for b in BROKERS.values()}
     titles = {f.replace("_", " ").title(): f for f in layouts["BRK_ALPHA"].values()}
-    payload = F.when(
-        d == UNSEEN_LAYOUT_DEFECT, F.to_json(F.struct(*[F.col(f).alias(h) for h, f in titles.items()]))
-    ).otherwise(to_broker_format(layouts))
-    source_format = F.lit(None)
-    for broker in BROKERS.values():
-        source_format = F.when(F.col("broker_code") == broker.code, broker.format).otherwise(source_format)
-    value = F.to_json(
-        F.struct(
-            F.when(d != 41, F.col("broker_code")).alias("broker_code"),
-            source_format.alias("source_format"),
-            record_type.alias("record_type"),
-            F.when(d != 43, F.parse_json(payload)).alias("payload"),
-        )
+    layouts["BRK_BETA"] = {h: _NUMBERS.get(f, f) for h, f in layouts["BRK_BETA"].items()}
+    unseen = ", ".join(f"{field} AS `{header}`" for header, field in titles.items())
+    payload = F.when(F.col("defect") == UNSEEN_LAYOUT, F.expr(f"to_json(struct({unseen}))")).otherwise(
+        to_broker_format(layouts)
     )
-    sent = once(wire, "_value", value).select(
-        F.when(d == 67, "").otherwise(F.col("message_key")).cast("binary").alias("key"),
-        F.when(d == 47, F.substring("_value", 1, 60)).otherwise(F.col("_value")).cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        (F.col("order_key") % 3).cast("int").alias("partition"),
-        offset.alias("offset"),
-        F.col("ingested_at").alias("timestamp"),
-        F.when(d == 61, 2).otherwise(1).alias("copies"),
-    )
-    return sent.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("_copy", "copies")
+    value = """concat('{', concat_ws(', ',
+        CASE WHEN defect <> 41 THEN '"broker_code": "' || broker_code || '"' END,
+        CASE broker_code WHEN 'BRK_BETA' THEN '"source_format": "json"' ELSE '"source_format": "csv"' END,
+        '"record_type": "' || record_type || '"',
+        CASE WHEN defect <> 43 THEN '"payload": ' || payload END), '}')"""
+    sent = once(wire.withColumn("record_type", F.expr(record_type)), "payload", payload)
+    return sent.selectExpr(
+        "cast(CASE defect WHEN 67 THEN '' ELSE message_key END AS binary) AS key",
+        f"cast(CASE defect WHEN 47 THEN substring({value}, 1, 60) ELSE {value} END AS binary) AS value",
+        f"'{topic}' AS topic",
+        "cast(order_key % 3 AS int) AS partition",
+        f"{offset} AS offset",
+        "ingested_at AS timestamp",
+        "explode(CASE defect WHEN 61 THEN array(1, 2) ELSE array(1) END) AS copy",
+    ).drop("copy")
 
 
 def policy_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log records of the policy topic, in the columns of the Kafka source."""
-    rows = policies(spark, sf_dir).withColumn("defect", F.col("order_key") % 100)
-    d = F.col("defect")
-    wire = rows.select(
-        "order_key", "defect", "broker_code", "policy_number",
-        F.col("policy_number").alias("message_key"),
-        _padded(F.col("customer_name"), d).alias("customer_name"),
-        "product_name",
-        _wire_money(F.col("premium_amount")).alias("premium_amount"),
-        "sum_insured",
-        _wire_date(F.col("effective_date"), d).alias("effective_date"),
-        _wire_date(F.col("expiry_date"), d).alias("expiry_date"),
-        "broker_agent", "ingested_at",
+    wire = policies(spark, sf_dir).withColumn("defect", F.expr("order_key % 100")).selectExpr(
+        "order_key", "defect", "broker_code", "policy_number", "policy_number AS message_key", _padded("customer_name"),
+        "product_name", *_wire_money("premium_amount"), "sum_insured", _wire_date("effective_date"),
+        _wire_date("expiry_date"), "broker_agent", "ingested_at",
     )
-    record_type = F.when(d == 53, "endorsement").when(d != 59, "policy")
-    return _messages(wire, "policy", POLICY_TOPIC, record_type, policy_offset())
+    record_type = "CASE defect WHEN 53 THEN 'endorsement' WHEN 59 THEN NULL ELSE 'policy' END"
+    return _messages(wire, "policy", POLICY_TOPIC, record_type, POLICY_OFFSET)
 
 
 def claim_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log records of the claim topic, in the columns of the Kafka source."""
-    d = F.col("defect")
-    wire = claims(spark, sf_dir).select(
-        "order_key", "defect", "line_id", "broker_code", "claim_number", "policy_number",
-        F.col("claim_number").alias("message_key"),
-        _wire_date(F.col("loss_date"), d).alias("loss_date"),
-        _wire_date(F.col("reported_date"), d).alias("reported_date"),
-        _wire_money(F.col("claim_amount")).alias("claim_amount"),
-        _padded(F.when(d == 89, F.lower("claim_status")).otherwise(F.col("claim_status")), d).alias("claim_status"),
+    rows = claims(spark, sf_dir).withColumn(
+        "claim_status", F.expr("CASE defect WHEN 89 THEN lower(claim_status) ELSE claim_status END")
+    )
+    wire = rows.selectExpr(
+        "order_key", "defect", "line_id", "broker_code", "claim_number", "policy_number", "claim_number AS message_key",
+        _wire_date("loss_date"), _wire_date("reported_date"), *_wire_money("claim_amount"), _padded("claim_status"),
         "loss_description", "ingested_at",
     )
-    return _messages(wire, "claim", CLAIM_TOPIC, F.lit("claim"), claim_offset())
+    return _messages(wire, "claim", CLAIM_TOPIC, "'claim'", CLAIM_OFFSET)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,8 +229,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_raw_events(events: DataFrame) -> DataFrame:
-    return events.select(
-        _pick(F.col("user_id") % 3, BROKER_CODES).alias("broker_code"),
-        F.when(F.col("event_type").isin("purchase", "signup"), "policy").otherwise("claim").alias("record_type"),
-        F.col("ts").cast("timestamp_ntz").alias("ingested_at"),
+    return events.selectExpr(
+        f"{_BROKER.format('user_id')} AS broker_code",
+        "CASE WHEN event_type IN ('purchase', 'signup') THEN 'policy' ELSE 'claim' END AS record_type",
+        "ts AS ingested_at",
     )

@@ -173,6 +173,10 @@ class BookStar:
     def dim_policy(self) -> DataFrame:
         return self._book.dim_policy if self._scored else self._book.unscored_policies
 
+    @property
+    def stored_policies(self) -> DataFrame:
+        return self._book.unscored_policies
+
     @property
     def fact_claim(self) -> DataFrame:
         return self._book.fact_claim if self._scored else self._book.unscored_claims

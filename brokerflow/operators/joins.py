@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerflow.plans.scratch import fits_broadcast, settle_measured
+from brokerflow.plans.scratch import fits_broadcast, settle_measured, stored_size
 
 # Every key holding more than 1/HOT_KEYS of the rows is among the HOT_KEYS most frequent ones.
 HOT_KEYS = 1000
@@ -99,13 +99,15 @@ def lookup_join(
     spread_by: Sequence[str],
     how: str = "left",
     name: str = "lookup",
+    stored: bool = False,
 ) -> DataFrame:
-    """Join to a lookup that is expected to be small; its size decides how.
+    """Join to a lookup (unique on ``keys``) in the way its measured size allows.
 
-    The lookup is written out once, measured, and broadcast only if it fits.
+    The lookup is written out and measured on the way, unless it is ``stored`` already. It is
+    broadcast only if it fits; otherwise ``hot_key_join`` does the work.
     """
     keys = list(keys)
-    table, size = settle_measured(lookup, name)
+    table, size = (lookup, stored_size(lookup)) if stored else settle_measured(lookup, name)
     if fits_broadcast(size):
         values = [c for c in table.columns if c not in keys]
         return rows.join(F.broadcast(table), keys, how).select(*rows.columns, *values)

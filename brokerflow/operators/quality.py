@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from brokerflow.config.rules import EXPLANATION_CAP, RULES, SEVERITIES, Rule
 from brokerflow.functions.compute import once
 from brokerflow.functions.sqltext import name, text
-from brokerflow.operators.joins import hot_key_join, joint_key
+from brokerflow.operators.joins import joint_key, lookup_join
 from brokerflow.operators.upsert import upsert
 
 PROMOTABLE = ("PASS", "WARN")
@@ -71,12 +71,12 @@ def with_policy_copies(staged: DataFrame) -> DataFrame:
     repeated = (
         keyed.groupBy("_pair").agg(F.count("*").alias("policy_copies")).where(F.col("policy_copies") > 1)
     )
-    joined = hot_key_join(keyed, repeated, ["_pair"], ["stg_id"])
+    joined = lookup_join(keyed, repeated, ["_pair"], ["stg_id"], name="repeated")
     return joined.withColumn("policy_copies", F.coalesce("policy_copies", F.lit(1))).drop("_pair")
 
 
 def with_policy(claims: DataFrame, policies: DataFrame) -> DataFrame:
-    """Add the keys of the referenced policy and whether it exists.
+    """Add the keys of the referenced policy and whether it exists. ``policies`` is a stored table.
 
     One join serves the referential rule and the claim fact. A policy with a third of all claims is
     spread over the tasks.
@@ -85,7 +85,7 @@ def with_policy(claims: DataFrame, policies: DataFrame) -> DataFrame:
         "policy_number", F.lit(True).alias("policy_exists"), "policy_key", "broker_key", "customer_key",
         "product_key",
     )
-    joined = hot_key_join(claims, lookup, ["policy_number"], ["stg_id"])
+    joined = lookup_join(claims, lookup, ["policy_number"], ["stg_id"], stored=True)
     return joined.withColumn("policy_exists", F.coalesce("policy_exists", F.lit(False)))
 
 

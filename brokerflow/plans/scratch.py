@@ -10,11 +10,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A lookup table is sent to every executor only up to this many bytes of row text.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Stored tables with more rows are not even measured.
+MEASURED_ROWS = 500_000
 
 _local_folders: dict[str, str] = {}
 
@@ -41,16 +43,30 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _row_bytes() -> Column:
+    return F.octet_length(F.to_json(F.struct("*")))
+
+
 def settle_measured(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """``settle``, and the bytes of all rows as text, summed up while they are written."""
     size = Observation()
-    row_bytes = F.octet_length(F.to_json(F.struct("*")))
-    settled = settle(df.observe(size, F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")), name)
+    total = F.coalesce(F.sum(_row_bytes()), F.lit(0)).alias("bytes")
+    settled = settle(df.observe(size, total), name)
     return settled, size.get["bytes"]
 
 
-def fits_broadcast(size: int) -> bool:
-    return size <= BROADCAST_BYTES
+def stored_size(table: DataFrame) -> int | None:
+    """Bytes of all rows of a stored table as text; None when it has too many rows to bother.
+
+    Counting the rows of parquet files reads their footers only.
+    """
+    if table.count() > MEASURED_ROWS:
+        return None
+    return table.agg(F.coalesce(F.sum(_row_bytes()), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
+def fits_broadcast(size: int | None) -> bool:
+    return size is not None and size <= BROADCAST_BYTES
 
 
 def release(spark: SparkSession) -> None:

@@ -52,6 +52,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame, *ids: str) -> DataFrame:
+    """Let all cores work on a small table that is one unsplittable file; a larger scan stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *ids)
+
+
 def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical policies, one per order."""
     orders = table(spark, sf_dir, "orders").selectExpr(
@@ -63,7 +69,7 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderdate AS ingested_at",
     )
     customers = table(spark, sf_dir, "customer").selectExpr("c_custkey AS o_custkey", "c_name")
-    return orders.join(customers, "o_custkey").selectExpr(
+    return _spread(orders, "o_orderkey").join(customers, "o_custkey").selectExpr(
         "o_orderkey AS order_key",
         f"{_BROKER.format('o_orderkey')} AS broker_code",
         "CASE k WHEN 7 THEN '' WHEN 37 THEN 'POL-' || (o_orderkey - 3) ELSE 'POL-' || o_orderkey END AS policy_number",
@@ -82,7 +88,10 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical claims, one per returned line."""
     lines = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
-    shaped = lines.selectExpr(
+    narrow = lines.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"
+    )
+    shaped = _spread(narrow, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").selectExpr(
         "l_orderkey AS order_key",
         "(l_partkey + l_suppkey) % 100 AS defect",
         "concat_ws('-', 'CLM', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line_id",

@@ -1,0 +1,168 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from brokerflow.config.rules import RULES, SEVERITIES, Rule, rules_for
+from brokerflow.operators import quality
+
+AS_OF = dt.date(2025, 6, 30)
+D = dt.date
+NOW = F.lit(AS_OF).cast("timestamp_ntz")
+
+POLICY = {
+    "stg_id": "s", "broker_code": "B", "policy_number": "P1", "customer_name": "Ann", "product_line": "AUTO",
+    "premium_amount": Decimal("100.00"), "sum_insured": Decimal("1000.00"), "effective_date": D(2025, 1, 1),
+    "expiry_date": D(2026, 1, 1),
+}
+POLICY_SCHEMA = (
+    "stg_id string, broker_code string, policy_number string, customer_name string, product_line string, "
+    "premium_amount decimal(18,2), sum_insured decimal(18,2), effective_date date, expiry_date date"
+)
+CLAIM = {
+    "stg_id": "s", "broker_code": "B", "claim_number": "C1", "policy_number": "P1", "loss_date": D(2025, 5, 1),
+    "reported_date": D(2025, 5, 3), "claim_amount": Decimal("5.00"), "claim_status": "OPEN", "policy_exists": True,
+}
+CLAIM_SCHEMA = (
+    "stg_id string, broker_code string, claim_number string, policy_number string, loss_date date, reported_date date, "
+    "claim_amount decimal(18,2), claim_status string, policy_exists boolean"
+)
+
+
+def frame(spark, entity, *changes):
+    base, schema = (POLICY, POLICY_SCHEMA) if entity == "policy" else (CLAIM, CLAIM_SCHEMA)
+    rows = [tuple({**base, "stg_id": f"s{i}", **c}.values()) for i, c in enumerate(changes)]
+    return spark.createDataFrame(rows, schema)
+
+
+def checked(spark, entity, *changes):
+    types = ("expression",) if entity == "policy" else ("expression", "referential")
+    return quality.check(frame(spark, entity, *changes), rules_for(entity, *types), AS_OF)
+
+
+def failed(spark, entity, change):
+    (row,) = checked(spark, entity, change).collect()
+    return {v.rule_id for v in row.verdicts if not v.passed}, row.dq_status
+
+
+def test_rule_set_is_consistent():
+    assert len({r.rule_id for r in RULES}) == len(RULES) == 18
+    assert {r.severity for r in RULES} <= set(SEVERITIES)
+    assert {r.entity for r in RULES} == {"policy", "claim"}
+
+
+@pytest.mark.parametrize(
+    "entity, change, rules, status",
+    [
+        ("policy", {}, set(), "PASS"),
+        ("policy", {"policy_number": " "}, {"POL_001"}, "FAIL"),
+        ("policy", {"policy_number": None}, {"POL_001"}, "FAIL"),
+        ("policy", {"premium_amount": Decimal("-1")}, {"POL_002", "POL_003"}, "FAIL"),
+        ("policy", {"premium_amount": None}, {"POL_002", "POL_003", "POL_007"}, "FAIL"),
+        ("policy", {"premium_amount": Decimal("1000000.01"), "sum_insured": None}, {"POL_003"}, "WARN"),
+        ("policy", {"premium_amount": Decimal("1000000"), "sum_insured": None}, set(), "PASS"),
+        ("policy", {"expiry_date": D(2024, 12, 31)}, {"POL_004"}, "FAIL"),
+        ("policy", {"expiry_date": None}, {"POL_004", "POL_005"}, "FAIL"),
+        ("policy", {"expiry_date": D(2030, 1, 6)}, {"POL_005"}, "WARN"),
+        ("policy", {"expiry_date": D(2030, 1, 5)}, set(), "PASS"),
+        ("policy", {"customer_name": " A "}, {"POL_006"}, "FAIL"),
+        ("policy", {"sum_insured": Decimal("99.99")}, {"POL_007"}, "WARN"),
+        ("policy", {"product_line": None}, {"POL_008"}, "WARN"),
+        ("claim", {}, set(), "PASS"),
+        ("claim", {"claim_number": ""}, {"CLM_001"}, "FAIL"),
+        ("claim", {"policy_number": None}, {"CLM_002"}, "FAIL"),
+        ("claim", {"claim_amount": Decimal("-0.01")}, {"CLM_003"}, "FAIL"),
+        ("claim", {"claim_amount": Decimal("0")}, set(), "PASS"),
+        ("claim", {"loss_date": D(2025, 7, 1), "reported_date": D(2025, 7, 2)}, {"CLM_004"}, "FAIL"),
+        ("claim", {"loss_date": AS_OF, "reported_date": AS_OF}, set(), "PASS"),
+        ("claim", {"reported_date": D(2025, 4, 30)}, {"CLM_005"}, "FAIL"),
+        ("claim", {"loss_date": D(2024, 5, 2)}, {"CLM_006"}, "WARN"),
+        ("claim", {"claim_status": "LOST"}, {"CLM_007"}, "WARN"),
+        ("claim", {"policy_exists": False}, {"CLM_008"}, "FAIL"),
+        ("claim", {"loss_date": None}, {"CLM_004", "CLM_005", "CLM_006"}, "FAIL"),
+    ],
+)
+def test_rules(spark, entity, change, rules, status):
+    assert failed(spark, entity, change) == (rules, status)
+
+
+def test_info_failure_flags_but_does_not_block(spark):
+    info = Rule("X", "policy", "never", "INFO", "false", ("policy_number",))
+    rows = quality.check(frame(spark, "policy", {}), [info], AS_OF)
+    assert rows.first().dq_status == "WARN"
+    assert quality.promotable(rows).count() == 1
+
+
+def test_rule_that_does_not_fit_fails_before_any_job(spark):
+    bad = Rule("X", "policy", "bad", "ERROR", "no_such_column > 1", ())
+    with pytest.raises(AnalysisException):
+        quality.check(frame(spark, "policy", {}), [bad], AS_OF)
+
+
+def test_audit_trail(spark):
+    rows = checked(spark, "policy", {}, {"premium_amount": Decimal("-1")})
+    trail = quality.results(rows, "policy", "b1", NOW)
+    assert trail.count() == 16
+    assert trail.select("result_id").distinct().count() == 16
+    shown = {r.rule_id: r.observed_value for r in trail.where("NOT passed").collect()}
+    assert shown == {"POL_002": "premium_amount=-1.00", "POL_003": "premium_amount=-1.00"}
+    assert quality.results(rows, "policy", "b1", NOW, only_failed=True).count() == 2
+
+
+def test_quarantine_keeps_the_whole_record(spark):
+    rows = checked(spark, "policy", {}, {"premium_amount": None, "policy_number": ""}, {"product_line": None})
+    (row,) = quality.quarantine(rows, "policy", NOW).collect()
+    assert row.failed_rules == ["POL_001", "POL_002"]
+    snapshot = json.loads(row.record_snapshot)
+    assert snapshot["premium_amount"] is None
+    assert set(snapshot) == set(POLICY)
+
+
+def test_explanations_are_capped_and_stable(spark):
+    rows = checked(spark, "claim", *[{"claim_status": "LOST"} for _ in range(9)], {"claim_number": ""})
+    failures = quality.results(rows, "claim", "b", NOW, only_failed=True)
+    sample = quality.explain_sample(failures, rules_for("claim"), cap=3).collect()
+    assert [(r.rule_id, r.stg_id) for r in sample] == [("CLM_001", "s9"), ("CLM_007", "s0"), ("CLM_007", "s1")]
+    assert sample[1].explanation == (
+        "This claim record failed the check 'Claim status must be a recognized value' (WARN): claim_status=LOST."
+    )
+    quiet = [r._replace(explain=False) for r in rules_for("claim")]
+    assert quality.explain_sample(failures, quiet).count() == 0
+
+
+def test_batch_log(spark):
+    rows = checked(spark, "policy", {}, {"premium_amount": None}, {"product_line": "?"})
+    log = quality.batch_log(rows, "policy", 8, "b").first()
+    assert (log.records_evaluated, log.rules_evaluated, log.error_failures, log.warn_failures, log.quarantined) == (3, 8, 1, 3, 1)
+    empty = quality.batch_log(rows.where("false"), "policy", 8, "b").first()
+    assert (empty.records_evaluated, empty.error_failures, empty.quarantined) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_policy_copies(spark, monkeypatch, limit):
+    if limit is not None:
+        monkeypatch.setattr("brokerflow.plans.scratch.BROADCAST_BYTES", limit)
+    numbers = ["P1", "P1", "P2", None, None, ""]
+    rows = frame(spark, "policy", *[{"policy_number": n} for n in numbers], {"broker_code": "C"})
+    copies = {r.stg_id: r.policy_copies for r in quality.with_policy_copies(rows).collect()}
+    assert [copies[f"s{i}"] for i in range(7)] == [2, 2, 1, 2, 2, 1, 1]
+
+
+def test_catalog_is_upserted(spark):
+    catalog = quality.load_rules(None, quality.rule_rows(spark))
+    off = catalog.withColumn("active", F.col("rule_id") != "POL_001")
+    changed = [r._replace(description="new text") for r in RULES if r.rule_id == "POL_001"]
+    added = [Rule("POL_900", "policy", "extra", "INFO", "true", ())]
+    merged = quality.load_rules(off, quality.rule_rows(spark, changed + added))
+    assert merged.count() == 19
+    row = merged.where("rule_id = 'POL_001'").first()
+    assert (row.description, row.active) == ("new text", False)
+    active = [r.rule_id for r in quality.rules_from_catalog(merged, "policy")]
+    assert "POL_900" in active and "POL_001" not in active
+    with pytest.raises(ValueError):
+        quality.rule_rows(spark, [Rule("X", "policy", "", "FATAL", "true", ())])

@@ -83,7 +83,10 @@ def hot_key_join(
         "_slot", F.when(no_key | F.col("_is_hot").isNotNull(), _spread(spread_by)).otherwise(F.lit(0))
     )
     # Only slot 0 has partners: hot rows took theirs from the broadcast, rows without a key have none.
-    cold = as_struct.withColumn("_slot", F.lit(0)).withColumnRenamed("_found", "_cold_found")
+    # The zero is computed from the key: a literal would be folded into a filter, which leaves the
+    # plain key as the only join key and brings the hot rows together again.
+    zero = F.pmod(F.hash(*keys), F.lit(1))
+    cold = as_struct.withColumn("_slot", zero).withColumnRenamed("_found", "_cold_found")
     joined = slotted.join(cold, [*keys, "_slot"], "left").withColumn(
         "_found", F.coalesce("_hot_found", "_cold_found")
     )

@@ -13,7 +13,11 @@ from brokerflow.operators import quality
 
 AS_OF = dt.date(2025, 6, 30)
 D = dt.date
-NOW = F.lit(AS_OF).cast("timestamp_ntz")
+
+
+def now():
+    return F.lit(AS_OF).cast("timestamp_ntz")
+
 
 POLICY = {
     "stg_id": "s", "broker_code": "B", "policy_number": "P1", "customer_name": "Ann", "product_line": "AUTO",
@@ -106,17 +110,17 @@ def test_rule_that_does_not_fit_fails_before_any_job(spark):
 
 def test_audit_trail(spark):
     rows = checked(spark, "policy", {}, {"premium_amount": Decimal("-1")})
-    trail = quality.results(rows, "policy", "b1", NOW)
+    trail = quality.results(rows, "policy", "b1", now())
     assert trail.count() == 16
     assert trail.select("result_id").distinct().count() == 16
     shown = {r.rule_id: r.observed_value for r in trail.where("NOT passed").collect()}
     assert shown == {"POL_002": "premium_amount=-1.00", "POL_003": "premium_amount=-1.00"}
-    assert quality.results(rows, "policy", "b1", NOW, only_failed=True).count() == 2
+    assert quality.results(rows, "policy", "b1", now(), only_failed=True).count() == 2
 
 
 def test_quarantine_keeps_the_whole_record(spark):
     rows = checked(spark, "policy", {}, {"premium_amount": None, "policy_number": ""}, {"product_line": None})
-    (row,) = quality.quarantine(rows, "policy", NOW).collect()
+    (row,) = quality.quarantine(rows, "policy", now()).collect()
     assert row.failed_rules == ["POL_001", "POL_002"]
     snapshot = json.loads(row.record_snapshot)
     assert snapshot["premium_amount"] is None
@@ -125,7 +129,7 @@ def test_quarantine_keeps_the_whole_record(spark):
 
 def test_explanations_are_capped_and_stable(spark):
     rows = checked(spark, "claim", *[{"claim_status": "LOST"} for _ in range(9)], {"claim_number": ""})
-    failures = quality.results(rows, "claim", "b", NOW, only_failed=True)
+    failures = quality.results(rows, "claim", "b", now(), only_failed=True)
     sample = quality.explain_sample(failures, rules_for("claim"), cap=3).collect()
     assert [(r.rule_id, r.stg_id) for r in sample] == [("CLM_001", "s9"), ("CLM_007", "s0"), ("CLM_007", "s1")]
     assert sample[1].explanation == (

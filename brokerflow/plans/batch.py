@@ -7,6 +7,9 @@ that came in the same batch. Product lines are set in staging, before the checks
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,12 @@ from brokerflow.plans.views import Star
 from brokerflow.sources.envelopes import dead_letters, drop_redelivered, parse_envelopes, route
 
 
+def together(*steps: Callable[[], Any]) -> list[Any]:
+    """Run steps that do not need each other as concurrent Spark jobs; the first error is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 class BatchRun:
     """The stages of one batch. Each writes its tables and a line of the stage log."""
 
@@ -35,89 +44,117 @@ class BatchRun:
     def _note(self, stage: str, rows_out: int, rows_rejected: int = 0, message: str = "") -> None:
         self.log.append((stage, rows_out, rows_rejected, message))
 
+    def _append(self, name: str, df: DataFrame) -> int:
+        return self.tables.append(name, df, self.batch_id)
+
+    def _swap(self, name: str, df: DataFrame) -> int:
+        return self.tables.swap(name, df, self.batch_id)
+
+    def _before(self, name: str) -> DataFrame | None:
+        return self.tables.current(name, before=self.batch_id)
+
     def run(self, messages: DataFrame) -> str:
         todo = self.land(messages)
         registry = self.map_headers(todo)
         policies, claims = route(todo)
-        self.promote_policies(stage_policies(policies, registry))
-        self.promote_claims(stage_claims(claims, registry))
-        waiting = mapping.unmapped_rows(policies, registry, "policy").unionByName(
-            mapping.unmapped_rows(claims, registry, "claim")
+        staged_claims, _, _ = together(
+            lambda: settle(stage_claims(claims, registry), "claims"),
+            lambda: self.keep_unmapped(policies, claims, registry),
+            lambda: self.promote_policies(stage_policies(policies, registry)),
         )
-        n_waiting = self.tables.swap("waiting", waiting, self.batch_id)
-        self._note("unmapped", n_waiting, 0, "rows waiting for a mapping")
+        self.promote_claims(staged_claims)
         return self.finish()
 
     def land(self, messages: DataFrame) -> DataFrame:
         """Append the batch to landing; returns it together with the rows still waiting."""
         new = drop_redelivered(messages)
-        landed = self.tables.append("raw", parse_envelopes(new), self.batch_id)
-        dead = self.tables.append("dead_letter", dead_letters(new), self.batch_id)
+        landed, dead = together(
+            lambda: self._append("raw", parse_envelopes(new)),
+            lambda: self._append("dead_letter", dead_letters(new)),
+        )
         self._note("landing", landed, dead)
         raw = self.tables.read_batch("raw", self.batch_id)
-        waiting = self.tables.current("waiting", before=self.batch_id)
+        waiting = self._before("waiting")
         return raw if waiting is None else raw.unionByName(waiting)
 
     def map_headers(self, raw: DataFrame) -> DataFrame:
-        known = self.tables.current("registry", before=self.batch_id)
+        known = self._before("registry")
         if known is None:
             known = mapping.seed_mappings(self.spark)
-        n = self.tables.swap("registry", mapping.registry_for(raw, known), self.batch_id)
+        n = self._swap("registry", mapping.registry_for(raw, known))
         self._note("header_mapping", n)
         return self.tables.current("registry")
 
+    def keep_unmapped(self, policies: DataFrame, claims: DataFrame, registry: DataFrame) -> None:
+        waiting = mapping.unmapped_rows(policies, registry, "policy").unionByName(
+            mapping.unmapped_rows(claims, registry, "claim")
+        )
+        self._note("unmapped", self._swap("waiting", waiting), 0, "rows waiting for a mapping")
+
     def _check(self, staged: DataFrame, entity: str, types: tuple[str, ...]) -> DataFrame:
-        """Evaluate the rules, write staging, audit trail, quarantine and log; returns the staged batch."""
+        """Evaluate the rules and write the staged batch with its verdicts; returns it."""
         rules = rules_for(entity, *types)
-        name = f"stg_{entity}"
-        n = self.tables.append(name, quality.check(staged, rules, self.as_of), self.batch_id)
-        checked = self.tables.read_batch(name, self.batch_id)
-        now = F.lit(self.as_of).cast("timestamp_ntz")
+        self._append(f"stg_{entity}", quality.check(staged, rules, self.as_of))
+        return self.tables.read_batch(f"stg_{entity}", self.batch_id)
 
+    def _report(self, checked: DataFrame, entity: str, types: tuple[str, ...]) -> None:
+        """Write audit trail, quarantine and batch log of a checked batch."""
+        rules = rules_for(entity, *types)
+        now = F.lit(self.as_of).cast("timestamp_ntz")
         results = quality.results(checked, entity, self.run_id, now)
         explained = quality.explain_sample(results, rules, EXPLANATION_CAP)  # at most the cap
         audit = results.join(F.broadcast(explained), ["rule_id", "stg_id"], "left")
-        self.tables.append(f"dq_result_{entity}", audit, self.batch_id)
-        blocked = self.tables.append(f"quarantine_{entity}", quality.quarantine(checked, entity, now), self.batch_id)
-        self.tables.append(
-            f"dq_batch_log_{entity}", quality.batch_log(checked, entity, len(rules), self.run_id), self.batch_id
+        summary = quality.batch_log(checked, entity, len(rules), self.run_id)
+        verdicts, blocked, _ = together(
+            lambda: self._append(f"dq_result_{entity}", audit),
+            lambda: self._append(f"quarantine_{entity}", quality.quarantine(checked, entity, now)),
+            lambda: self._append(f"dq_batch_log_{entity}", summary),
         )
-        self._note(f"dq_{entity}", n - blocked, blocked)
-        return checked
+        self._note(f"dq_{entity}", verdicts // len(rules) - blocked, blocked)
 
     def promote_policies(self, staged: DataFrame) -> None:
-        checked = self._check(quality.with_policy_copies(staged), "policy", ("expression", "batch"))
+        types = ("expression", "batch")
+        checked = self._check(quality.with_policy_copies(staged), "policy", types)
         good = quality.promotable(checked)
 
-        before = self.batch_id
-        customers = star.dim_customer(self.tables.current("dim_customer", before), star.customer_rows(good))
-        self.tables.swap("dim_customer", customers, self.batch_id)
-        products = star.product_rows(self.spark)
-        self.tables.swap("dim_product", products, self.batch_id)
-        merged = star.dim_policy(self.tables.current("dim_policy", before), star.policy_rows(good, self.as_of))
-        n = self.tables.swap("dim_policy", score_policies(settle(merged, "dim_policy")), self.batch_id)
-        policies = self.tables.current("dim_policy")
-        premiums = self.tables.current("fact_premium", before)
-        new = star.premium_rows(policies, premiums)
-        self.tables.swap("fact_premium", new if premiums is None else premiums.unionByName(new), self.batch_id)
-        self._note("promote_policies", n)
+        def customers() -> None:
+            self._swap("dim_customer", star.dim_customer(self._before("dim_customer"), star.customer_rows(good)))
+
+        def policies() -> None:
+            merged = star.dim_policy(self._before("dim_policy"), star.policy_rows(good, self.as_of))
+            n = self._swap("dim_policy", score_policies(settle(merged, "dim_policy")))
+            facts = self._before("fact_premium")
+            new = star.premium_rows(self.tables.current("dim_policy"), facts)
+            self._swap("fact_premium", new if facts is None else facts.unionByName(new))
+            self._note("promote_policies", n)
+
+        together(
+            lambda: self._report(checked, "policy", types),
+            customers,
+            policies,
+            lambda: self._swap("dim_product", star.product_rows(self.spark)),
+        )
 
     def promote_claims(self, staged: DataFrame) -> None:
-        with_policy = quality.with_policy(settle(staged, "claims"), self.tables.current("dim_policy"))
-        checked = self._check(with_policy, "claim", ("expression", "referential"))
+        types = ("expression", "referential")
+        checked = self._check(quality.with_policy(staged, self.tables.current("dim_policy")), "claim", types)
         good = quality.promotable(checked)
 
-        before = self.batch_id
-        codes = star.broker_rows(self.tables.read_batch("stg_policy", self.batch_id), checked)
-        self.tables.swap("dim_broker", star.dim_broker(self.tables.current("dim_broker", before), codes), self.batch_id)
-        merged = star.fact_claim(self.tables.current("fact_claim", before), star.claim_rows(good))
-        n = self.tables.swap("fact_claim", score_claims(settle(merged, "fact_claim")), self.batch_id)
-        self._note("promote_claims", n)
+        def brokers() -> None:
+            codes = star.broker_rows(self.tables.read_batch("stg_policy", self.batch_id), checked)
+            self._swap("dim_broker", star.dim_broker(self._before("dim_broker"), codes))
+
+        def claims() -> None:
+            merged = star.fact_claim(self._before("fact_claim"), star.claim_rows(good))
+            n = self._swap("fact_claim", score_claims(settle(merged, "fact_claim")))
+            self._note("promote_claims", n)
+
+        together(lambda: self._report(checked, "claim", types), brokers, claims)
 
     def finish(self) -> str:
         rows = [(self.run_id, i, *entry, "SUCCESS") for i, entry in enumerate(self.log)]
         schema = "run_id string, step int, stage string, rows_out long, rows_rejected long, message string, status string"
-        self.tables.append("stage_log", self.spark.createDataFrame(rows, schema), self.batch_id)
+        self._append("stage_log", self.spark.createDataFrame(rows, schema))
         return " | ".join(f"{stage}: {out} out, {bad} rejected" for stage, out, bad, _ in self.log)
 
 

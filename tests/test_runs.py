@@ -57,7 +57,7 @@ def two_batches(spark, tmp_path_factory):
     return tables_after(spark, tmp_path_factory.mktemp("t"), (0, FIRST), (1, SECOND))
 
 
-def test_first_batch(spark, tmp_path):
+def test_first_batch_and_its_waiting_rows(spark, tmp_path):
     tables = tables_after(spark, tmp_path, (0, FIRST))
     assert [r.policy_number for r in tables.current("dim_policy").collect()] == ["P1"]
     assert [r.claim_number for r in tables.current("fact_claim").collect()] == ["C1"]  # C2 refers to a blocked policy
@@ -72,6 +72,15 @@ def test_first_batch(spark, tmp_path):
     assert log_rows["dq_policy"] == (1, 1)
     assert log_rows["unmapped"] == (1, 0)
 
+    # The unmapped row is staged as soon as its layout is known.
+    known = tables.current("registry").withColumn(
+        "mapping", F.when(F.col("broker_code") == "B", F.create_map(F.lit("zzz"), F.lit("policy_number"))).otherwise(F.col("mapping"))
+    )
+    tables.swap("registry", known, 1)
+    run_batch(spark, tables, 2, log(spark, [policy("P9")]), AS_OF)
+    assert tables.current("waiting").count() == 0
+    assert sorted(r.policy_number for r in tables.read_batch("stg_policy", 2).collect()) == ["1", "P9"]
+
 
 def test_second_batch_merges(spark, two_batches):
     policies = {r.policy_number: r for r in two_batches.current("dim_policy").collect()}
@@ -85,22 +94,11 @@ def test_second_batch_merges(spark, two_batches):
     assert two_batches.read("raw").count() == 9
 
 
-def test_running_a_batch_again_changes_nothing(spark, tmp_path, two_batches):
-    again = tables_after(spark, tmp_path, (0, FIRST), (0, FIRST), (1, SECOND), (1, SECOND))
-    assert content(again) == content(two_batches)
-    for name in ("raw", "stg_policy", "dq_result_claim", "quarantine_policy", "stage_log"):
-        assert again.read(name).count() == two_batches.read(name).count()
-
-
-def test_waiting_rows_are_staged_once_their_layout_is_known(spark, tmp_path):
-    tables = tables_after(spark, tmp_path, (0, FIRST))
-    known = tables.current("registry").withColumn(
-        "mapping", F.when(F.col("broker_code") == "B", F.create_map(F.lit("zzz"), F.lit("policy_number"))).otherwise(F.col("mapping"))
-    )
-    tables.swap("registry", known, 1)
-    run_batch(spark, tables, 2, log(spark, [policy("P9")]), AS_OF)
-    assert tables.current("waiting").count() == 0
-    assert sorted(r.policy_number for r in tables.read_batch("stg_policy", 2).collect()) == ["1", "P9"]
+def test_running_a_batch_again_changes_nothing(spark, two_batches):
+    appended = ("raw", "stg_policy", "dq_result_claim", "quarantine_policy", "stage_log")
+    before = content(two_batches), [two_batches.read(n).count() for n in appended]
+    run_batch(spark, two_batches, 1, log(spark, SECOND), AS_OF)
+    assert (content(two_batches), [two_batches.read(n).count() for n in appended]) == before
 
 
 def test_streamed_batches_equal_batch_runs(spark, tmp_path, two_batches):

@@ -15,6 +15,7 @@ from brokerflow.config.brokers import BROKERS
 from brokerflow.config.rules import rules_for
 from brokerflow.functions import cleaning, keys, payload, text
 from brokerflow.operators import anomaly, inference, mapping, quality, staging, star
+from brokerflow.operators.joins import lookup_join
 from brokerflow.plans import metrics, reports, views
 from brokerflow.plans.batch import run_batch, star_of
 from brokerflow.plans.scratch import new_folder, settle
@@ -26,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Splits the promoted policies into two deliveries.
-SECOND_DELIVERY = dt.datetime(1998, 1, 1)
+FIRST_DELIVERY = "loaded_at < TIMESTAMP_NTZ '1998-01-01 00:00:00'"
 
 
 def query(build: Callable[[Book], DataFrame]) -> Callable[[Book], DataFrame]:
@@ -509,7 +510,7 @@ def anomaly_reason(b: Book) -> DataFrame:
 def upsert_policies(b: Book) -> DataFrame:
     """Two deliveries: the second updates the known policies and adds the others."""
     good = settle(quality.promotable(b.checked_policies).drop("verdicts"), "good")
-    early = F.col("loaded_at") < F.lit(SECOND_DELIVERY).cast("timestamp_ntz")
+    early = F.expr(FIRST_DELIVERY)
     first = settle(star.policy_rows(good.where(early), testdata.AS_OF).withColumn("anomaly_score", F.lit(0.5)), "first")
     merged = star.dim_policy(first, star.policy_rows(good.where(~early), testdata.AS_OF))
     return merged.select("policy_number", "premium_amount", "expiry_date", "anomaly_score", "loaded_at")
@@ -519,9 +520,10 @@ def upsert_policies(b: Book) -> DataFrame:
 def upsert_insert_only(b: Book) -> DataFrame:
     """Two deliveries of customers: a profile once made stays."""
     good = settle(quality.promotable(b.checked_policies).drop("verdicts"), "good")
-    early = F.col("loaded_at") < F.lit(SECOND_DELIVERY).cast("timestamp_ntz")
+    early = F.expr(FIRST_DELIVERY)
     first = settle(star.customer_rows(good.where(early)), "first")
-    return star.dim_customer(first, star.customer_rows(good.where(~early))).drop("customer_key")
+    added = star.new_customers(first, star.customer_rows(good.where(~early)))
+    return first.unionByName(added).drop("customer_key")
 
 
 @query
@@ -562,8 +564,8 @@ def is_active(b: Book) -> DataFrame:
 @query
 def fact_premium(b: Book) -> DataFrame:
     """Premium facts after two runs; the second finds the later policies only."""
-    early = F.col("loaded_at") < F.lit(SECOND_DELIVERY).cast("timestamp_ntz")
-    first = star.premium_rows(b.unscored_policies.where(early), None)
+    early = F.expr(FIRST_DELIVERY)
+    first = settle(star.premium_rows(b.unscored_policies.where(early), None), "facts")
     second = star.premium_rows(b.unscored_policies, first)
     return first.unionByName(second)
 
@@ -578,7 +580,7 @@ def surrogate_keys(b: Book) -> DataFrame:
     """Every key column of the claim fact against the tables it points to."""
     claims = b.unscored_claims
     policies = b.unscored_policies.select("policy_key", F.lit(1).alias("found"))
-    joined = claims.join(policies, "policy_key", "left")
+    joined = lookup_join(claims, policies, ["policy_key"], ["claim_key"], stored=True)
     return joined.agg(
         F.count("*").alias("claims"), F.countDistinct("claim_key").alias("claim_keys"), F.sum("found").alias("with_policy")
     )

@@ -17,7 +17,7 @@ from brokerflow.functions.cleaning import days_between
 from brokerflow.functions.keys import customer_id, surrogate_key
 from brokerflow.functions.sqltext import text
 from brokerflow.functions.text import customer_segment, risk_tier
-from brokerflow.operators.upsert import latest_per_key, upsert
+from brokerflow.operators.upsert import insert_only, latest_per_key, upsert
 
 POLICY_UPDATES = [
     "premium_amount", "sum_insured", "effective_date", "expiry_date", "product_line", "policy_term_days",
@@ -72,11 +72,9 @@ def customer_rows(promotable: DataFrame) -> DataFrame:
     )
 
 
-def dim_customer(existing: DataFrame | None, rows: DataFrame) -> DataFrame:
-    """Insert-only: a profile once made stays."""
-    return upsert(
-        existing, rows, ["customer_id"], [], ["customer_key", "customer_name", "customer_segment", "risk_tier"]
-    ).select(*rows.columns)
+def new_customers(existing: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """The customers to append: a profile once made stays."""
+    return insert_only(existing, rows, ["customer_id"])
 
 
 def product_rows(spark: SparkSession) -> DataFrame:
@@ -125,9 +123,13 @@ def dim_policy(existing: DataFrame | None, rows: DataFrame) -> DataFrame:
 
 
 def premium_rows(policies: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Premium facts of the policies that have none yet; a later change of a policy does not alter them."""
-    new = policies if existing is None else policies.join(existing.select("policy_key"), "policy_key", "left_anti")
-    return new.where(F.col("policy_key").isNotNull()).select(
+    """Premium facts to append, of the policies that have none yet.
+
+    A later change of a policy does not alter its fact. Every policy gets its fact in the batch that
+    brings it, so the policies of the batch are enough as input.
+    """
+    new = insert_only(existing, policies.where(F.col("policy_key").isNotNull()), ["policy_key"])
+    return new.select(
         surrogate_key(F.lit("premium"), F.col("policy_key")).alias("premium_key"),
         "policy_key", "broker_key", "customer_key", "product_key", "effective_date", "premium_amount",
         "sum_insured", "loaded_at",

@@ -20,6 +20,27 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
 
 
+def unseen(target: DataFrame, source: DataFrame, size: int, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``source``, stored and measured, whose key the target does not hold.
+
+    A small source is broadcast to the target instead of shuffling the target to it.
+    """
+    keys = list(keys)
+    if not fits_broadcast(size):
+        return source.join(target.select(*keys), keys, "left_anti")
+    wanted = F.broadcast(source.select(*keys))
+    known = target.select(*keys).join(wanted, keys, "left_semi").distinct()
+    return source.join(F.broadcast(known), keys, "left_anti")  # known: at most the source's keys
+
+
+def insert_only(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``source`` to append to a table whose rows never change."""
+    if target is None:
+        return source
+    new, size = settle_measured(source, "insert")
+    return unseen(target, new, size, keys)
+
+
 def upsert(
     target: DataFrame | None,
     source: DataFrame,
@@ -58,8 +79,7 @@ def upsert(
 
     if fits_broadcast(size):
         kept = target.join(F.broadcast(renamed), keys, "left").select(*[merged(c) for c in fields])
-        known = target.join(F.broadcast(renamed.select(*keys)), keys, "left_semi").select(*keys)
-        added = new.join(F.broadcast(known), keys, "left_anti")  # known: at most the source's keys
+        added = unseen(target, new, size, keys)
         return kept.unionByName(added.select(*[inserted(c) for c in fields]))
 
     both = target.withColumn("_old", F.lit(True)).join(renamed, keys, "full_outer")

@@ -118,15 +118,15 @@ class BatchRun:
         good = quality.promotable(checked)
 
         def customers() -> None:
-            self._swap("dim_customer", star.dim_customer(self._before("dim_customer"), star.customer_rows(good)))
+            known = self.tables.read_before("dim_customer", self.batch_id)
+            self._append("dim_customer", star.new_customers(known, star.customer_rows(good)))
 
         def policies() -> None:
-            merged = star.dim_policy(self._before("dim_policy"), star.policy_rows(good, self.as_of))
-            n = self._swap("dim_policy", score_policies(settle(merged, "dim_policy")))
-            facts = self._before("fact_premium")
-            new = star.premium_rows(self.tables.current("dim_policy"), facts)
-            self._swap("fact_premium", new if facts is None else facts.unionByName(new))
-            self._note("promote_policies", n)
+            rows = settle(star.policy_rows(good, self.as_of), "policy_rows")
+            facts = self.tables.read_before("fact_premium", self.batch_id)
+            self._append("fact_premium", star.premium_rows(rows, facts))
+            merged = star.dim_policy(self._before("dim_policy"), rows)
+            self._note("promote_policies", self._swap("dim_policy", score_policies(settle(merged, "dim_policy"))))
 
         together(
             lambda: self._report(checked, "policy", types),
@@ -164,4 +164,9 @@ def run_batch(spark: SparkSession, tables: Tables, batch_id: int, messages: Data
 
 def star_of(tables: Tables) -> Star:
     """The star schema as the last batch left it."""
-    return Star(*[tables.current(n) for n in ("dim_broker", "dim_customer", "dim_policy", "fact_claim")])
+    return Star(
+        tables.current("dim_broker"),
+        tables.read("dim_customer"),
+        tables.current("dim_policy"),
+        tables.current("fact_claim"),
+    )

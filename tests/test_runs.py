@@ -87,9 +87,9 @@ def test_second_batch_merges(spark, two_batches):
     assert {n: float(p.premium_amount) for n, p in policies.items()} == {"P1": 250.0, "P2": 100.0}
     claims = {r.claim_number: r.claim_status for r in two_batches.current("fact_claim").collect()}
     assert claims == {"C1": "PAID", "C3": "OPEN"}
-    premiums = {r.policy_key: float(r.premium_amount) for r in two_batches.current("fact_premium").collect()}
+    premiums = {r.policy_key: float(r.premium_amount) for r in two_batches.read("fact_premium").collect()}
     assert premiums == {policies["P1"].policy_key: 100.0, policies["P2"].policy_key: 100.0}
-    assert two_batches.current("dim_customer").count() == 1
+    assert two_batches.read("dim_customer").count() == 1
     assert two_batches.current("waiting").count() == 1  # the unmapped row was not lost
     assert two_batches.read("raw").count() == 9
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from brokerflow.operators import inference, star
 from brokerflow.operators.anomaly import score_claims, score_outliers, score_policies
-from brokerflow.operators.upsert import latest_per_key, upsert
+from brokerflow.operators.upsert import insert_only, latest_per_key, upsert
 from brokerflow.plans.scratch import settle
 from tests.test_quality import POLICY, POLICY_SCHEMA
 
@@ -80,8 +80,9 @@ def test_customers_are_one_per_normalised_name_and_insert_only(spark):
     assert out["ANN"].customer_segment == "RETAIL"
     assert out["ANN"].risk_tier == "HIGH"  # 200 of premium on 2,000 insured
     kept = settle(star.customer_rows(rows).withColumn("risk_tier", F.lit("LOW")), "c")
-    again = star.dim_customer(kept, star.customer_rows(rows))
-    assert {r.risk_tier for r in again.collect()} == {"LOW"}
+    assert star.new_customers(kept, star.customer_rows(rows)).count() == 0
+    more = staged(spark, {"customer_name": "ann"}, {"customer_name": "Cid"})
+    assert [r.customer_name for r in star.new_customers(kept, star.customer_rows(more)).collect()] == ["Cid"]
 
 
 def test_brokers(spark):
@@ -94,7 +95,7 @@ def test_brokers(spark):
 
 def test_premium_facts_are_appended_once(spark):
     first = star.policy_rows(staged(spark, {}), AS_OF)
-    facts = star.premium_rows(first, None)
+    facts = settle(star.premium_rows(first, None), "facts")
     later = star.policy_rows(staged(spark, {"premium_amount": Decimal("9.00")}, {"policy_number": "P2"}), AS_OF)
     new = star.premium_rows(later, facts).collect()
     assert [r.premium_amount for r in new] == [Decimal("100.00")]
@@ -190,3 +191,12 @@ def test_failed_provider_calls_are_logged_and_not_cached(spark):
     assert answered.first().length is None
     assert known.count() == 0
     assert [c.success for c in log.collect()] == [False]
+
+
+@pytest.mark.parametrize("limit", [10**9, -1], ids=["broadcast", "shuffle"])
+def test_only_unseen_rows_are_inserted(spark, monkeypatch, limit):
+    monkeypatch.setattr("brokerflow.plans.scratch.BROADCAST_BYTES", limit)
+    target = spark.createDataFrame([("x", 1), ("y", 2)], "k string, a int")
+    source = spark.createDataFrame([("y", 20), ("z", 30)], "k string, a int")
+    assert [tuple(r) for r in insert_only(target, source, ["k"]).collect()] == [("z", 30)]
+    assert insert_only(None, source, ["k"]).count() == 2

@@ -14,7 +14,7 @@ from brokerflow.checks.book import BATCH, Book, plain, rounded, run_time
 from brokerflow.config.brokers import BROKERS
 from brokerflow.config.rules import rules_for
 from brokerflow.functions import cleaning, keys, payload, text
-from brokerflow.operators import anomaly, inference, mapping, quality, staging, star
+from brokerflow.operators import anomaly, enrich, inference, mapping, quality, staging, star
 from brokerflow.operators.joins import lookup_join
 from brokerflow.plans import metrics, reports, views
 from brokerflow.plans.batch import run_batch, star_of
@@ -452,6 +452,21 @@ def classify_product(b: Book) -> DataFrame:
     return rows.select("order_key", "product_name", text.classify_product(F.col("product_name")).alias("product_line"))
 
 
+@query
+def classify_after_checks(b: Book) -> DataFrame:
+    """Policies checked without a product line and classified afterwards, if they may be promoted."""
+    unclassified = b.policies.withColumn("product_line", F.lit(None).cast("string"))
+    checked = quality.check(unclassified, rules_for("policy", "expression"), testdata.AS_OF)
+    return enrich.classify_missing(checked).groupBy("dq_status", "product_line").agg(F.count("*").alias("policies"))
+
+
+@query
+def sentiment_after_checks(b: Book) -> DataFrame:
+    """Claims checked without a sentiment and scored afterwards, if they may be promoted."""
+    unscored = b.checked_claims.withColumn("sentiment_score", F.lit(None).cast("double"))
+    return rounded(enrich.score_missing_sentiment(unscored).select("stg_id", "dq_status", "sentiment_score"), 6, "sentiment_score")
+
+
 @query
 def claim_sentiment(b: Book) -> DataFrame:
     rows = testdata.claims(b.spark, b.sf_dir)

@@ -7,7 +7,6 @@ named by ``spark.checkpoint.dir``, so losing executors loses nothing.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,18 +17,11 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 # Stored tables with more rows are not even measured.
 MEASURED_ROWS = 500_000
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of this application below ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_folders.setdefault(app, tempfile.mkdtemp(prefix="brokerflow-"))
-    return f"{base.rstrip('/')}/brokerflow/{app}"
+    """The folder of this application below ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/brokerflow/{spark.sparkContext.applicationId}"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

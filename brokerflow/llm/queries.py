@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brokerflow.llm import exact, langid, packing, simhash, winnow
+from brokerflow.llm import columns, exact, langid, packing, sharding, simhash, substrings, winnow
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guessed.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "unknown", "shares")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, sf_dir, "documents"), "op3")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicates(read(spark, sf_dir, "documents"), "op4")
 
@@ -40,10 +44,21 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), "op8")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return columns.remove_repeats(read(spark, sf_dir, "documents"), "op9")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read(spark, sf_dir, "documents"), group="op10")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_sharding": op10_sharding,
 }

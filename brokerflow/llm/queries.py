@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brokerflow.llm import columns, exact, langid, packing, sharding, simhash, substrings, winnow
+from brokerflow.llm import columns, exact, langid, packing, quality, secrets, sharding, simhash, substrings, winnow
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guessed.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "unknown", "shares")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.fit(docs))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read(spark, sf_dir, "documents"), "op3")
 
@@ -32,6 +37,14 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicates(read(spark, sf_dir, "documents"), "op4")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.filter(fold(5) != 0))
+    scored = quality.score(docs, model)
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", predicted, "weight", "passages")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), "op6")
 
@@ -54,8 +67,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_secret_scan": op2_secret_scan,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality": op5_quality,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,

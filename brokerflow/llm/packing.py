@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import base64
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -53,34 +55,47 @@ _encoders: dict[str, Encoder] = {}
 class Encoder:
     """Text to ids as little-endian 32-bit numbers.
 
-    A single space between two other characters always begins a token, as no token has one inside. So
-    texts are cut there, and the ids of a stretch are looked up if the worker has met it before.
+    Where no two white spaces meet, a space always begins a token, a line end is one, and a comma or full
+    stop behind a letter begins one. So texts are cut there, and the ids of a word are looked up if the
+    worker has met it before.
     """
 
-    beside_space = re.compile(r"\s\x20|\x20\s")
+    two_spaces = re.compile(r"\s\s")
 
     def __init__(self, vocabulary: str):
         with open(vocabulary, "rb") as lines:
             ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
         self.encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
+        self.end = {mark: self.ids(mark) for mark in ",."}
+        self.line_end = self.ids("\n")
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.encode(text), "<u4").tobytes()
+        out = array("I", self.encode(text))
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def learn(self, word: str, known: dict[str, bytes], before: str) -> bytes:
+        if word[-1:] in self.end and word[-2:-1].isalpha():
+            stem = word[:-1]
+            return (known.get(stem) or self.learn(stem, known, before)) + self.end[word[-1]]
+        if len(known) > REMEMBERED:
+            known.clear()
+        got = known[word] = self.ids(before + word)
+        return got
 
     def __call__(self, text: str) -> bytes:
-        if self.beside_space.search(text):
+        if self.two_spaces.search(text):
             return self.ids(text)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, out = self.known, []
-        for i, stretch in enumerate(text.split(" ")):
-            got = known.get(stretch) if i else None
-            if got is None:
-                got = self.ids(" " + stretch if i else stretch)
-                if i:
-                    known[stretch] = got
-            out.append(got)
+        first, later, learn, out = self.first, self.later, self.learn, []
+        for line in text.split("\n"):
+            head, *rest = line.split(" ")
+            if out:
+                out.append(self.line_end)
+            out.append(first.get(head) or learn(head, first, ""))
+            out += [later.get(word) or learn(word, later, " ") for word in rest]
         return b"".join(out)
 
 

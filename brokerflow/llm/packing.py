@@ -198,9 +198,11 @@ def pack(docs: DataFrame, group: str = "packing", capacity: int = SEQUENCE, end_
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     done = settle(source.mapInArrow(_cut_and_pack(vocabulary, capacity, end_id), ITEMS_DDL), group, "round0")
     parts = [done.filter("final")]
+    task = F.expr("shiftright(sequence_id, 32) & 134217727")
     open_, before, round_ = done.filter("not final"), None, 0
+    tasks = open_.agg(F.max(task) + 1).first()[0] or 1
     while True:
-        units, tasks = open_.agg(F.count_if(F.col("offset") == 0), F.max(F.expr("shiftright(sequence_id, 32) & 134217727")) + 1).first()
+        units = open_.agg(F.count_if(F.col("offset") == 0)).first()[0]
         if not units:
             break
         round_ += 1

@@ -38,9 +38,11 @@ class Book:
 
     @cached_property
     def messages(self) -> DataFrame:
-        return testdata.policy_messages(self.spark, self.sf_dir).unionByName(
-            testdata.claim_messages(self.spark, self.sf_dir)
-        )
+        return testdata.messages(self.spark, self.sf_dir).drop("copy")
+
+    def deliveries(self, n: int) -> list[DataFrame]:
+        sent = settle(testdata.delivered(testdata.messages(self.spark, self.sf_dir), n), "deliveries")
+        return [sent.where(F.col("delivery") == i).drop("delivery") for i in range(n)]
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -84,8 +86,8 @@ class Book:
     @cached_property
     def failures(self) -> DataFrame:
         """Failed verdicts of row, referential and batch rules, of both entities."""
-        with_copies = quality.with_policy_copies(self.policies)
-        policies = quality.check(with_copies, rules_for("policy", "expression", "batch"), testdata.AS_OF)
+        measured = quality.with_premium_distance(quality.with_policy_copies(settle(self.policies, "policies")))
+        policies = quality.check(measured, rules_for("policy"), testdata.AS_OF)
         return quality.results(policies, "policy", BATCH, run_time(), only_failed=True).unionByName(
             quality.results(self.checked_claims, "claim", BATCH, run_time(), only_failed=True)
         )
@@ -173,8 +175,10 @@ class BookStar:
     def dim_policy(self) -> DataFrame:
         return self._book.dim_policy if self._scored else self._book.unscored_policies
 
+    stored = True
+
     @property
-    def stored_policies(self) -> DataFrame:
+    def plain_policies(self) -> DataFrame:
         return self._book.unscored_policies
 
     @property

@@ -49,7 +49,7 @@ def duck(sf_dir: str):
 
 
 def main() -> int:
-    from tests.session import make_session
+    from brokerflow.checks.session import make_session
 
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
     spark, connection, failed = make_session(), duck(sf_dir), 0

@@ -1,4 +1,4 @@
-"""The local session of tests, benchmark and comparisons."""
+"""The local session of tests, benchmark and comparisons; its intermediate tables lie below /tmp/checkpoints."""
 
 from __future__ import annotations
 

@@ -60,5 +60,3 @@ MEASURES: dict[str, dict[str, tuple[str, str, tuple[str, ...]]]] = {
         "failure_count": ("sum", "failure_count", ("errors", "validation errors", "failures")),
     },
 }
-
-ROW_LIMIT = 100

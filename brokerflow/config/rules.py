@@ -1,7 +1,7 @@
 """The data-quality rule set.
 
 Row rules are Spark SQL predicates over one staged record. ``as_of`` stands for the run date.
-``policy_exists``, ``policy_copies`` and ``premium_score`` are columns that the referential,
+``policy_exists``, ``policy_copies`` and ``premium_distance`` are columns that the referential,
 batch and anomaly operators attach before the rules are evaluated.
 """
 
@@ -23,7 +23,6 @@ class Rule(NamedTuple):
 
 
 SEVERITIES = ("ERROR", "WARN", "INFO")
-EXPLANATION_CAP = 50
 
 # Rule ids, descriptions, severities and thresholds.
 RULES: tuple[Rule, ...] = (
@@ -64,7 +63,7 @@ RULES: tuple[Rule, ...] = (
     Rule("BATCH_001", "policy", "Duplicate policy numbers within a single broker batch", "WARN",
          "policy_copies = 1", ("broker_code", "policy_number"), "batch"),
     Rule("BATCH_002", "policy", "Premium anomaly (z-score > 3 vs broker/product history)", "WARN",
-         "premium_score IS NULL OR premium_score < 0.95", ("premium_amount",), "anomaly"),
+         "premium_distance IS NULL OR premium_distance <= 3", ("premium_amount",), "anomaly"),
 )
 
 

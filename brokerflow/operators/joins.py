@@ -4,9 +4,8 @@ A third of all rows may carry the same key, or no key at all. A plain shuffle jo
 to one task, and the adaptive skew join does not help when the lookup side is an aggregate. So:
 
 * a lookup whose measured size is small is broadcast (``lookup_join``);
-* otherwise the heaviest keys, found with a pre-aggregated count and a top-k, are joined by
-  broadcasting their at most k lookup rows, while their fact rows are spread over all tasks
-  (``hot_key_join``).
+* otherwise every key with more rows than a part of a task's share is split into as many slots as it
+  has such parts, and its lookup row is repeated for each slot (``hot_key_join``).
 
 No row is dropped and no key is duplicated: both ways give the plain join's result.
 """
@@ -18,27 +17,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerflow.plans.scratch import fits_broadcast, settle_measured, stored_size
+from brokerflow.plans.scratch import fits_broadcast, settle, settle_measured, stored_size
 
-# Every key holding more than 1/HOT_KEYS of the rows is among the HOT_KEYS most frequent ones.
-HOT_KEYS = 1000
+# A key is split from this part of a task's share of the rows on.
+PARTS_OF_A_TASK = 64
 SPREAD = 1 << 16
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], k: int = HOT_KEYS, min_rows: int = 2) -> DataFrame:
-    """The k most frequent non-NULL keys: at most k rows, whatever the size of the input."""
+def target_rows(rows: DataFrame) -> int:
+    """Rows that one key may bring to one task. Counting stored rows reads the files' footers only."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, rows.count() // (PARTS_OF_A_TASK * tasks))
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str], target: int) -> DataFrame:
+    """The non-NULL keys with more than ``target`` rows, and the slots to split each into.
+
+    There are fewer keys than rows / target, that is a few per task, and as few slots again.
+    """
     present = F.lit(True)
     for key in keys:
         present = present & F.col(key).isNotNull()
-    return (
-        rows.where(present)
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") >= min_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(k)
-        .select(*keys)
-    )
+    counts = rows.where(present).groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > target)
+    return counts.select(*keys, F.ceil(F.col("_n") / target).cast("int").alias("_slots"))
 
 
 def joint_key(*columns: str) -> Column:
@@ -57,9 +58,9 @@ def hot_key_join(
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    k: int = HOT_KEYS,
+    target: int | None = None,
 ) -> DataFrame:
-    """Join ``rows`` to ``lookup`` (unique on ``keys``) by shuffle, with the hot keys spread.
+    """Join ``rows`` to ``lookup`` (unique on ``keys``) by shuffle, with the hot keys split.
 
     ``spread_by`` names columns that differ between rows of the same key. Both inputs are read twice;
     settle them first when they are costly to build.
@@ -68,28 +69,22 @@ def hot_key_join(
         raise ValueError(f"unsupported join type {how!r}")
     keys = list(keys)
     values = [c for c in lookup.columns if c not in keys]
-    as_struct = lookup.select(*keys, F.struct(F.lit(1).alias("_hit"), *values).alias("_found"))
-
-    hot = hot_keys(rows, keys, k)
-    hot_found = as_struct.join(F.broadcast(hot), keys, "left_semi")  # at most k rows
-    hot_table = hot.join(F.broadcast(hot_found), keys, "left").select(
-        *keys, F.lit(1).alias("_is_hot"), F.col("_found").alias("_hot_found")
-    )
+    hot, size = settle_measured(hot_keys(rows, keys, target or target_rows(rows)), "hot")
+    hot = F.broadcast(hot) if fits_broadcast(size) else hot
 
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    slotted = rows.join(F.broadcast(hot_table), keys, "left").withColumn(
-        "_slot", F.when(no_key | F.col("_is_hot").isNotNull(), _spread(spread_by)).otherwise(F.lit(0))
-    )
-    # Only slot 0 has partners: hot rows took theirs from the broadcast, rows without a key have none.
-    # The zero is computed from the key: a literal would be folded into a filter, which leaves the
-    # plain key as the only join key and brings the hot rows together again.
+    spread = _spread(spread_by)
+    # Rows without a key have no partner in any slot. The zero is computed from the key: a literal would
+    # be folded into a filter, and the plain key would then be the only join key.
     zero = F.pmod(F.hash(*keys), F.lit(1))
-    cold = as_struct.withColumn("_slot", zero).withColumnRenamed("_found", "_cold_found")
-    joined = slotted.join(cold, [*keys, "_slot"], "left").withColumn(
-        "_found", F.coalesce("_hot_found", "_cold_found")
-    )
+    slot = F.when(no_key, -spread).when(F.col("_slots").isNotNull(), F.pmod(spread, "_slots")).otherwise(zero)
+    slotted = rows.join(hot, keys, "left").withColumn("_slot", slot.cast("int"))
+    found = F.struct(F.lit(1).alias("_hit"), *values).alias("_found")
+    last = F.coalesce(F.col("_slots"), F.lit(1)) - 1
+    repeated = lookup.join(hot, keys, "left").select(*keys, found, F.explode(F.sequence(F.lit(0), last)).alias("_slot"))
+    joined = slotted.join(repeated, [*keys, "_slot"], "left")
     if how == "inner":
         joined = joined.where(F.col("_found").isNotNull())
     return joined.select(*rows.columns, *[F.col(f"_found.{v}").alias(v) for v in values])
@@ -107,11 +102,11 @@ def lookup_join(
     """Join to a lookup (unique on ``keys``) in the way its measured size allows.
 
     The lookup is written out and measured on the way, unless it is ``stored`` already. It is
-    broadcast only if it fits; otherwise ``hot_key_join`` does the work.
+    broadcast only if it fits; otherwise ``hot_key_join`` does the work, on rows that are stored first.
     """
     keys = list(keys)
     table, size = (lookup, stored_size(lookup)) if stored else settle_measured(lookup, name)
     if fits_broadcast(size):
         values = [c for c in table.columns if c not in keys]
         return rows.join(F.broadcast(table), keys, how).select(*rows.columns, *values)
-    return hot_key_join(rows, table, keys, spread_by, how)
+    return hot_key_join(settle(rows, f"{name}-rows"), table, keys, spread_by, how)

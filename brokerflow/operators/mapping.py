@@ -15,6 +15,7 @@ from brokerflow.functions.payload import header_signature, with_payload_map
 from brokerflow.functions.sqltext import name, text
 from brokerflow.operators.joins import lookup_join
 from brokerflow.plans.scratch import settle
+from brokerflow.sources.envelopes import entity_of
 
 REGISTRY_SCHEMA = (
     "header_signature string, broker_code string, record_type string, source_headers array<string>, "
@@ -24,6 +25,7 @@ REGISTRY_SCHEMA = (
 SEED_CONFIDENCE = 1.0
 INFERRED_CONFIDENCE = 0.9
 MIN_SIMILARITY = 0.8
+ABBREVIATED = 0.9
 
 
 def to_broker_format(layouts: dict[str, dict[str, str]]) -> Column:
@@ -39,21 +41,19 @@ def to_broker_format(layouts: dict[str, dict[str, str]]) -> Column:
 
 
 def with_signature(raw: DataFrame) -> DataFrame:
-    """Add the parsed payload and the signature of its own headers to every landing row."""
+    """Add the parsed payload and the signature of its own headers to every landing row, unless it has them."""
+    if "header_signature" in raw.columns:
+        return raw
     return with_payload_map(raw).withColumn("header_signature", header_signature(F.map_keys("payload_map")))
 
 
-def _entity() -> Column:
-    return F.when(F.col("record_type").eqNullSafe("claim"), "claim").otherwise("policy")
-
-
 def layouts(raw: DataFrame) -> DataFrame:
     """Distinct header layouts with their record counts. Rows collapse before the shuffle."""
     return (
         with_signature(raw)
         .where(F.size("payload_map") > 0)
         .groupBy(
-            _entity().alias("record_type"),
+            entity_of(F.col("record_type")).alias("record_type"),
             "header_signature",
             F.array_sort(F.map_keys("payload_map")).alias("source_headers"),
         )
@@ -72,8 +72,8 @@ def distinct_headers(raw: DataFrame) -> DataFrame:
     Counted per layout first, so only a handful of rows per broker is exploded.
     """
     per_layout = (
-        with_payload_map(raw)
-        .groupBy("broker_code", _entity().alias("record_type"), F.array_sort(F.map_keys("payload_map")).alias("headers"))
+        with_signature(raw)
+        .groupBy("broker_code", entity_of(F.col("record_type")).alias("record_type"), F.array_sort(F.map_keys("payload_map")).alias("headers"))
         .agg(F.count("*").alias("n"))
     )
     return (
@@ -125,35 +125,71 @@ def new_signatures(seen: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
-def _bare(text: str) -> str:
-    return re.sub(r"[^a-z0-9]", "", text.lower())
+def _words(text: str) -> str:
+    """Lower-case words, also those of camel case, joined by blanks."""
+    apart = re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", text)
+    return " ".join(re.findall(r"[a-z0-9]+", apart.lower()))
 
 
 def known_headers() -> list[tuple[str, str, str]]:
-    """(record type, bare header, canonical field) from the canonical names and all broker layouts."""
-    known = {(entity, _bare(f), f) for entity in FIELDS for f in mapped_fields(entity)}
+    """(record type, words of the header, canonical field) from the canonical names and all broker layouts."""
+    known = {(entity, _words(f), f) for entity in FIELDS for f in mapped_fields(entity)}
     for broker in BROKERS.values():
         for entity, headers in broker.headers.items():
-            known |= {(entity, _bare(h), f) for h, f in headers.items()}
+            known |= {(entity, _words(h), f) for h, f in headers.items()}
     return sorted(known)
 
 
+def required_fields(entity: str) -> list[str]:
+    return [f.name for f in FIELDS[entity] if f.required]
+
+
+def _missing() -> Column:
+    """The required fields that a mapping leaves out."""
+    missing = F.array().cast("array<string>")
+    for entity in FIELDS:
+        wanted = F.array(*map(F.lit, required_fields(entity)))
+        missing = F.when(F.col("record_type") == entity, F.array_except(wanted, F.map_values("mapping"))).otherwise(missing)
+    return missing
+
+
 def match_headers(unmapped: DataFrame, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
+    """(record_type, header_signature, mapping) of the layouts in which every required field is found."""
+    found = propose_mapping(unmapped, min_similarity)
+    return found.where(F.size(_missing()) == 0)
+
+
+def incomplete_layouts(unmapped: DataFrame, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
+    """Layouts that stay unmapped: what was found of them, and the required fields that weren't."""
+    found = propose_mapping(unmapped, min_similarity)
+    layouts = unmapped.select("record_type", "header_signature", "source_headers").join(found, ["record_type", "header_signature"], "left")
+    known = layouts.withColumn("mapping", F.coalesce("mapping", F.create_map().cast("map<string,string>")))
+    return known.withColumn("missing", _missing()).where(F.size("missing") > 0)
+
+
+def propose_mapping(unmapped: DataFrame, min_similarity: float) -> DataFrame:
     """(record_type, header_signature, mapping) by comparing headers with the known ones.
 
     A header scores 1 on equality after dropping case and punctuation, else 1 - edit distance over
-    length. Every header proposes its best field; a field takes its best header.
+    length. One whose words each begin the word at the same place in a known header, with three letters
+    at least, scores ``ABBREVIATED``. Every header proposes its best field; a field takes its best header.
     """
     known = F.from_json(
         F.lit(json.dumps([dict(zip(("entity", "known", "field"), k)) for k in known_headers()])),
         "array<struct<entity:string,known:string,field:string>>",
     )
-    headers = unmapped.select(
-        "record_type", "header_signature", F.explode("source_headers").alias("header")
-    ).withColumn("bare", F.regexp_replace(F.lower("header"), "[^a-z0-9]", ""))
-    score = lambda k: 1 - F.levenshtein(F.col("bare"), k["known"]) / F.greatest(
-        F.length("bare"), F.length(k["known"]), F.lit(1)
+    apart = F.regexp_replace("header", "([a-z0-9])([A-Z])", "$1 $2")
+    headers = unmapped.select("record_type", "header_signature", F.explode("source_headers").alias("header")).withColumn(
+        "words", F.array_remove(F.split(F.lower(apart), "[^a-z0-9]+"), "")
     )
+
+    def score(k: Column) -> Column:
+        bare, known_bare, known_words = F.array_join("words", ""), F.replace(k["known"], F.lit(" "), F.lit("")), F.split(k["known"], " ")
+        alike = 1 - F.levenshtein(bare, known_bare) / F.greatest(F.length(bare), F.length(known_bare), F.lit(1))
+        begun = F.zip_with("words", known_words, lambda a, b: (a == b) | ((F.length(a) >= 3) & F.startswith(b, a)))
+        short = (F.size("words") == F.size(known_words)) & F.forall(begun, lambda same: F.coalesce(same, F.lit(False)))
+        return F.when(short, F.greatest(alike, F.lit(ABBREVIATED))).otherwise(alike)
+
     best = headers.withColumn(
         "best",
         F.array_max(
@@ -193,13 +229,15 @@ def resolve_unmapped(registry: DataFrame, matcher: Callable[[DataFrame], DataFra
     )
 
 
-def registry_for(raw: DataFrame, registry: DataFrame) -> DataFrame:
+def registry_for(
+    raw: DataFrame, registry: DataFrame, matcher: Callable[[DataFrame], DataFrame] = match_headers
+) -> DataFrame:
     """The registry extended by the layouts of these landing rows, resolved where possible.
 
     The landing rows are read once; what follows works on one row per layout.
     """
     new = settle(new_signatures(layouts(raw), registry), "layouts")
-    return resolve_unmapped(registry.unionByName(new))
+    return resolve_unmapped(registry.unionByName(new), matcher)
 
 
 def invert_mapping(registry: DataFrame, entity: str) -> DataFrame:
@@ -239,7 +277,7 @@ def unmapped_rows(raw: DataFrame, registry: DataFrame, entity: str) -> DataFrame
     signed = with_signature(raw)
     known = invert_mapping(registry, entity).select("header_signature", F.lit(True).alias("_known"))
     joined = lookup_join(signed, known, ["header_signature"], ["raw_id"], "left", "registry")
-    return joined.where(F.col("_known").isNull()).drop("_known", "payload_map", "header_signature")
+    return joined.where(F.col("_known").isNull()).drop("_known")
 
 
 def invalid_targets(registry: DataFrame) -> DataFrame:

@@ -8,17 +8,21 @@ trail explodes it.
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brokerflow.config.rules import EXPLANATION_CAP, RULES, SEVERITIES, Rule
+from brokerflow.config.rules import RULES, SEVERITIES, Rule
 from brokerflow.functions.compute import once
+from brokerflow.functions.keys import surrogate_key
 from brokerflow.functions.sqltext import name, text
+from brokerflow.operators.anomaly import POLICY_PEERS, changed_moments, moments, with_distance
 from brokerflow.operators.joins import joint_key, lookup_join
 from brokerflow.operators.upsert import upsert
 
+REQUIRED = ("rule_id", "entity", "description", "expression", "rule_type")
 PROMOTABLE = ("PASS", "WARN")
 CATALOG_SCHEMA = (
     "rule_id string, entity string, description string, severity string, rule_type string, "
@@ -34,6 +38,12 @@ def rule_rows(spark: SparkSession, rules: Iterable[Rule] = RULES) -> DataFrame:
     for rule in rules:
         if rule.severity not in SEVERITIES:
             raise ValueError(f"{rule.rule_id}: unknown severity {rule.severity!r}")
+        missing = [field for field in REQUIRED if not getattr(rule, field)]
+        if missing:
+            raise ValueError(f"rule {rule.rule_id!r} lacks {', '.join(missing)}")
+    twice = sorted(i for i, n in Counter(r.rule_id for r in rules).items() if n > 1)
+    if twice:
+        raise ValueError(f"rules with the same id: {', '.join(twice)}")
     return spark.createDataFrame(
         [
             (r.rule_id, r.entity, r.description, r.severity, r.rule_type, r.expression, r.explain, r.active)
@@ -75,8 +85,21 @@ def with_policy_copies(staged: DataFrame) -> DataFrame:
     return joined.withColumn("policy_copies", F.coalesce("policy_copies", F.lit(1))).drop("_pair")
 
 
-def with_policy(claims: DataFrame, policies: DataFrame) -> DataFrame:
-    """Add the keys of the referenced policy and whether it exists. ``policies`` is a stored table.
+def with_premium_distance(staged: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Add how many deviations the record's premium is from its peers' mean; NULL without a spread.
+
+    Peers are the records of the batch and, if given, those whose moments ``history`` holds, with the same
+    broker and product line. Reads ``staged`` twice.
+    """
+    value, group = POLICY_PEERS
+    keyed = staged.withColumn("broker_key", surrogate_key(F.col("broker_code")))
+    groups = changed_moments(history, moments(keyed, value, group), None)
+    far = with_distance(keyed, value, group, "stg_id", groups)
+    return far.select(*staged.columns, F.col("peer_distance").alias("premium_distance"))
+
+
+def with_policy(claims: DataFrame, policies: DataFrame, stored: bool = True) -> DataFrame:
+    """Add the keys of the referenced policy and whether it exists. ``policies`` is a stored table or is small.
 
     One join serves the referential rule and the claim fact. A policy with a third of all claims is
     spread over the tasks.
@@ -85,7 +108,7 @@ def with_policy(claims: DataFrame, policies: DataFrame) -> DataFrame:
         "policy_number", F.lit(True).alias("policy_exists"), "policy_key", "broker_key", "customer_key",
         "product_key",
     )
-    joined = lookup_join(claims, lookup, ["policy_number"], ["stg_id"], stored=True)
+    joined = lookup_join(claims, lookup, ["policy_number"], ["stg_id"], stored=stored)
     return joined.withColumn("policy_exists", F.coalesce("policy_exists", F.lit(False)))
 
 
@@ -161,33 +184,26 @@ def quarantine(checked: DataFrame, entity: str, quarantined_at: Column) -> DataF
     )
 
 
-def explain_sample(failures: DataFrame, rules: Sequence[Rule], cap: int = EXPLANATION_CAP) -> DataFrame:
-    """Plain explanations for the first failures of a batch, in a stable order.
-
-    The cap bounds the explained failures, as explanations may come from a paid model; the failures
-    themselves are all in the audit trail.
-    """
-    texts = {r.rule_id: r.description for r in rules if r.explain}
-    if not texts:
-        return failures.limit(0).select("rule_id", "stg_id", F.lit("").alias("explanation"))
-    description = F.lit(None)
-    for rule_id, text in texts.items():
-        description = F.when(F.col("rule_id") == rule_id, text).otherwise(description)
-    sample = (
-        failures.where(~F.col("passed") & F.col("rule_id").isin(*texts)).orderBy("rule_id", "stg_id").limit(cap)
-    )
-    return sample.select(
-        "rule_id",
-        "stg_id",
-        F.concat(
-            F.lit("This "), F.col("entity"), F.lit(" record failed the check '"), description,
-            F.lit("' ("), F.col("severity"), F.lit("): "), F.col("observed_value"), F.lit("."),
-        ).alias("explanation"),
+def explanation(rules: Sequence[Rule]) -> Column:
+    """Why a failed verdict of an explainable rule failed, from the verdict's own row; else NULL."""
+    described = F.lit(None).cast("string")
+    for rule in rules:
+        if rule.explain:
+            described = F.when(F.col("rule_id") == rule.rule_id, rule.description).otherwise(described)
+    told = F.concat(
+        described, F.lit(" - "), F.lower("severity"), F.lit(" on this "), F.col("entity"), F.lit(", which has "),
+        F.col("observed_value"),
     )
+    return F.when(~F.col("passed"), told)
+
+
+def explained(results: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The audit trail with an explanation of every failure."""
+    return results.withColumn("explanation", explanation(rules))
 
 
-def batch_log(checked: DataFrame, entity: str, n_rules: int, batch_id: str) -> DataFrame:
-    """One row of counts per batch."""
+def batch_log(checked: DataFrame, entity: str, n_rules: int, batch_id: str, started_at: dt.datetime | None = None) -> DataFrame:
+    """One row of counts per batch, with the time the checks began and that of the log."""
 
     def failures(severity: str) -> Column:
         failed = F.filter("verdicts", lambda v: ~v["passed"] & (v["severity"] == severity))
@@ -207,4 +223,6 @@ def batch_log(checked: DataFrame, entity: str, n_rules: int, batch_id: str) -> D
         "warn_failures",
         "quarantined",
         F.lit("SUCCESS").alias("status"),
+        F.lit(started_at).cast("timestamp").alias("started_at"),
+        F.current_timestamp().alias("ended_at"),
     )

@@ -33,8 +33,11 @@ def stage_policies(raw: DataFrame, registry: DataFrame, classify: bool = True) -
     )
 
 
-def stage_claims(raw: DataFrame, registry: DataFrame) -> DataFrame:
-    """Typed claims with the reporting lag and the tone of the narrative."""
+def stage_claims(raw: DataFrame, registry: DataFrame, score: bool = True) -> DataFrame:
+    """Typed claims with the reporting lag and the tone of the narrative.
+
+    ``score=False`` leaves the tone empty, to be set after the checks.
+    """
     text = project_canonical(raw, registry, "claim")
     typed = text.select(
         keys.staged_id(F.col("raw_id")).alias("stg_id"),
@@ -52,7 +55,7 @@ def stage_claims(raw: DataFrame, registry: DataFrame) -> DataFrame:
     return typed.select(
         *typed.columns[:-1],
         cleaning.days_between(F.col("loss_date"), F.col("reported_date")).alias("reporting_lag_days"),
-        claim_sentiment(F.col("loss_description")).alias("sentiment_score"),
+        (claim_sentiment(F.col("loss_description")) if score else F.lit(None).cast("double")).alias("sentiment_score"),
         "loaded_at",
     )
 

@@ -78,7 +78,9 @@ def upsert(
         return F.when(F.col("_matched"), F.col(f"_new_{name}").cast(fields[name])).otherwise(F.col(name)).alias(name)
 
     if fits_broadcast(size):
-        kept = target.join(F.broadcast(renamed), keys, "left").select(*[merged(c) for c in fields])
+        kept = target
+        if update_cols:
+            kept = target.join(F.broadcast(renamed), keys, "left").select(*[merged(c) for c in fields])
         added = unseen(target, new, size, keys)
         return kept.unionByName(added.select(*[inserted(c) for c in fields]))
 

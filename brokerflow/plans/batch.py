@@ -1,48 +1,95 @@
 """One batch through all stages: landing, staging, checks, star schema, scores.
 
 Policies are checked and promoted before the claims are checked, so that a claim finds the policy
-that came in the same batch. Product lines are set in staging, before the checks read them.
+that came in the same batch. Product lines are set in staging, before the checks read them, unless
+``Options`` ask for the other order.
+
+A batch costs what the batch holds. It writes its own rows to the keyed tables, reads the past only for
+the keys it touches, and keeps the peer groups' moments up to date, from which scores are computed when
+the star schema is read (``star_of``). Its intermediate tables are deleted at its end.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from typing import Any
+from contextvars import copy_context
+from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from brokerflow.config.rules import EXPLANATION_CAP, rules_for
-from brokerflow.operators import mapping, quality, star
-from brokerflow.operators.anomaly import score_claims, score_policies
+from brokerflow.config.rules import RULES, Rule
+from brokerflow.operators import enrich, mapping, quality, star
+from brokerflow.operators.anomaly import CLAIM_PEERS, POLICY_PEERS, changed_moments, moments, score_claims, score_policies, spread
+from brokerflow.operators.inference import Provider, infer_distinct
+from brokerflow.operators.joins import joint_key
 from brokerflow.operators.staging import stage_claims, stage_policies
-from brokerflow.plans.scratch import settle
-from brokerflow.plans.tables import Tables
+from brokerflow.operators.upsert import upsert
+from brokerflow.plans.landing import new_messages
+from brokerflow.plans.scratch import scope, settle, settle_measured
+from brokerflow.plans.tables import Keyed, Tables
 from brokerflow.plans.views import Star
-from brokerflow.sources.envelopes import dead_letters, drop_redelivered, parse_envelopes, route
+from brokerflow.sources import envelopes
+
+POLICIES = Keyed("dim_policy", ("policy_number",), tuple(star.POLICY_UPDATES))
+CLAIMS = Keyed("fact_claim", ("claim_number",), tuple(star.CLAIM_UPDATES))
+CUSTOMERS = Keyed("dim_customer", ("customer_id",))
+PREMIUMS = Keyed("fact_premium", ("policy_key",))
+KEYED = (POLICIES, CLAIMS, CUSTOMERS, PREMIUMS)
+
+STAGES = ("landing", "header_mapping", "unmapped", "dq_policy", "promote_policies", "dq_claim", "promote_claims")
+STAGE_LOG = (
+    "run_id string, step int, stage string, rows_in long, rows_out long, rows_rejected long, message string, status string, "
+    "started_at timestamp, logged_at timestamp"
+)
+RUN_LOG = "run_id string, status string, message string, started_at timestamp, ended_at timestamp"
+PRODUCT_ANSWER = T.StructType([T.StructField("answered_line", T.StringType())])
+
+
+class Options(NamedTuple):
+    """What a run may be given besides its messages.
+
+    ``rules`` are loaded into the rule catalog, whose active rules are evaluated. ``matcher`` maps unknown
+    layouts. ``product_model`` answers (product_name) with (answered_line) where the word lists leave a
+    policy unclassified. ``classify_after_checks`` is the order in which the checks see no product line.
+    """
+
+    rules: Sequence[Rule] = RULES
+    matcher: Callable[[DataFrame], DataFrame] = mapping.match_headers
+    product_model: Provider | None = None
+    model_name: str = "rules"
+    classify_after_checks: bool = False
 
 
 def together(*steps: Callable[[], Any]) -> list[Any]:
     """Run steps that do not need each other as concurrent Spark jobs; the first error is raised."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        return [f.result() for f in [pool.submit(step) for step in steps]]
+        return [f.result() for f in [pool.submit(copy_context().run, step) for step in steps]]
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
 
 
 class BatchRun:
     """The stages of one batch. Each writes its tables and a line of the stage log."""
 
-    def __init__(self, spark: SparkSession, tables: Tables, batch_id: int, as_of: dt.date):
+    def __init__(self, spark: SparkSession, tables: Tables, batch_id: int, as_of: dt.date, options: Options):
         self.spark = spark
         self.tables = tables
         self.batch_id = batch_id
         self.as_of = as_of
+        self.options = options
         self.run_id = f"batch-{batch_id}"
-        self.log: list[tuple[str, int, int, str]] = []
+        self.began = _now()
+        self.log: dict[str, tuple] = {}
+        self.rules: dict[str, list[Rule]] = {}
 
-    def _note(self, stage: str, rows_out: int, rows_rejected: int = 0, message: str = "") -> None:
-        self.log.append((stage, rows_out, rows_rejected, message))
+    def _note(self, stage: str, rows_in: int, rows_out: int, rejected: int, began: dt.datetime, message: str = "") -> None:
+        self.log[stage] = (self.run_id, STAGES.index(stage), stage, rows_in, rows_out, rejected, message, "SUCCESS", began, _now())
 
     def _append(self, name: str, df: DataFrame) -> int:
         return self.tables.append(name, df, self.batch_id)
@@ -53,120 +100,275 @@ class BatchRun:
     def _before(self, name: str) -> DataFrame | None:
         return self.tables.current(name, before=self.batch_id)
 
+    def _now_current(self, name: str) -> DataFrame | None:
+        return self.tables.current(name, before=self.batch_id + 1)
+
     def run(self, messages: DataFrame) -> str:
+        later = [n for n in self.tables.batches("raw") if n > self.batch_id]
+        if later:
+            raise ValueError(f"batch {self.batch_id} is older than batch {later[0]}: rewind to it and run all later batches again")
+        for table in KEYED:
+            self.tables.drop_bases(table, self.batch_id)
+        self._status("RUNNING", "")
+        failure = ""
+        try:
+            with scope(self.spark, self.run_id):
+                self._stages(messages)
+                for table in KEYED:
+                    self.tables.compact(table, self.batch_id)
+        except Exception as error:
+            failure = f"{type(error).__name__}: {error}"[:500]
+            raise
+        finally:
+            self._finish(failure)
+        done = sorted(self.log.values(), key=lambda entry: entry[1])
+        return " | ".join(f"{stage}: {out} out, {bad} rejected" for _, _, stage, _, out, bad, *_ in done)
+
+    def _stages(self, messages: DataFrame) -> None:
+        self.load_catalog()
         todo = self.land(messages)
-        registry = self.map_headers(todo)
-        policies, claims = route(todo)
-        staged_claims, _, _ = together(
-            lambda: settle(stage_claims(claims, registry), "claims"),
+        registry, todo = self.map_headers(todo)
+        policies, claims = envelopes.route(todo)
+        early = not self.options.classify_after_checks
+        staged_claims, _, staged_policies = together(
+            lambda: settle(stage_claims(claims, registry, early), "claims"),
             lambda: self.keep_unmapped(policies, claims, registry),
-            lambda: self.promote_policies(stage_policies(policies, registry)),
+            lambda: settle(self.classified(stage_policies(policies, registry, early)), "policies"),
         )
+        self.promote_policies(staged_policies)
         self.promote_claims(staged_claims)
-        return self.finish()
+
+    # ------------------------------------------------------------ landing
 
     def land(self, messages: DataFrame) -> DataFrame:
-        """Append the batch to landing; returns it together with the rows still waiting."""
-        new = drop_redelivered(messages)
+        """Append what is new to landing; returns the usable rows."""
+        began = _now()
+        new, came = new_messages(self.tables, self.batch_id, messages)
         landed, dead = together(
-            lambda: self._append("raw", parse_envelopes(new)),
-            lambda: self._append("dead_letter", dead_letters(new)),
+            lambda: self._append("raw", envelopes.landed(new)),
+            lambda: self._append("dead_letter", envelopes.dead(new)),
         )
-        self._note("landing", landed, dead)
-        raw = self.tables.read_batch("raw", self.batch_id)
-        waiting = self._before("waiting")
-        return raw if waiting is None else raw.unionByName(waiting)
+        self._note("landing", came, landed, dead, began)
+        return envelopes.usable(new)
+
+    # ------------------------------------------------------------ header mapping
 
-    def map_headers(self, raw: DataFrame) -> DataFrame:
+    def map_headers(self, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The registry with the batch's layouts; and the rows to stage, with those that waited for their layout."""
+        began = _now()
         known = self._before("registry")
         if known is None:
             known = mapping.seed_mappings(self.spark)
-        n = self._swap("registry", mapping.registry_for(raw, known))
-        self._note("header_mapping", n)
-        return self.tables.current("registry")
+        n = self._swap("registry", mapping.registry_for(new, known, self.options.matcher))
+        registry = self._now_current("registry")
+        todo, released = new, 0
+        held = self.tables.batches("waiting_layouts", self.batch_id)
+        free = self.spark.createDataFrame([], "record_type string, header_signature string")
+        if held:
+            layouts = self.tables.read_batches("waiting_layouts", held).select("record_type", "header_signature").distinct()
+            done = self.tables.read_batches("released", self.tables.batches("released", self.batch_id)).drop("batch_id")
+            mapped = registry.where("mapping IS NOT NULL").select("record_type", "header_signature")
+            key = ["record_type", "header_signature"]
+            free = settle(layouts.join(done, key, "left_anti").join(mapped, key, "left_semi"), "free")
+            released = free.count()
+            if released:
+                rows = self.tables.read_batches("waiting", held).drop("batch_id").withColumn("_entity", envelopes.entity_of(F.col("record_type")))
+                asked = free.withColumnRenamed("record_type", "_entity")
+                todo = new.unionByName(rows.join(asked, ["_entity", "header_signature"], "left_semi").select(*new.columns))
+        self._append("released", free)
+        self._note("header_mapping", n, n, 0, began, f"{released} waiting layouts released" if released else "")
+        return registry, todo
 
     def keep_unmapped(self, policies: DataFrame, claims: DataFrame, registry: DataFrame) -> None:
-        waiting = mapping.unmapped_rows(policies, registry, "policy").unionByName(
-            mapping.unmapped_rows(claims, registry, "claim")
+        began = _now()
+        waiting = mapping.unmapped_rows(policies, registry, "policy").unionByName(mapping.unmapped_rows(claims, registry, "claim"))
+        n = self._append("waiting", waiting)
+        rows = self.tables.read_batch("waiting", self.batch_id)
+        layouts = rows.groupBy(envelopes.entity_of(F.col("record_type")).alias("record_type"), "header_signature")
+        self._append("waiting_layouts", layouts.agg(F.count("*").alias("records")))
+        self._note("unmapped", n, n, 0, began, "rows waiting for a mapping" if n else "")
+
+    # ------------------------------------------------------------ enrichment
+
+    def classified(self, staged: DataFrame) -> DataFrame:
+        """Ask the model, if there is one, about policies that the word lists leave unclassified."""
+        model = self.options.product_model
+        if model is None or self.options.classify_after_checks:
+            return staged
+        held = settle(staged, "unclassified")
+        open_ = F.coalesce("product_line", F.lit("OTHER")) == "OTHER"
+        asked = held.where(open_).select("stg_id", "product_name")
+        earlier = self.tables.batches("model_answers", self.batch_id)
+        cache = self.tables.read_batches("model_answers", earlier).drop("batch_id") if earlier else None
+        answered, fresh, calls = infer_distinct(
+            asked, ["product_name"], model, PRODUCT_ANSWER, cache, ["stg_id"], "product_line", self.options.model_name
         )
-        self._note("unmapped", self._swap("waiting", waiting), 0, "rows waiting for a mapping")
+        self._append("model_answers", fresh)
+        self._append("model_call_log", calls)
+        lines = answered.select("stg_id", "answered_line")
+        return held.join(lines, "stg_id", "left").withColumn(
+            "product_line", F.when(open_, F.coalesce("answered_line", "product_line")).otherwise(F.col("product_line"))
+        ).drop("answered_line")
 
-    def _check(self, staged: DataFrame, entity: str, types: tuple[str, ...]) -> DataFrame:
+    # ------------------------------------------------------------ checks
+
+    def load_catalog(self) -> None:
+        rules = quality.rule_rows(self.spark, self.options.rules)
+        self._swap("rule_catalog", quality.load_rules(self._before("rule_catalog"), rules))
+
+        catalog = self._now_current("rule_catalog")
+        self.rules = {entity: quality.rules_from_catalog(catalog, entity, self.options.rules) for entity in ("policy", "claim")}
+
+    def _check(self, staged: DataFrame, entity: str) -> DataFrame:
         """Evaluate the rules and write the staged batch with its verdicts; returns it."""
-        rules = rules_for(entity, *types)
-        self._append(f"stg_{entity}", quality.check(staged, rules, self.as_of))
+        self._append(f"stg_{entity}", quality.check(staged, self.rules[entity], self.as_of))
         return self.tables.read_batch(f"stg_{entity}", self.batch_id)
 
-    def _report(self, checked: DataFrame, entity: str, types: tuple[str, ...]) -> None:
+    def _report(self, checked: DataFrame, entity: str, began: dt.datetime) -> None:
         """Write audit trail, quarantine and batch log of a checked batch."""
-        rules = rules_for(entity, *types)
+        rules = self.rules[entity]
         now = F.lit(self.as_of).cast("timestamp_ntz")
-        results = quality.results(checked, entity, self.run_id, now)
-        explained = quality.explain_sample(results, rules, EXPLANATION_CAP)  # at most the cap
-        audit = results.join(F.broadcast(explained), ["rule_id", "stg_id"], "left")
-        summary = quality.batch_log(checked, entity, len(rules), self.run_id)
-        verdicts, blocked, _ = together(
+        audit = quality.explained(quality.results(checked, entity, self.run_id, now), rules)
+        summary = quality.batch_log(checked, entity, len(rules), self.run_id, began)
+        _, blocked, _ = together(
             lambda: self._append(f"dq_result_{entity}", audit),
             lambda: self._append(f"quarantine_{entity}", quality.quarantine(checked, entity, now)),
             lambda: self._append(f"dq_batch_log_{entity}", summary),
         )
-        self._note(f"dq_{entity}", verdicts // len(rules) - blocked, blocked)
+        n = checked.count()
+        self._note(f"dq_{entity}", n, n - blocked, blocked, began)
+
+    # ------------------------------------------------------------ promotion
 
     def promote_policies(self, staged: DataFrame) -> None:
-        types = ("expression", "batch")
-        checked = self._check(quality.with_policy_copies(staged), "policy", types)
+        began = _now()
+        known = self._before(f"peers_{POLICIES.name}")
+        measured = quality.with_premium_distance(quality.with_policy_copies(staged), known)
+        checked = self._check(measured, "policy")
         good = quality.promotable(checked)
-
-        def customers() -> None:
-            known = self.tables.read_before("dim_customer", self.batch_id)
-            self._append("dim_customer", star.new_customers(known, star.customer_rows(good)))
+        if self.options.classify_after_checks:
+            good = settle(enrich.classify_missing(good), "classified")
 
         def policies() -> None:
-            rows = settle(star.policy_rows(good, self.as_of), "policy_rows")
-            facts = self.tables.read_before("fact_premium", self.batch_id)
-            self._append("fact_premium", star.premium_rows(rows, facts))
-            merged = star.dim_policy(self._before("dim_policy"), rows)
-            self._note("promote_policies", self._swap("dim_policy", score_policies(settle(merged, "dim_policy"))))
+            started = _now()
+            rows, size = settle_measured(star.policy_rows(good, self.as_of), "policy_rows")
+            self.tables.merge(PREMIUMS, star.premium_rows(rows, None), self.batch_id)
+            self._score_peers(POLICIES, POLICY_PEERS, "policy_key", rows, size)
+            n = self.tables.merge(POLICIES, rows, self.batch_id)
+            self._note("promote_policies", n, n, 0, started)
 
         together(
-            lambda: self._report(checked, "policy", types),
-            customers,
+            lambda: self._report(checked, "policy", began),
+            lambda: self.tables.merge(CUSTOMERS, star.customer_rows(good), self.batch_id),
             policies,
             lambda: self._swap("dim_product", star.product_rows(self.spark)),
         )
 
     def promote_claims(self, staged: DataFrame) -> None:
-        types = ("expression", "referential")
-        checked = self._check(quality.with_policy(staged, self.tables.current("dim_policy")), "claim", types)
+        began = _now()
+        numbers, size = settle_measured(staged.select("policy_number").distinct(), "numbers")
+        known = self.tables.touched(POLICIES, numbers, size, self.batch_id + 1)
+        checked = self._check(quality.with_policy(staged, known, stored=False), "claim")
         good = quality.promotable(checked)
+        if self.options.classify_after_checks:
+            good = settle(enrich.score_missing_sentiment(good), "scored")
 
         def brokers() -> None:
             codes = star.broker_rows(self.tables.read_batch("stg_policy", self.batch_id), checked)
             self._swap("dim_broker", star.dim_broker(self._before("dim_broker"), codes))
 
         def claims() -> None:
-            merged = star.fact_claim(self._before("fact_claim"), star.claim_rows(good))
-            n = self._swap("fact_claim", score_claims(settle(merged, "fact_claim")))
-            self._note("promote_claims", n)
-
-        together(lambda: self._report(checked, "claim", types), brokers, claims)
-
-    def finish(self) -> str:
-        rows = [(self.run_id, i, *entry, "SUCCESS") for i, entry in enumerate(self.log)]
-        schema = "run_id string, step int, stage string, rows_out long, rows_rejected long, message string, status string"
-        self._append("stage_log", self.spark.createDataFrame(rows, schema))
-        return " | ".join(f"{stage}: {out} out, {bad} rejected" for stage, out, bad, _ in self.log)
-
-
-def run_batch(spark: SparkSession, tables: Tables, batch_id: int, messages: DataFrame, as_of: dt.date) -> str:
-    return BatchRun(spark, tables, batch_id, as_of).run(messages)
+            started = _now()
+            rows, size = settle_measured(star.claim_rows(good), "claim_rows")
+            self._score_peers(CLAIMS, CLAIM_PEERS, "claim_key", rows, size)
+            n = self.tables.merge(CLAIMS, rows, self.batch_id)
+            self._note("promote_claims", n, n, 0, started)
+
+        together(lambda: self._report(checked, "claim", began), brokers, claims)
+
+    def _score_peers(self, table: Keyed, peers: tuple[str, tuple[str, ...]], key: str, rows: DataFrame, size: int) -> None:
+        """Bring the peer groups' moments up to date, and keep scores that can't be computed any more."""
+        name = table.name
+        known = self._before(f"peers_{name}")
+        old = self.tables.touched(table, rows, size, self.batch_id)
+        if old is None:
+            now, gone = rows, None
+        else:
+            old = settle(old, f"old_{name}")
+            others = [c for c in rows.columns if c not in table.keys]
+            now = settle(upsert(old, rows, table.keys, table.updates, others).select(*rows.columns), f"now_{name}")
+            gone = moments(old, *peers)
+        self._swap(f"peers_{name}", changed_moments(known, moments(now, *peers), gone))
+        self._append(f"{name}_scores", self._kept_scores(table, peers, key, old, now, known))
+
+    def _kept_scores(
+        self, table: Keyed, peers: tuple[str, tuple[str, ...]], key: str, old: DataFrame | None, now: DataFrame, known: DataFrame | None
+    ) -> DataFrame:
+        """The last scores of rows whose group has no spread any more, since such rows keep theirs."""
+        none = self.spark.createDataFrame([], f"{key} string, anomaly_score double, anomaly_reason string")
+        if old is None or known is None:
+            return none
+        score = score_policies if table is POLICIES else score_claims
+        spread_now = spread(self._now_current(f"peers_{table.name}")).select("peers")
+        flat = now.withColumn("peers", joint_key(*peers[1])).join(spread_now, "peers", "left_anti").select(key)
+        kept = score(old, groups=known).join(flat, key, "left_semi")
+        lost = settle(spread(known).select("peers").join(spread_now, "peers", "left_anti"), "lost")
+        if lost.count():
+            others = self.tables.keyed(table, self.batch_id).join(now.select(key), key, "left_anti")
+            members = others.withColumn("peers", joint_key(*peers[1])).join(F.broadcast(lost), "peers", "left_semi").drop("peers")
+            kept = kept.unionByName(score(members.select(*kept.columns), groups=known))
+        return none.unionByName(kept.where("anomaly_score IS NOT NULL").select(*none.columns))
+
+    # ------------------------------------------------------------ logs
+
+    def _status(self, status: str, message: str) -> None:
+        ended = None if status == "RUNNING" else _now()
+        row = self.spark.createDataFrame([(self.run_id, status, message, self.began, ended)], RUN_LOG)
+        self._swap("run_log", row)
+
+    def _finish(self, failure: str) -> None:
+        rows = sorted(self.log.values(), key=lambda entry: entry[1])
+        if failure:
+            at = next((s for s in STAGES if s not in self.log), STAGES[-1])
+            rows.append((self.run_id, STAGES.index(at), at, 0, 0, 0, failure, "ERROR", self.began, _now()))
+        self._append("stage_log", self.spark.createDataFrame(rows, STAGE_LOG))
+        self._status("FAILED" if failure else "SUCCESS", failure)
+
+
+def run_batch(spark: SparkSession, tables: Tables, batch_id: int, messages: DataFrame, as_of: dt.date, options: Options | None = None) -> str:
+    """Run the batch, which must be the newest one; running it again replaces what it wrote."""
+    return BatchRun(spark, tables, batch_id, as_of, options or Options()).run(messages)
+
+
+def waiting_rows(tables: Tables) -> DataFrame | None:
+    """The rows that still wait for a mapping of their layout."""
+    held = tables.batches("waiting")
+    if not held:
+        return None
+    released = tables.read_batches("released", tables.batches("released")).select(F.col("record_type").alias("_entity"), "header_signature").distinct()
+    rows = tables.read_batches("waiting", held).withColumn("_entity", envelopes.entity_of(F.col("record_type")))
+    return rows.join(released, ["_entity", "header_signature"], "left_anti").drop("_entity")
+
+
+def _scored(tables: Tables, table: Keyed, key: str) -> DataFrame:
+    rows = tables.keyed(table)
+    batches = tables.batches(f"{table.name}_scores")
+    kept = tables.read_batches(f"{table.name}_scores", batches).groupBy(key).agg(
+        F.max_by(F.struct("anomaly_score", "anomaly_reason"), "batch_id").alias("_kept")
+    )
+    old = rows.join(kept, key, "left").select(
+        *[F.col(f"_kept.{c}").alias(c) if c in ("anomaly_score", "anomaly_reason") else F.col(c) for c in rows.columns]
+    )
+    score = score_policies if table is POLICIES else score_claims
+    return score(old, groups=tables.current(f"peers_{table.name}"))
 
 
 def star_of(tables: Tables) -> Star:
-    """The star schema as the last batch left it."""
+    """The star schema as the last batch left it, scored against the peer groups as they are now."""
     return Star(
         tables.current("dim_broker"),
-        tables.read("dim_customer"),
-        tables.current("dim_policy"),
-        tables.current("fact_claim"),
+        tables.keyed(CUSTOMERS),
+        _scored(tables, POLICIES, "policy_key"),
+        _scored(tables, CLAIMS, "claim_key"),
+        tables.keyed(POLICIES),
     )

@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerflow.config.model import DIMENSIONS, MEASURES, ROW_LIMIT
+from brokerflow.config.model import DIMENSIONS, MEASURES
 
 # A catalog maps a view name to a function from the needed columns to the frame.
 Catalog = dict[str, Callable[[Sequence[str]], DataFrame]]
@@ -50,7 +50,7 @@ def metric_query(
     order_by: Sequence[tuple[str, str]] = (),
     limit: int | None = None,
 ) -> DataFrame:
-    """Measures by dimensions of one view. Without a measure, rows, ``ROW_LIMIT`` of them by default.
+    """Measures by dimensions of one view; without a measure, its rows. All of them unless ``limit`` is given.
 
     ``order_by`` holds (name, "asc" | "desc"); NULLs come last either way.
     """
@@ -78,7 +78,6 @@ def metric_query(
         rows = rows.groupBy(*by).agg(*aggregates)
     else:
         rows = rows.select(*by)
-        limit = ROW_LIMIT if limit is None else limit
 
     order = []
     for name, direction in order_by:

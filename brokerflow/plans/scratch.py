@@ -8,14 +8,17 @@ named by ``spark.checkpoint.dir``, so losing executors loses nothing.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A lookup table is sent to every executor only up to this many bytes of row text.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Stored tables with more rows are not even measured.
-MEASURED_ROWS = 500_000
+
+_scope: ContextVar[str] = ContextVar("scope", default="kept")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,7 +28,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{_scope.get()}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """What is settled inside is deleted at the end, also after an error."""
+    token = _scope.set(f"{name}-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        _delete(spark, f"{shared_folder(spark)}/{_scope.get()}")
+        _scope.reset(token)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -48,11 +62,9 @@ def settle_measured(df: DataFrame, name: str) -> tuple[DataFrame, int]:
 
 
 def stored_size(table: DataFrame) -> int | None:
-    """Bytes of all rows of a stored table as text; None when it has too many rows to bother.
-
-    Counting the rows of parquet files reads their footers only.
-    """
-    if table.count() > MEASURED_ROWS:
+    """Bytes of all rows of a stored table as text; None when its files alone are too large to broadcast."""
+    files = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if files > BROADCAST_BYTES:
         return None
     return table.agg(F.coalesce(F.sum(_row_bytes()), F.lit(0)).alias("bytes")).first()["bytes"]
 
@@ -63,5 +75,9 @@ def fits_broadcast(size: int | None) -> bool:
 
 def release(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_folder(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

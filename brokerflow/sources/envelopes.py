@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from brokerflow.config.brokers import CHANNEL_PREFIX, CLAIM_TOPIC, POLICY_TOPIC, UNKNOWN_BROKER
 from brokerflow.functions import keys
 from brokerflow.functions.compute import once
-from brokerflow.functions.payload import is_object_text
+from brokerflow.functions.payload import TEXT_MAP, header_signature, is_object_text
+from brokerflow.plans.scratch import fits_broadcast, settle_measured
 
 LOG_SCHEMA = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
+PLACE = ("topic", "partition", "offset")
+LANDING = (
+    "raw_id", "broker_code", "source_format", "record_type", "payload", "kafka_topic", "kafka_partition", "kafka_offset",
+    "message_key", "ingest_channel", "ingested_at",
+)
+NO_OBJECT = "not a JSON object"
+NO_FIELDS = "no payload fields"
 _ENVELOPE = "broker_code string, source_format string, record_type string, payload string, _corrupt string"
 
 
@@ -31,8 +39,13 @@ def read_envelopes(spark: SparkSession, options: dict[str, str], max_per_trigger
     return reader.load().select("key", "value", "topic", "partition", "offset", "timestamp")
 
 
-def _decode(messages: DataFrame) -> DataFrame:
-    """Add ``_env`` and ``_readable`` (false for a message that is no JSON object) to the log columns."""
+def decode(messages: DataFrame) -> DataFrame:
+    """Landing columns, parsed once: also the payload as a map, the signature of its headers and, where
+    a message can't be used, the problem.
+
+    A message that is no JSON object has no landing row. One without payload fields has, but no mapping
+    will ever fit it.
+    """
     text = messages.withColumn("_text", F.col("value").cast("string"))
     is_object = is_object_text(F.col("_text"))
     parsed = once(text, "_v", F.when(is_object, F.try_parse_json("_text")))
@@ -51,13 +64,12 @@ def _decode(messages: DataFrame) -> DataFrame:
     # Texts VARIANT refuses although they are objects: repeated members, NaN.
     loose = F.when(is_object, F.from_json("_text", _ENVELOPE, {"columnNameOfCorruptRecord": "_corrupt"}))
     decoded = once(parsed, "_env", F.when(F.col("_v").isNotNull(), exact).otherwise(loose))
-    return decoded.withColumn("_readable", F.col("_env").isNotNull() & F.col("_env._corrupt").isNull()).drop("_v")
-
-
-def parse_envelopes(messages: DataFrame) -> DataFrame:
-    """Landing rows with lineage, one per readable message."""
-    env = _decode(messages).where("_readable")
-    return env.select(
+    loose_map = F.when(is_object_text(F.col("_env.payload")), F.from_json("_env.payload", TEXT_MAP))
+    exact_map = F.try_variant_get("_v", "$.payload", TEXT_MAP)
+    mapped = once(decoded, "payload_map", F.when(F.col("_v").isNotNull(), exact_map).otherwise(loose_map))
+    readable = F.col("_env").isNotNull() & F.col("_env._corrupt").isNull()
+    fields = F.coalesce(F.size("payload_map"), F.lit(0)) > 0
+    return mapped.select(
         keys.raw_id(F.col("topic"), F.col("partition"), F.col("offset")).alias("raw_id"),
         F.coalesce("_env.broker_code", F.lit(UNKNOWN_BROKER)).alias("broker_code"),
         F.col("_env.source_format").alias("source_format"),
@@ -69,18 +81,41 @@ def parse_envelopes(messages: DataFrame) -> DataFrame:
         F.when(F.length("key") > 0, F.col("key").cast("string")).alias("message_key"),
         F.concat_ws("-", F.lit(CHANNEL_PREFIX), F.coalesce("_env.record_type", F.lit("x"))).alias("ingest_channel"),
         F.col("timestamp").cast("timestamp_ntz").alias("ingested_at"),
+        "payload_map",
+        header_signature(F.map_keys("payload_map")).alias("header_signature"),
+        F.when(~readable, NO_OBJECT).when(~fields, NO_FIELDS).alias("problem"),
+        F.col("_text").alias("text"),
+        "timestamp",
     )
 
 
-def dead_letters(messages: DataFrame) -> DataFrame:
-    """Messages that are no JSON object, as they came, with their place in the log."""
-    return (
-        _decode(messages)
-        .where("NOT _readable")
-        .select("topic", "partition", "offset", F.col("_text").alias("value"), "timestamp")
+def landed(decoded: DataFrame) -> DataFrame:
+    """The landing rows among decoded messages."""
+    return decoded.where(~F.col("problem").eqNullSafe(NO_OBJECT)).select(*LANDING)
+
+
+def usable(decoded: DataFrame) -> DataFrame:
+    """The landing rows that a mapping may fit, with their payload as a map."""
+    return decoded.where("problem IS NULL").select(*LANDING, "payload_map", "header_signature")
+
+
+def dead(decoded: DataFrame) -> DataFrame:
+    """The messages that can't be used, as they came, with their place in the log and the problem."""
+    return decoded.where("problem IS NOT NULL").select(
+        F.col("kafka_topic").alias("topic"), F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"),
+        F.col("text").alias("value"), "timestamp", "problem",
     )
 
 
+def parse_envelopes(messages: DataFrame) -> DataFrame:
+    """Landing rows with lineage, one per readable message."""
+    return landed(decode(messages))
+
+
+def dead_letters(messages: DataFrame) -> DataFrame:
+    return dead(decode(messages))
+
+
 def entity_of(record_type: Column) -> Column:
     """Claims are claims, everything else is handled as a policy."""
     return F.when(record_type.eqNullSafe("claim"), "claim").otherwise("policy")
@@ -95,10 +130,18 @@ def route(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def drop_redelivered(messages: DataFrame, late: str = "1 hour") -> DataFrame:
     """One row per place in the log.
 
-    A batch aggregates on the map side first. On a stream, where the same place can only come again
-    within the redelivery delay, the watermark bounds the state.
+    Repeats are rare and messages are wide. So a batch, which is read twice, counts places alone; only the
+    messages of repeated places are dealt out to keep one each. On a stream, where the same place can only
+    come again within the redelivery delay, the watermark bounds the state.
     """
-    place = ["topic", "partition", "offset"]
     if messages.isStreaming:
-        return messages.withWatermark("timestamp", late).dropDuplicatesWithinWatermark(place)
-    return messages.dropDuplicates(place)
+        return messages.withWatermark("timestamp", late).dropDuplicatesWithinWatermark(list(PLACE))
+    repeated = messages.groupBy(*PLACE).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    single = without_places(messages, repeated)
+    return single.unionByName(messages.join(repeated, list(PLACE), "left_semi").dropDuplicates(list(PLACE)))
+
+
+def without_places(messages: DataFrame, places: DataFrame) -> DataFrame:
+    """The messages whose place is not among some; these are few as a rule, and then broadcast."""
+    known, size = settle_measured(places, "places")
+    return messages.join(F.broadcast(known) if fits_broadcast(size) else known, list(PLACE), "left_anti").select(*messages.columns)

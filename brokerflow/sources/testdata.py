@@ -28,6 +28,7 @@ SCHEMAS = {
     "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
     "l_shipdate timestamp_ntz",
+    "conversations": "conv_id long, turn long, role string, text string",
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
 }
 
@@ -40,11 +41,12 @@ _PRODUCT = (
 _STATE = (
     "element_at(array('OPEN', 'IN_REVIEW', 'APPROVED', 'PAID', 'DENIED', 'CLOSED'), cast(l_partkey % 6 + 1 AS int))"
 )
+# A narrative names part and supplier of the line, with words that the keys choose.
 _NARRATIVE = (
-    "element_at(array('Minor damage to the rear bumper, repaired quickly.', "
-    "'Burst pipe caused severe water damage.', 'Windscreen cracked by road debris.', "
-    "'Bicycle stolen from the garage, theft reported.', 'Claim settled after prompt inspection.', "
-    "'Routine notification without further detail.'), cast(l_suppkey % 6 + 1 AS int))"
+    "'Part ' || l_partkey || ' of supplier ' || l_suppkey || ': ' || "
+    "element_at(array('damaged', 'repaired', 'weighed', 'stolen', 'recovered', 'broken', 'counted'), cast(l_suppkey % 7 + 1 AS int)) || "
+    "', then ' || element_at(array('settled', 'disputed', 'noted', 'safe', 'destroyed'), cast(l_partkey % 5 + 1 AS int)) || "
+    "CASE WHEN (l_partkey + l_suppkey) % 3 = 0 THEN ' without delay' ELSE '' END"
 )
 
 
@@ -86,15 +88,14 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical claims, one per returned line."""
-    lines = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
-    narrow = lines.select(
+    """Canonical claims, one per line."""
+    narrow = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"
     )
     shaped = _spread(narrow, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").selectExpr(
         "l_orderkey AS order_key",
         "(l_partkey + l_suppkey) % 100 AS defect",
-        "concat_ws('-', 'CLM', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line_id",
+        "concat_ws('-', 'CLM', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(round(l_extendedprice * 100) AS bigint)) AS line_id",
         "cast(l_extendedprice AS decimal(18,2)) AS amount",
         "cast(l_shipdate AS date) AS shipped",
         "cast(l_partkey % 46 AS int) AS delay",
@@ -205,7 +206,7 @@ def _messages(wire: DataFrame, entity: str, topic: str, record_type: str, offset
         f"{offset} AS offset",
         "ingested_at AS timestamp",
         "explode(CASE defect WHEN 61 THEN array(1, 2) ELSE array(1) END) AS copy",
-    ).drop("copy")
+    )
 
 
 def policy_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,3 +244,19 @@ def as_raw_events(events: DataFrame) -> DataFrame:
         "CASE WHEN event_type IN ('purchase', 'signup') THEN 'policy' ELSE 'claim' END AS record_type",
         "ts AS ingested_at",
     )
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log records of both topics; some come twice, which ``copy`` numbers."""
+    return policy_messages(spark, sf_dir).unionByName(claim_messages(spark, sf_dir))
+
+
+def delivered(sent: DataFrame, deliveries: int) -> DataFrame:
+    """``messages`` with the number of the ``delivery`` each comes in.
+
+    Policies come by the number of their order, claims with their order or one delivery later, so that some
+    come before their policy. What is sent again comes one delivery later than before.
+    """
+    late = F.when(F.col("topic") == CLAIM_TOPIC, F.col("offset") % 2).otherwise(0)
+    first = (F.col("partition") + late) % deliveries
+    return sent.withColumn("delivery", F.least(first + F.col("copy") - 1, F.lit(deliveries - 1)).cast("int")).drop("copy")

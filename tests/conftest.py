@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from brokerflow.plans.scratch import release
-from tests.session import make_session
+from brokerflow.checks.session import make_session
 
 
 @pytest.fixture(scope="session")

@@ -28,10 +28,10 @@ def as_set(df):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("k", [1, 1000])
-def test_hot_key_join_equals_the_plain_join(spark, how, k):
+@pytest.mark.parametrize("target", [1, 3, None])
+def test_hot_key_join_equals_the_plain_join(spark, how, target):
     a, b = rows(spark), lookup(spark)
-    assert as_set(hot_key_join(a, b, ["key"], ["id"], how, k)) == as_set(a.join(b, "key", how))
+    assert as_set(hot_key_join(a, b, ["key"], ["id"], how, target)) == as_set(a.join(b, "key", how))
 
 
 @pytest.mark.parametrize("stored", [True, False])
@@ -58,8 +58,25 @@ def test_hot_rows_do_not_meet_in_one_partition(spark):
 
 
 def test_hot_keys_are_bounded(spark):
-    assert hot_keys(rows(spark), ["key"], k=1).collect()[0].key == "hot"
-    assert hot_keys(rows(spark), ["key"], k=5).count() == 5
+    (hot,) = hot_keys(rows(spark), ["key"], 100).collect()
+    assert (hot.key, hot["_slots"]) == ("hot", 10)
+    assert hot_keys(rows(spark), ["key"], 1).count() <= 3000
+
+
+def test_many_equally_heavy_keys_are_all_split(spark):
+    """More heavy keys than any fixed list would hold: every one of them goes to several slots."""
+    heavy = spark.range(60_000).select("id", F.concat(F.lit("k"), F.col("id") % 1500).alias("key"))
+    names = spark.range(1500).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("value"))
+    assert hot_keys(heavy, ["key"], 10).where("_slots = 4").count() == 1500
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = hot_key_join(heavy, names, ["key"], ["id"], "inner", 10)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 60_000 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
 
 
 def test_joint_key_tells_null_from_blank(spark):
@@ -73,4 +90,4 @@ def test_hot_key_join_on_any_input(spark, keys, known):
     a = spark.createDataFrame(list(enumerate(keys)), "id long, key string")
     b = spark.createDataFrame([(k, ord(k)) for k in known], "key string, value long")
     wanted = sorted((i, k or "~", ord(k) if k in known else -1) for i, k in enumerate(keys))
-    assert as_set(hot_key_join(a, b, ["key"], ["id"], k=1)) == wanted
+    assert as_set(hot_key_join(a, b, ["key"], ["id"], target=1)) == wanted

@@ -89,17 +89,31 @@ def test_known_layouts_are_not_registered_again(spark):
 
 
 def test_inference_by_name_and_spelling(spark):
-    payload = {"POLICY NUMBER": 1, "customer-name": 1, "insuredNam": 1, "Premium_Amount": 1, "favourite colour": 1}
+    payload = {"POLICY NUMBER": 1, "customer-name": 1, "insuredNam": 1, "Prem (USD)": 1, "favourite colour": 1,
+               "TSI": 1, "Prod": 1, "inception date": 1, "EXP_DT": 1}
     rows = raw(spark, ("NEW", "policy", payload))
     (row,) = mapping.registry_for(rows, mapping.seed_mappings(spark)).where("broker_code = 'NEW'").collect()
     assert row.mapping == {
         "POLICY NUMBER": "policy_number",
         "customer-name": "customer_name",  # exact beats the near miss insuredNam: a field is used once
-        "Premium_Amount": "premium_amount",
+        "Prem (USD)": "premium_amount",  # short for Premium (USD)
+        "TSI": "sum_insured",
+        "Prod": "product_name",
+        "inception date": "effective_date",
+        "EXP_DT": "expiry_date",
     }
     assert (row.mapping_source, row.confidence) == ("inferred", 0.9)
 
 
+def test_partly_matched_layout_stays_unmapped_and_is_reported(spark):
+    rows = raw(spark, ("NEW", "claim", {"DOL": 1, "Claim Ref": 1, "colour": 1}))
+    registry = mapping.registry_for(rows, mapping.seed_mappings(spark))
+    (row,) = mapping.incomplete_layouts(registry.where("mapping IS NULL")).collect()
+    assert row.mapping == {"DOL": "loss_date", "Claim Ref": "claim_number"}
+    assert sorted(row.missing) == ["claim_amount", "claim_status", "policy_number", "reported_date"]
+    assert mapping.unmapped_rows(rows, registry, "claim").count() == 1
+
+
 def test_layout_nothing_matches_stays_unmapped_and_waits(spark):
     rows = raw(spark, ("NEW", "policy", {"zzz": 1}), ("BRK_BETA", "policy", {h: "1" for h in BROKERS["BRK_BETA"].headers["policy"]}))
     registry = mapping.registry_for(rows, mapping.seed_mappings(spark))
@@ -171,35 +185,45 @@ def test_json_block_in_prose(spark, text, wanted):
     assert rows.select(first_json_object(F.col("t")).alias("m")).first().m == wanted
 
 
-def test_file_readers(spark, tmp_path):
+def test_delimited_files_are_read_by_their_own_header(spark, tmp_path):
     headers = list(BROKERS["BRK_ALPHA"].headers["policy"])
     (tmp_path / "a.csv").write_text(
         ",".join(headers) + "\n"
-        'P1,Ann,Motor,"$1,240.00",2025-01-01,2026-01-01,100,A1\n'
+        'P1,"Ann, Jr",Motor,"$1,240.00",2025-01-01,2026-01-01,100,A1\n'
         "P2,Bob,Motor,$1,240.00,2025-01-01,2026-01-01,100,A1\n"
-        "P3,Cid\n"
+        "P3,Cid\n\n"
     )
-    rows = {r["Policy No"]: r for r in files.read_broker_csv(spark, str(tmp_path / "a.csv"), headers).collect()}
-    assert rows["P1"]["Premium (USD)"] == "$1,240.00"
-    assert (rows["P2"]["Premium (USD)"], rows["P2"]["Start"]) == ("$1", "240.00")  # shifted, as it came
-    assert rows["P2"][files.CORRUPT].startswith("P2,")
-    assert rows["P3"]["Premium (USD)"] is None
-
-    beta = list(BROKERS["BRK_BETA"].headers["policy"])
-    (tmp_path / "b.json").write_text(json.dumps([{"policyId": "P4", "annualPremium": 820.5}, {"policyId": "P5"}], indent=1))
-    rows = {r["policyId"]: r for r in files.read_broker_json(spark, str(tmp_path / "b.json"), beta).collect()}
-    assert rows["P4"]["annualPremium"] == "820.5"
-    assert rows["P5"]["annualPremium"] is None
-
+    (tmp_path / "b.csv").write_text("\ufeffNew Column,Policy No,Policy No\nx,P4,P5\n")  # another order and another column
+    (tmp_path / "c.csv").write_text("Policy No\n")
+    rows = files.read_broker_csv(spark, str(tmp_path)).collect()
+    good = {r["values"]["Policy No"]: r["values"] for r in rows if r[files.CORRUPT] is None}
+    assert set(good) == {"P1", "P4"}
+    assert (good["P1"]["Premium (USD)"], good["P1"]["Cust Name"]) == ("$1,240.00", "Ann, Jr")
+    assert good["P4"] == {"New Column": "x", "Policy No": "P4", "Policy No #2": "P5"}
+    assert sorted(r[files.CORRUPT][:3] for r in rows if r[files.CORRUPT] is not None) == ["P2,", "P3,"]
+
+
+def test_json_files_keep_every_field(spark, tmp_path):
+    (tmp_path / "b.json").write_text(json.dumps([{"policyId": "P4", "annualPremium": 30000000.10, "new": {"a": 1}}, {"policyId": "P5"}], indent=1))
+    (tmp_path / "broken.json").write_text('[{"policyId": ')
+    (tmp_path / "none.json").write_text("[]")
+    rows = files.read_broker_json(spark, str(tmp_path)).collect()
+    good = {r["values"]["policyId"]: r["values"] for r in rows if r[files.CORRUPT] is None}
+    assert good["P4"]["annualPremium"] in ("30000000.1", "30000000.10") and json.loads(good["P4"]["new"]) == {"a": 1}
+    assert good["P5"] == {"policyId": "P5"}
+    assert [r[files.CORRUPT] for r in rows if r[files.CORRUPT] is not None] == ['[{"policyId": ']
+
+
+def test_files_become_envelopes_and_dead_lines(spark, tmp_path):
+    (tmp_path / "b.json").write_text(json.dumps([{"policyId": "P4", "surplus": "s"}]))
     gamma = list(BROKERS["BRK_GAMMA"].headers["claim"])
-    (tmp_path / "c.psv").write_text("|".join(gamma) + "\nC1|P1|2025-01-01|2025-01-02|5,0|OPEN|a, b\n")
-    wrapped = files.files_to_envelopes(
-        spark,
-        {("BRK_BETA", "policy"): str(tmp_path / "b.json"), ("BRK_GAMMA", "claim"): str(tmp_path / "c.psv")},
-    )
-    by_type = {r.record_type: r for r in wrapped.where("record_type = 'claim'").collect()}
+    (tmp_path / "c.psv").write_text("|".join(gamma) + "\nC1|P1|2025-01-01|2025-01-02|5,0|OPEN|a, b\nC2|P1\n")
+    paths = {("BRK_BETA", "policy"): str(tmp_path / "b.json"), ("BRK_GAMMA", "claim"): str(tmp_path / "c.psv")}
+    by_type = {r.record_type: r for r in files.files_to_envelopes(spark, paths).collect()}
     assert by_type["claim"].source_format == "csv"
     assert json.loads(by_type["claim"].payload)["REMARKS"] == "a, b"
-    assert mapping.new_signatures(
-        mapping.layouts(wrapped.withColumn("ingested_at", F.lit(NOW).cast("timestamp_ntz"))), mapping.seed_mappings(spark)
-    ).count() == 0
+    assert json.loads(by_type["policy"].payload) == {"policyId": "P4", "surplus": "s"}
+    (dead,) = files.dead_lines(files.read_deliveries(spark, paths)).collect()
+    assert (dead.record_type, dead.value) == ("claim", "C2|P1")
+    wrapped = files.files_to_envelopes(spark, paths).where("record_type = 'claim'").withColumn("ingested_at", F.lit(NOW).cast("timestamp_ntz"))
+    assert mapping.new_signatures(mapping.layouts(wrapped), mapping.seed_mappings(spark)).count() == 0

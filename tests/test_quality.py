@@ -127,16 +127,14 @@ def test_quarantine_keeps_the_whole_record(spark):
     assert set(snapshot) == set(POLICY)
 
 
-def test_explanations_are_capped_and_stable(spark):
-    rows = checked(spark, "claim", *[{"claim_status": "LOST"} for _ in range(9)], {"claim_number": ""})
-    failures = quality.results(rows, "claim", "b", now(), only_failed=True)
-    sample = quality.explain_sample(failures, rules_for("claim"), cap=3).collect()
-    assert [(r.rule_id, r.stg_id) for r in sample] == [("CLM_001", "s9"), ("CLM_007", "s0"), ("CLM_007", "s1")]
-    assert sample[1].explanation == (
-        "This claim record failed the check 'Claim status must be a recognized value' (WARN): claim_status=LOST."
-    )
+def test_every_failure_is_explained(spark):
+    rows = checked(spark, "claim", *[{"claim_status": "LOST"} for _ in range(90)], {"claim_number": ""})
+    results = quality.explained(quality.results(rows, "claim", "b", now()), rules_for("claim"))
+    told = {(r.rule_id, r.stg_id): r.explanation for r in results.where("explanation IS NOT NULL").collect()}
+    assert len(told) == 91 and results.where("NOT passed").count() == 91
+    assert told["CLM_007", "s1"] == "Claim status must be a recognized value - warn on this claim, which has claim_status=LOST"
     quiet = [r._replace(explain=False) for r in rules_for("claim")]
-    assert quality.explain_sample(failures, quiet).count() == 0
+    assert quality.explained(results.drop("explanation"), quiet).where("explanation IS NOT NULL").count() == 0
 
 
 def test_batch_log(spark):
@@ -168,5 +166,6 @@ def test_catalog_is_upserted(spark):
     assert (row.description, row.active) == ("new text", False)
     active = [r.rule_id for r in quality.rules_from_catalog(merged, "policy")]
     assert "POL_900" in active and "POL_001" not in active
-    with pytest.raises(ValueError):
-        quality.rule_rows(spark, [Rule("X", "policy", "", "FATAL", "true", ())])
+    for bad in ([Rule("X", "policy", "d", "FATAL", "true", ())], [Rule("X", "policy", "", "WARN", "true", ())], [RULES[0], RULES[0]]):
+        with pytest.raises(ValueError):
+            quality.rule_rows(spark, bad)

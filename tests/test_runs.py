@@ -5,13 +5,17 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from brokerflow.checks.book import Book
 from brokerflow.config.brokers import BROKERS
-from brokerflow.plans.batch import run_batch, star_of
-from brokerflow.plans.tables import Tables
+from brokerflow.config.rules import RULES
+from brokerflow.plans import batch as batch_module
+from brokerflow.plans.batch import CLAIMS, CUSTOMERS, POLICIES, PREMIUMS, Options, run_batch, star_of, waiting_rows
+from brokerflow.plans.scratch import shared_folder
+from brokerflow.plans.tables import Keyed, Tables
 from brokerflow.plans.views import claims_view, policies_view
 from brokerflow.sources import envelopes as ev
 from brokerflow.streaming import ingest
@@ -39,10 +43,11 @@ FIRST = [policy("P1"), policy("P2", premium="-1"), claim("C1", "P1"), claim("C2"
 SECOND = [policy("P1", premium="250"), policy("P2"), claim("C1", "P1", "paid"), claim("C3", "P2")]
 
 
-def tables_after(spark, path, *batches):
+def tables_after(spark, path, *batches, options=None):
+    """The tables after some batches, each with its own places in the log."""
     tables = Tables(spark, str(path))
     for i, values in batches:
-        run_batch(spark, tables, i, log(spark, values), AS_OF)
+        run_batch(spark, tables, i, log(spark, values, start=20 * i), AS_OF, options)
     return tables
 
 
@@ -59,14 +64,14 @@ def two_batches(spark, tmp_path_factory):
 
 def test_first_batch_and_its_waiting_rows(spark, tmp_path):
     tables = tables_after(spark, tmp_path, (0, FIRST))
-    assert [r.policy_number for r in tables.current("dim_policy").collect()] == ["P1"]
-    assert [r.claim_number for r in tables.current("fact_claim").collect()] == ["C1"]  # C2 refers to a blocked policy
+    assert [r.policy_number for r in tables.keyed(POLICIES).collect()] == ["P1"]
+    assert [r.claim_number for r in tables.keyed(CLAIMS).collect()] == ["C1"]  # C2 refers to a blocked policy
     assert tables.read("dead_letter").count() == 1
-    assert tables.current("waiting").count() == 1
+    assert waiting_rows(tables).count() == 1
     blocked = tables.read("quarantine_claim").first()
     assert blocked.failed_rules == ["CLM_008"]
     results = tables.read("dq_result_policy")
-    assert results.where("rule_id = 'POL_002' AND NOT passed").first().explanation.startswith("This policy record failed")
+    assert results.where("rule_id = 'POL_002' AND NOT passed").first().explanation.startswith("Premium must be a positive number - error on this policy, which has premium_amount=-1")
     log_rows = {r.stage: (r.rows_out, r.rows_rejected) for r in tables.read("stage_log").collect()}
     assert log_rows["landing"] == (5, 1)
     assert log_rows["dq_policy"] == (1, 1)
@@ -77,27 +82,27 @@ def test_first_batch_and_its_waiting_rows(spark, tmp_path):
         "mapping", F.when(F.col("broker_code") == "B", F.create_map(F.lit("zzz"), F.lit("policy_number"))).otherwise(F.col("mapping"))
     )
     tables.swap("registry", known, 1)
-    run_batch(spark, tables, 2, log(spark, [policy("P9")]), AS_OF)
-    assert tables.current("waiting").count() == 0
+    run_batch(spark, tables, 2, log(spark, [policy("P9")], start=50), AS_OF)
+    assert waiting_rows(tables).count() == 0
     assert sorted(r.policy_number for r in tables.read_batch("stg_policy", 2).collect()) == ["1", "P9"]
 
 
 def test_second_batch_merges(spark, two_batches):
-    policies = {r.policy_number: r for r in two_batches.current("dim_policy").collect()}
+    policies = {r.policy_number: r for r in two_batches.keyed(POLICIES).collect()}
     assert {n: float(p.premium_amount) for n, p in policies.items()} == {"P1": 250.0, "P2": 100.0}
-    claims = {r.claim_number: r.claim_status for r in two_batches.current("fact_claim").collect()}
+    claims = {r.claim_number: r.claim_status for r in two_batches.keyed(CLAIMS).collect()}
     assert claims == {"C1": "PAID", "C3": "OPEN"}
-    premiums = {r.policy_key: float(r.premium_amount) for r in two_batches.read("fact_premium").collect()}
+    premiums = {r.policy_key: float(r.premium_amount) for r in two_batches.keyed(PREMIUMS).collect()}
     assert premiums == {policies["P1"].policy_key: 100.0, policies["P2"].policy_key: 100.0}
-    assert two_batches.read("dim_customer").count() == 1
-    assert two_batches.current("waiting").count() == 1  # the unmapped row was not lost
+    assert two_batches.keyed(CUSTOMERS).count() == 1
+    assert waiting_rows(two_batches).count() == 1  # the unmapped row was not lost
     assert two_batches.read("raw").count() == 9
 
 
 def test_running_a_batch_again_changes_nothing(spark, two_batches):
     appended = ("raw", "stg_policy", "dq_result_claim", "quarantine_policy", "stage_log")
     before = content(two_batches), [two_batches.read(n).count() for n in appended]
-    run_batch(spark, two_batches, 1, log(spark, SECOND), AS_OF)
+    run_batch(spark, two_batches, 1, log(spark, SECOND, start=20), AS_OF)
     assert (content(two_batches), [two_batches.read(n).count() for n in appended]) == before
 
 
@@ -105,8 +110,8 @@ def test_streamed_batches_equal_batch_runs(spark, tmp_path, two_batches):
     """Two files as two micro-batches, the query stopped in between, give the tables of two runs."""
     source, root, state = (str(tmp_path / n) for n in ("log", "tables", "state"))
     tables = Tables(spark, root)
-    for values in (FIRST, SECOND):
-        rows = log(spark, values).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    for i, values in enumerate((FIRST, SECOND)):
+        rows = log(spark, values, start=20 * i).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
         rows.coalesce(1).write.mode("append").parquet(source)
         stream = ingest.read_log_files(spark, source, ev.LOG_SCHEMA, max_files=1)
         ingest.stream_batches(stream, tables, state, lambda: AS_OF, every=None).awaitTermination()
@@ -122,7 +127,7 @@ def test_landing_stream(spark, tmp_path):
     ingest.append_raw(stream, tables, state, every=None).awaitTermination()
     assert tables.read("raw_policy").count() == 4
     assert tables.read("raw_claim").count() == 2
-    assert tables.read("dead_letter").count() == 1
+    assert sorted(r.problem for r in tables.read("dead_letter").collect()) == ["no payload fields", "not a JSON object"]
     ingest.append_raw(stream, tables, state, every=None).awaitTermination()  # nothing new
     assert tables.read("raw_policy").count() == 4
 
@@ -138,7 +143,7 @@ def test_redelivery_on_a_stream(spark, tmp_path):
     assert spark.read.parquet(out).count() == len(FIRST)
 
 
-def test_snapshots_ignore_unfinished_ones_and_are_pruned(spark, tmp_path):
+def test_snapshots_ignore_unfinished_ones(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     assert tables.current("t") is None
     for n in range(5):
@@ -146,7 +151,168 @@ def test_snapshots_ignore_unfinished_ones_and_are_pruned(spark, tmp_path):
     (tmp_path / "t" / "snapshot=9").mkdir()
     assert tables.current("t").count() == 4
     assert tables.current("t", before=4).count() == 3
-    assert len(list((tmp_path / "t").glob("snapshot=*/_SUCCESS"))) == 3
+    assert tables.current("t", before=1).count() == 0  # nothing is pruned by itself
+    tables.prune(3)
+    assert tables.snapshots("t") == [2, 3, 4]  # batch 3 starts from snapshot 2
+
+
+def test_keyed_tables_merge_deliveries_on_read(spark, tmp_path, monkeypatch):
+    tables = Tables(spark, str(tmp_path))
+    table = Keyed("t", ("k",), ("a",))
+    assert tables.keyed(table) is None
+    for n, rows in enumerate(([("x", 1, 1), ("y", 2, 2)], [("y", 20, 20)], [("y", None, 30), ("z", 3, 3)], [("x", 9, 9)])):
+        tables.merge(table, spark.createDataFrame(rows, "k string, a int, b int"), n)
+    wanted = [("x", 9, 1), ("y", None, 2), ("z", 3, 3)]
+
+    def content(df):
+        return sorted(map(tuple, df.collect()))
+
+    assert content(tables.keyed(table)) == wanted
+    assert content(tables.keyed(table, before=2)) == [("x", 1, 1), ("y", 20, 2)]
+    asked = spark.createDataFrame([("y",), ("q",)], "k string")
+    for size in (1, 1 << 40):
+        assert content(tables.touched(table, asked, size, 4)) == [("y", None, 2)]
+    assert tables.compact(table, 2) and content(tables.keyed(table)) == wanted
+    assert not tables.compact(Keyed("none", ("k",)), 2)
+    assert content(tables.touched(table, asked, 1, 4)) == [("y", None, 2)]
+    tables.rewind(2)
+    assert content(tables.keyed(table)) == [("x", 1, 1), ("y", 20, 2)]
+
+
+def everything(tables):
+    """All tables of a run as values, times and run numbers aside."""
+    appended = ("raw", "dead_letter", "stg_policy", "stg_claim", "dq_result_policy", "dq_result_claim", "quarantine_policy", "quarantine_claim")
+    skipped = {"evaluated_at", "quarantined_at"}
+    rows = {n: sorted(map(str, tables.read(n).drop(*skipped).collect())) for n in appended}
+    rows["star"] = content(tables)
+    for table in (POLICIES, CLAIMS, CUSTOMERS, PREMIUMS):
+        rows[table.name] = sorted(map(str, tables.keyed(table).collect()))
+    rows["peers"] = sorted(map(str, tables.current("peers_dim_policy").collect()))
+    return rows
+
+
+THIRD = [policy("P5"), claim("C9", "P5"), policy("P1", premium="300")]
+EARLY = [policy("P1"), claim("C9", "P5"), policy("P2", premium="-1")]  # C9's policy comes one batch later
+
+
+def test_older_batches_are_refused_and_repeat_after_a_rewind(spark, tmp_path):
+    batches = [(0, EARLY), (1, THIRD)]
+    tables = tables_after(spark, tmp_path, *batches)
+    first = everything(tables)
+    assert tables.read_batch("stg_claim", 0).first().dq_status == "FAIL"
+    with pytest.raises(ValueError, match="older than batch 1"):
+        run_batch(spark, tables, 0, log(spark, EARLY), AS_OF)
+    assert everything(tables) == first
+    tables.rewind(0)
+    for i, values in batches:
+        run_batch(spark, tables, i, log(spark, values, start=20 * i), AS_OF)
+    assert everything(tables) == first
+    assert tables.read_batch("stg_claim", 0).first().dq_status == "FAIL"
+
+
+def test_a_place_in_the_log_lands_once_and_empty_payloads_are_dead(spark, tmp_path):
+    odd = [json.dumps({"broker_code": "B", "record_type": "policy", "payload": p}) for p in ({}, None, [1], "text")]
+    tables = Tables(spark, str(tmp_path))
+    run_batch(spark, tables, 0, log(spark, [*odd, "junk", policy("P1")]), AS_OF)
+    run_batch(spark, tables, 1, log(spark, [policy("P1"), policy("P3")], start=5), AS_OF)  # place 5 comes again
+    raw = tables.read("raw")
+    assert (raw.count(), raw.select("raw_id").distinct().count()) == (6, 6)
+    problems = sorted(r.problem for r in tables.read("dead_letter").collect())
+    assert problems == ["no payload fields"] * 4 + ["not a JSON object"]
+    assert waiting_rows(tables).count() == 0
+
+
+def test_the_catalog_steers_the_checks(spark, tmp_path):
+    off = [r._replace(active=False) if r.rule_id == "POL_002" else r for r in RULES]
+    changed = [r._replace(expression="length(customer_name) >= 5", severity="WARN") if r.rule_id == "POL_006" else r for r in off]
+    tables = tables_after(spark, tmp_path, (0, FIRST), options=Options(rules=changed))
+    rules = {r.rule_id for r in tables.read("dq_result_policy").select("rule_id").distinct().collect()}
+    assert "POL_002" not in rules and "BATCH_002" in rules and "BATCH_001" in rules
+    assert sorted(r.policy_number for r in tables.keyed(POLICIES).collect()) == ["P1", "P2"]
+    assert {r.dq_status for r in tables.read("stg_policy").where("policy_number = 'P1'").collect()} == {"WARN"}
+    assert tables.current("rule_catalog").count() == len(RULES)
+
+
+def test_far_premiums_are_in_the_audit_trail(spark, tmp_path):
+    values = [policy(f"P{i}", premium=str(100 + i % 3)) for i in range(20)] + [policy("FAR", premium="9000")]
+    tables = tables_after(spark, tmp_path, (0, values))
+    failed = tables.read("dq_result_policy").where("rule_id = 'BATCH_002' AND NOT passed").collect()
+    assert [r.observed_value for r in failed] == ["premium_amount=9000.00"]
+    assert "z-score > 3" in failed[0].explanation
+
+
+def test_scores_follow_from_moments_as_if_all_was_scored_again(spark, tmp_path):
+    """Updates, moves between groups, and a group that loses its spread, over five batches."""
+    deliveries = [
+        [policy(f"P{i}", premium=str(100 + 7 * i)) for i in range(12)],
+        [policy("P3", premium="5000"), policy("Q1", premium="10", broker="BRK_GAMMA"), policy("Q2", premium="30", broker="BRK_GAMMA")],
+        [policy("P4", broker="BRK_BETA"), policy("P5", broker="BRK_BETA", premium="900")],
+        [policy("Q2", premium="10", broker="BRK_GAMMA")],
+        [policy("P3", premium="101"), claim("C1", "P1"), claim("C2", "P2", amount="90")],
+    ]
+    tables = Tables(spark, str(tmp_path))
+    kept = {}
+    for i, values in enumerate(deliveries):
+        run_batch(spark, tables, i, log(spark, values, start=30 * i), AS_OF)
+        rows = tables.keyed(POLICIES).toPandas()
+        rows["x"] = rows.premium_amount.astype(float)
+        peers = rows.groupby(["broker_key", "product_line"])["x"]
+        rows["score"] = ((rows.x - peers.transform("mean")).abs() / peers.transform("std") / 3).clip(upper=1)
+        flat = ~(peers.transform("std") > 0)
+        kept |= {r.policy_number: r.score for r in rows[~flat].itertuples()}
+        got = {r.policy_number: r.anomaly_score for r in star_of(tables).dim_policy.collect()}
+        for number in rows.policy_number:
+            assert got[number] == (pytest.approx(kept[number], abs=1e-9) if number in kept else None), (i, number)
+
+
+def test_untouched_files_stay_and_scratch_is_gone(spark, tmp_path):
+    tables = tables_after(spark, tmp_path, (0, [policy(f"P{i}") for i in range(30)]))
+    files = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    run_batch(spark, tables, 1, log(spark, [policy("P3", premium="7")], start=40), AS_OF)
+    assert {p: p.stat().st_mtime_ns for p in files} == files
+    assert tables.read_batch("dim_policy_changes", 1).count() == 1 and tables.snapshots("dim_policy_base") == [0]
+    held = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/batch-*")
+    assert not held.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(held)
+
+
+def test_a_failed_batch_is_logged_and_leaves_no_scratch(spark, tmp_path, monkeypatch):
+    def broken(*_):
+        raise RuntimeError("no space left")
+
+    tables = Tables(spark, str(tmp_path))
+    monkeypatch.setattr(batch_module.star, "claim_rows", broken)
+    with pytest.raises(RuntimeError):
+        run_batch(spark, tables, 0, log(spark, FIRST), AS_OF)
+    last = tables.read("stage_log").orderBy("step").collect()[-1]
+    assert (last.stage, last.status) == ("promote_claims", "ERROR") and "no space left" in last.message
+    assert tables.current("run_log").first().status == "FAILED"
+    held = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/batch-*")
+    assert not held.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(held)
+    monkeypatch.undo()
+    run_batch(spark, tables, 0, log(spark, FIRST), AS_OF)
+    assert [(r.stage, r.status) for r in tables.read("stage_log").orderBy("step").collect()] == [(s, "SUCCESS") for s in batch_module.STAGES]
+    assert tables.current("run_log").first().status == "SUCCESS"
+
+
+def test_a_model_answers_what_the_word_lists_leave_open(spark, tmp_path):
+    asked = []
+
+    def model(batch):
+        return pd.DataFrame({"answered_line": ["MARINE" if "boat" in p else None for p in batch["product_name"]]})
+
+    values = [policy("P1", product_name="big boat"), policy("P2", product_name="big boat"), policy("P3"), policy("P4", product_name="odd")]
+    tables = tables_after(spark, tmp_path, (0, values), (1, [policy("P7", product_name="big boat")]), options=Options(product_model=model, model_name="m1"))
+    lines = {r.policy_number: r.product_line for r in tables.keyed(POLICIES).collect()}
+    assert lines == {"P1": "MARINE", "P2": "MARINE", "P3": "AUTO", "P4": "OTHER", "P7": "MARINE"} and not asked
+    calls = tables.read("model_call_log").collect()
+    assert {c.model for c in calls} == {"m1"} and all(c.batch_id == 0 for c in calls)  # batch 1 asks nothing new
+
+
+def test_checks_before_classification(spark, tmp_path):
+    tables = tables_after(spark, tmp_path, (0, FIRST), options=Options(classify_after_checks=True))
+    assert {r.product_line for r in tables.keyed(POLICIES).collect()} == {"AUTO"}
+    assert tables.read("dq_result_policy").where("rule_id = 'POL_008' AND passed").count() == 0
+    assert [r.sentiment_score for r in tables.keyed(CLAIMS).collect()] == [0.0]
 
 
 def test_kafka_source_needs_its_connector(spark):

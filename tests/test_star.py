@@ -144,7 +144,7 @@ def test_scores_against_pandas(spark, monkeypatch, limit):
         else:
             assert got[n].anomaly_score == pytest.approx(score)
     assert got["NULL"].anomaly_score is None and got["NULL"].anomaly_reason is None
-    assert got["BIG"].anomaly_reason.startswith("Claim amount of 9000.00 is far from the typical claim of ")
+    assert got["BIG"].anomaly_reason.startswith("amount 9000.00 against a mean of ")
     assert got["C1"].anomaly_reason is None
 
 
@@ -172,11 +172,13 @@ def test_provider_sees_each_distinct_input_once(spark):
 
     def provider(batch):
         assert batch["t"].is_unique and "ccc" not in set(batch["t"])
-        return pd.DataFrame({"length": batch["t"].str.len().astype("Int64")})
+        return pd.DataFrame({"length": batch["t"].str.len().fillna(0).astype("Int64")})
 
     answered, known, log = inference.infer_distinct(rows, ["t"], provider, OUT, cache, ["id"], "count")
-    assert {r.id: r.length for r in answered.collect()} == {0: 1, 1: 2, 2: 1, 3: None, 4: 99, 5: 1}
-    assert known.where("t = 'a'").count() == 1
+    assert {r.id: r.length for r in answered.collect()} == {0: 1, 1: 2, 2: 1, 3: 0, 4: 99, 5: 1}
+    assert {r.t: r.length for r in known.collect()} == {"a": 1, "bb": 2, None: 0}
+    again, nothing, _ = inference.infer_distinct(rows, ["t"], provider, OUT, cache.unionByName(known), ["id"], "count")
+    assert nothing.count() == 0 and {r.id: r.length for r in again.collect()}[3] == 0
     calls = log.collect()
     assert all(c.success and c.task == "count" and c.latency_ms >= 0 for c in calls)
 
@@ -187,10 +189,23 @@ def test_failed_provider_calls_are_logged_and_not_cached(spark):
     def provider(batch):
         raise RuntimeError("no answer")
 
-    answered, known, log = inference.infer_distinct(rows, ["t"], provider, OUT, None, ["id"])
+    answered, known, log = inference.infer_distinct(rows, ["t"], provider, OUT, None, ["id"], attempts=2, most_failed=1.0)
     assert answered.first().length is None
     assert known.count() == 0
-    assert [c.success for c in log.collect()] == [False]
+    assert [(c.success, c.inputs) for c in log.collect()] == [(False, 1)] * 2
+    with pytest.raises(RuntimeError, match="no answer to 1 of 1"):
+        inference.infer_distinct(rows, ["t"], provider, OUT, None, ["id"])
+
+
+def test_null_keys_of_several_columns_are_answered(spark):
+    rows = spark.createDataFrame([(1, None, "x"), (2, None, None), (3, "a", "x"), (4, None, "x")], "id long, s string, t string")
+
+    def provider(batch):
+        return pd.DataFrame({"length": (batch["s"].fillna("") + batch["t"].fillna("")).str.len() + 10})
+
+    answered, known, _ = inference.infer_distinct(rows, ["s", "t"], provider, OUT, None, ["id"])
+    assert {r.id: r.length for r in answered.collect()} == {1: 11, 2: 10, 3: 12, 4: 11}
+    assert known.count() == 3
 
 
 @pytest.mark.parametrize("limit", [10**9, -1], ids=["broadcast", "shuffle"])

@@ -13,9 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from contextvars import copy_context
-from typing import Any, NamedTuple
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +26,8 @@ from brokerflow.operators.inference import Provider, infer_distinct
 from brokerflow.operators.joins import joint_key
 from brokerflow.operators.staging import stage_claims, stage_policies
 from brokerflow.operators.upsert import upsert
-from brokerflow.plans.landing import new_messages
-from brokerflow.plans.scratch import scope, settle, settle_measured
+from brokerflow.plans.landing import keep_places, new_messages
+from brokerflow.plans.scratch import scope, settle, settle_measured, together
 from brokerflow.plans.tables import Keyed, Tables
 from brokerflow.plans.views import Star
 from brokerflow.sources import envelopes
@@ -64,12 +62,6 @@ class Options(NamedTuple):
     classify_after_checks: bool = False
 
 
-def together(*steps: Callable[[], Any]) -> list[Any]:
-    """Run steps that do not need each other as concurrent Spark jobs; the first error is raised."""
-    with ThreadPoolExecutor(len(steps)) as pool:
-        return [f.result() for f in [pool.submit(copy_context().run, step) for step in steps]]
-
-
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
@@ -125,8 +117,7 @@ class BatchRun:
         return " | ".join(f"{stage}: {out} out, {bad} rejected" for _, _, stage, _, out, bad, *_ in done)
 
     def _stages(self, messages: DataFrame) -> None:
-        self.load_catalog()
-        todo = self.land(messages)
+        todo, _ = together(lambda: self.land(messages), self.load_catalog)
         registry, todo = self.map_headers(todo)
         policies, claims = envelopes.route(todo)
         early = not self.options.classify_after_checks
@@ -135,8 +126,7 @@ class BatchRun:
             lambda: self.keep_unmapped(policies, claims, registry),
             lambda: settle(self.classified(stage_policies(policies, registry, early)), "policies"),
         )
-        self.promote_policies(staged_policies)
-        self.promote_claims(staged_claims)
+        self.promote_policies(staged_policies, then=lambda: self.promote_claims(staged_claims))
 
     # ------------------------------------------------------------ landing
 
@@ -144,9 +134,10 @@ class BatchRun:
         """Append what is new to landing; returns the usable rows."""
         began = _now()
         new, came = new_messages(self.tables, self.batch_id, messages)
-        landed, dead = together(
+        landed, dead, _ = together(
             lambda: self._append("raw", envelopes.landed(new)),
             lambda: self._append("dead_letter", envelopes.dead(new)),
+            lambda: keep_places(self.tables, self.batch_id, new),
         )
         self._note("landing", came, landed, dead, began)
         return envelopes.usable(new)
@@ -183,7 +174,7 @@ class BatchRun:
         began = _now()
         waiting = mapping.unmapped_rows(policies, registry, "policy").unionByName(mapping.unmapped_rows(claims, registry, "claim"))
         n = self._append("waiting", waiting)
-        rows = self.tables.read_batch("waiting", self.batch_id)
+        rows = self.tables.read_batch("waiting", self.batch_id)  # few, and read back rather than found again
         layouts = rows.groupBy(envelopes.entity_of(F.col("record_type")).alias("record_type"), "header_signature")
         self._append("waiting_layouts", layouts.agg(F.count("*").alias("records")))
         self._note("unmapped", n, n, 0, began, "rows waiting for a mapping" if n else "")
@@ -240,7 +231,8 @@ class BatchRun:
 
     # ------------------------------------------------------------ promotion
 
-    def promote_policies(self, staged: DataFrame) -> None:
+    def promote_policies(self, staged: DataFrame, then: Callable[[], None]) -> None:
+        """Check and promote the policies. ``then`` is run as soon as they can be looked up, beside the rest."""
         began = _now()
         known = self._before(f"peers_{POLICIES.name}")
         measured = quality.with_premium_distance(quality.with_policy_copies(staged), known)
@@ -249,19 +241,21 @@ class BatchRun:
         if self.options.classify_after_checks:
             good = settle(enrich.classify_missing(good), "classified")
 
-        def policies() -> None:
-            started = _now()
-            rows, size = settle_measured(star.policy_rows(good, self.as_of), "policy_rows")
-            self.tables.merge(PREMIUMS, star.premium_rows(rows, None), self.batch_id)
+        started = _now()
+        rows, size = settle_measured(star.policy_rows(good, self.as_of), "policy_rows")
+        n = self.tables.merge(POLICIES, rows, self.batch_id)
+
+        def scores() -> None:
             self._score_peers(POLICIES, POLICY_PEERS, "policy_key", rows, size)
-            n = self.tables.merge(POLICIES, rows, self.batch_id)
             self._note("promote_policies", n, n, 0, started)
 
         together(
+            scores,
             lambda: self._report(checked, "policy", began),
             lambda: self.tables.merge(CUSTOMERS, star.customer_rows(good), self.batch_id),
-            policies,
+            lambda: self.tables.merge(PREMIUMS, star.premium_rows(rows, None), self.batch_id),
             lambda: self._swap("dim_product", star.product_rows(self.spark)),
+            then,
         )
 
     def promote_claims(self, staged: DataFrame) -> None:
@@ -280,8 +274,10 @@ class BatchRun:
         def claims() -> None:
             started = _now()
             rows, size = settle_measured(star.claim_rows(good), "claim_rows")
-            self._score_peers(CLAIMS, CLAIM_PEERS, "claim_key", rows, size)
-            n = self.tables.merge(CLAIMS, rows, self.batch_id)
+            n, _ = together(
+                lambda: self.tables.merge(CLAIMS, rows, self.batch_id),
+                lambda: self._score_peers(CLAIMS, CLAIM_PEERS, "claim_key", rows, size),
+            )
             self._note("promote_claims", n, n, 0, started)
 
         together(lambda: self._report(checked, "claim", began), brokers, claims)

@@ -8,9 +8,11 @@ named by ``spark.checkpoint.dir``, so losing executors loses nothing.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,12 @@ def scope(spark: SparkSession, name: str) -> Iterator[None]:
         _scope.reset(token)
 
 
+def together(*steps: Callable[[], Any]) -> list[Any]:
+    """Run steps that do not need each other as concurrent Spark jobs, in this scope; the first error is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(copy_context().run, step) for step in steps]]
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write once, read many times."""
     path = new_folder(df.sparkSession, name)

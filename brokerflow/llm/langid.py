@@ -5,7 +5,7 @@ document's n-grams are taken as drawn from a mixture of languages, and EM estima
 languages take part is chosen by penalised likelihood: languages join in the order of their shares in
 the mixture of all, as long as each raises the log-likelihood by more than half the log of the number
 of n-grams (the Bayesian information criterion). The uniform distribution over n-grams takes part as
-"none of these"; a text in which it has the largest share is rejected by ``known``.
+"none of these"; a text in which it has a share above ``MOST_UNKNOWN`` is rejected by ``known``.
 
 The n-gram counts are fitted on a bounded sample: per language, texts are drawn by a hash of doc_id at a
 rate that leaves about ``TEXTS_PER_LANGUAGE`` of them. Predictions read whole texts.
@@ -28,6 +28,8 @@ from brokerflow.llm.text import record
 
 #: Labelled texts that a language is fitted on, about.
 TEXTS_PER_LANGUAGE = 4_000
+#: A text is rejected if a larger share of its n-grams is in no language; keys and numbers in a short one stay below.
+MOST_UNKNOWN = 0.7
 BUCKETS = 1 << 14
 SMOOTHING = 0.5
 #: Passes of EM, and (document, n-gram) pairs that are worked on at once.
@@ -207,7 +209,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     return source.mapInArrow(_guess(*model), GUESSES_DDL)
 
 
-def known(docs: DataFrame, model: tuple[list[str], np.ndarray], most_unknown: float = 0.5) -> DataFrame:
+def known(docs: DataFrame, model: tuple[list[str], np.ndarray], most_unknown: float = MOST_UNKNOWN) -> DataFrame:
     """The rows of ``docs``, all columns, without texts that are in no fitted language or have no letter."""
     guess = _guess(*model)
 

@@ -366,5 +366,6 @@ def star_of(tables: Tables) -> Star:
         tables.keyed(CUSTOMERS),
         _scored(tables, POLICIES, "policy_key"),
         _scored(tables, CLAIMS, "claim_key"),
-        tables.keyed(POLICIES),
+        unscored=tables.keyed(POLICIES),
+        stored=False,
     )

@@ -137,10 +137,10 @@ def test_metric_filters_and_limits(catalog):
     assert rows_of(rows) == [("C4",), ("C3",)]
 
 
-def test_row_queries_get_a_limit_and_aggregates_do_not(catalog, spark):
+def test_a_limit_holds_only_where_it_is_given(catalog, spark):
     many = spark.range(250).select(F.col("id").cast("string").alias("policy_number"))
     wide = {"POLICIES": lambda columns: many}
-    assert metrics.metric_query(wide, "POLICIES", dimensions=["policy_number"]).count() == 100
+    assert metrics.metric_query(wide, "POLICIES", dimensions=["policy_number"]).count() == 250
     assert metrics.metric_query(wide, "POLICIES", ["policy_count"], ["policy_number"]).count() == 250
 
 

@@ -7,11 +7,15 @@ that has so many tasks and closes almost nothing is the last one, since its bins
 
 Null texts count as empty. An empty text is one piece that holds the end token alone. Repeated rows
 are packed like any other. Only ``doc_id`` and ``text`` are read, so other columns may have any name.
+
+The text of an added token is that token's id if ``pack`` is given it with ``added``, as the JSON file's
+reader has it, and else ordinary text.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 import sys
 import zlib
@@ -42,6 +46,8 @@ PIECES_AT_ONCE = 100_000
 
 #: The same vocabulary as ``byte_bpe_50k.json``, and so the same ids, from a reader several times as fast.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: The file whose reader says what the ids are; its added tokens are not in the other one.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 ITEMS = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -49,7 +55,17 @@ ITEMS = pa.schema(
 )
 ITEMS_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, used long, final boolean"
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple, AddedEncoder] = {}
+
+
+def added_tokens(tokenizer: str) -> dict[str, int]:
+    """Text and id of the tokens that a tokenizer's JSON file adds to its vocabulary."""
+    with open(tokenizer, encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    unlike = [t["content"] for t in tokens if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
+    if unlike:
+        raise ValueError(f"added tokens that are not taken as they stand: {unlike}")
+    return {t["content"]: t["id"] for t in tokens}
 
 
 class Encoder:
@@ -99,11 +115,31 @@ class Encoder:
         return b"".join(out)
 
 
-def encoder(vocabulary: str) -> Encoder:
+class AddedEncoder:
+    """Ids of a text that is cut at the added tokens, leftmost first; between them it is ordinary."""
+
+    def __init__(self, vocabulary: str, added: dict[str, int]):
+        self.ordinary = Encoder(vocabulary)
+        self.id = {text: np.array([id_], "<u4").tobytes() for text, id_ in added.items()}
+        # of two tokens that begin at the same place, the longer one
+        self.token = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+
+    def __call__(self, text: str) -> bytes:
+        if self.token is None:
+            return self.ordinary(text)
+        out, done = [], 0
+        for found in self.token.finditer(text):
+            out += [self.ordinary(text[done : found.start()]), self.id[found.group()]]
+            done = found.end()
+        return b"".join([*out, self.ordinary(text[done:])]) if out else self.ordinary(text)
+
+
+def encoder(vocabulary: str, added: dict[str, int]) -> AddedEncoder:
     """The worker's own, made once."""
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = Encoder(vocabulary)
-    return _encoders[vocabulary]
+    key = (vocabulary, *sorted(added.items()))
+    if key not in _encoders:
+        _encoders[key] = AddedEncoder(vocabulary, added)
+    return _encoders[key]
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,9 +173,9 @@ def _numbers(round_: int) -> Iterator[int]:
         first += yield first
 
 
-def _cut_and_pack(vocabulary: str, capacity: int, end_id: int) -> Callable:
+def _cut_and_pack(vocabulary: str, added: dict[str, int], capacity: int, end_id: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(vocabulary, added), np.array([end_id], "<u4").tobytes()
         numbers = _numbers(0)
         first = next(numbers)
         rows: list[tuple] = []
@@ -189,14 +225,17 @@ def _merge(round_: int, capacity: int, last: bool) -> Callable:
     return run
 
 
-def pack(docs: DataFrame, group: str = "packing", capacity: int = SEQUENCE, end_id: int = END_ID, vocabulary: str = VOCABULARY) -> DataFrame:
+def pack(
+    docs: DataFrame, group: str = "packing", capacity: int = SEQUENCE, end_id: int = END_ID, vocabulary: str = VOCABULARY, added: dict[str, int] | None = None
+) -> DataFrame:
     """Pieces of all documents with the sequence and the place of each.
 
-    A document's ids end with ``end_id``. Only longer ones are cut, the shorter piece first.
+    A document's ids end with ``end_id``. Only longer ones are cut, the shorter piece first. ``added``
+    are the texts that are tokens of their own, with their ids.
     """
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    done = settle(source.mapInArrow(_cut_and_pack(vocabulary, capacity, end_id), ITEMS_DDL), group, "round0")
+    done = settle(source.mapInArrow(_cut_and_pack(vocabulary, added or {}, capacity, end_id), ITEMS_DDL), group, "round0")
     parts = [done.filter("final")]
     task = F.expr("shiftright(sequence_id, 32) & 134217727")
     open_, before, round_ = done.filter("not final"), None, 0

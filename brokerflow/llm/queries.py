@@ -46,7 +46,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read(spark, sf_dir, "documents"), "op6")
+    return packing.pack(read(spark, sf_dir, "documents"), "op6", added=packing.added_tokens(packing.TOKENIZER))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,17 +49,23 @@ LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _tables: dict[str, np.ndarray] = {}
 
 
-def fingerprint_of(text: bytes) -> int:
+def shingle_hashes(text: bytes, length: int = SHINGLE) -> np.ndarray:
+    """The hash of every ``length`` consecutive words, in order; of all words if they are fewer."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
-    if len(words) <= SHINGLE:
-        return xxhash.xxh64_intdigest(joined, SEED)
+    if len(words) <= length:
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
     ends = np.cumsum([len(w) for w in words]) + np.arange(len(words))
     starts = np.concatenate(([0], ends[:-1] + 1))
-    hash_, pairs = xxhash.xxh64_intdigest, zip(starts[: -SHINGLE + 1].tolist(), ends[SHINGLE - 1 :].tolist(), strict=True)
-    return majority(np.array([hash_(joined[a:b], SEED) for a, b in pairs], np.uint64))
+    hash_, pairs = xxhash.xxh64_intdigest, zip(starts[: -length + 1].tolist(), ends[length - 1 :].tolist(), strict=True)
+    return np.array([hash_(joined[a:b], SEED) for a, b in pairs], np.uint64)
+
+
+def fingerprint_of(text: bytes) -> int:
+    hashes = shingle_hashes(text)
+    return majority(hashes) if len(hashes) else 0
 
 
 def majority(hashes: np.ndarray) -> int:

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brokerflow.llm import columns, exact, langid, packing, quality, secrets, sharding, simhash, substrings, winnow
+from brokerflow.llm import columns, exact, fim, langid, packing, quality, secrets, sharding, simhash, substrings, urls, vectors, winnow
+
+#: Which addresses are known to be wanted, or not to be.
+RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +68,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), group="op10")
 
 
+def fim_digests(arranged: DataFrame) -> DataFrame:
+    """The outputs' digests, and those of the texts that are read back from them."""
+    output, form = F.col("output"), F.col("form")
+    digests = [F.sha2(x, 256).alias(name) for x, name in ((output.cast("binary"), "output_sha256"), (fim.restored(output, form), "restored_sha256"))]
+    return arranged.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(fim.arrange(read(spark, sf_dir, "documents")))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), RULES, "op12")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.compress(read(spark, sf_dir, "embeddings"), "op13")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
@@ -76,4 +98,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sharding": op10_sharding,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_url_filter": op12_url_filter,
+    "op13_vector_codes": op13_vector_codes,
 }

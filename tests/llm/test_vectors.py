@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from brokerflow.llm import vectors
+
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, error long, sums int, width string"
+
+
+def frame(spark, held, schema=SCHEMA):
+    return spark.createDataFrame([(i, v, label, "c", 1, 2, "w") for i, v, label in held], schema).repartition(3)
+
+
+def slow(held, rounds=6):
+    """(vec_id, code, error, label_error, digest) of every usable vector, in plain numbers."""
+    kept = [(i, [math.floor(4096 * float(np.float32(x))) for x in v], label) for i, v, label in held if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    width = max(8 * -(-len(v) // 8) for _, v, _ in kept)
+    size = width // 8
+    kept = [(i, [(v + [0] * width)[p * size : p * size + size] for p in range(8)], label) for i, v, label in kept]
+    first = {}
+    for i, v, _ in sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, np.array(r[1], "<i4").tobytes())):
+        first.setdefault(i, v)
+    books = [[list(v[p]) for v in list(first.values())[:16]] for p in range(8)]
+
+    def find(v, book):
+        return min((sum((a - b) ** 2 for a, b in zip(v, e, strict=True)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(8):
+            members = defaultdict(list)
+            for _, v, _ in kept:
+                members[find(v[p], books[p])[1]].append(v[p])
+            for k, own in members.items():
+                books[p][k] = [math.floor(sum(x) / len(own)) if abs(sum(x)) < 1 << 50 else sum(x) // len(own) for x in zip(*own, strict=True)]
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    found = [(i, [find(v[p], books[p]) for p in range(8)], label) for i, v, label in kept]
+    errors = defaultdict(int)
+    for _, f, label in found:
+        errors[label] += sum(d for d, _ in f)
+    return [(i, "".join(f"{k:02x}" for _, k in f), sum(d for d, _ in f), errors[label], digest) for i, f, label in found]
+
+
+def vectors_of(n, width=64, seed=1, step=1.0):
+    r = random.Random(seed)
+    return [(i, [round(r.gauss(0, 0.2) / step) * step for _ in range(width)], r.choice([0, 1, 2, None])) for i in range(n)]
+
+
+def same(got, held):
+    key = lambda r: tuple(map(repr, r))
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(slow(held), key=key)
+
+
+@pytest.mark.parametrize("step", [1e-6, 0.25])
+def test_equals_plain_rounds(spark, step):
+    """The coarser the components, the more entries are equally near."""
+    held = vectors_of(260, step=step)
+    random.Random(2).shuffle(held)
+    same(vectors.compress(frame(spark, held)), held)
+
+
+def test_nulls_repeats_lengths_and_a_hot_vector(spark):
+    held = vectors_of(80, width=21, step=0.05)
+    nan, inf = float("nan"), float("inf")
+    held += [(100, None, 1), (0, [nan] * 21, 1), (101, [inf, *[0.0] * 20], 2), (102, [None, 1.0], 1), (1, [], None), (None, held[5][1], None)]
+    held += [(3, held[9][1], 2), (4, held[4][1], 0), (103, [-0.7] * 3, None), (104, [1e4] * 24, 1), *[(200 + i, held[7][1], 1) for i in range(90)]]
+    same(vectors.compress(frame(spark, held)), held)
+
+
+def test_fewer_vectors_than_entries_and_ids_that_are_null(spark):
+    same(vectors.compress(frame(spark, vectors_of(5, 8))), vectors_of(5, 8))
+    held = [(None, v, label) for _, v, label in vectors_of(9, 16)]
+    same(vectors.compress(frame(spark, held)), held)
+
+
+def test_empty_and_unusable(spark):
+    assert vectors.compress(frame(spark, [])).count() == 0
+    assert vectors.compress(frame(spark, [(1, None, 1), (2, [None], 1)])).columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    assert vectors.compress(frame(spark, [(1, [], 1)])).count() == 1
+
+
+def test_a_lookup_that_cannot_be_broadcast(spark, no_broadcast):
+    held = vectors_of(60, 8, step=0.1)
+    same(vectors.compress(frame(spark, held)), held)
+
+
+def test_components_out_of_range_are_held_at_the_bound(spark):
+    held = [(i, [x * 3e38 for x in v], label) for i, v, label in vectors_of(30, 8, step=0.1)]
+    got = vectors.compress(frame(spark, held)).collect()
+    assert len(got) == 30 and all(r["error"] >= 0 for r in got)
+
+
+def test_active_entries_agree_with_full_scans():
+    """Few moved entries, many ties: the kept distance and the moved entries decide as all entries would."""
+    r = np.random.default_rng(4)
+    for turn in range(200):
+        parts, old = r.integers(-3, 4, (60, 3)), r.integers(-3, 4, (16, 3))
+        code, distance = vectors.nearest(parts, old)
+        new, moved = old.copy(), np.zeros(16, bool)
+        which = r.choice(16, turn % 17, replace=False)
+        new[which] = r.integers(-3, 4, (len(which), 3))
+        moved[:] = (new != old).any(axis=1)
+        got, wanted = vectors.again(parts, new, moved, code, distance), vectors.nearest(parts, new)
+        assert (got[0] == wanted[0]).all() and (got[1] == wanted[1]).all()
+
+
+def test_parts_at_fixed_entries_are_compared_with_moved_ones_alone(monkeypatch):
+    r = np.random.default_rng(5)
+    parts, books, asked = r.integers(-90, 90, (500, 4)), r.integers(-90, 90, (16, 4)), []
+    code, distance = vectors.nearest(parts, books)
+    true = vectors.distances
+    monkeypatch.setattr(vectors, "distances", lambda a, b: asked.append((len(a), len(b))) or true(a, b))
+    moved = np.zeros(16, bool)
+    moved[3] = True
+    vectors.again(parts, books, moved, code, distance)
+    assert sorted(asked) == sorted([(int((code == 3).sum()), 16), (int((code != 3).sum()), 1)])

@@ -163,9 +163,9 @@ class BookStar:
         self._book = book
         self._scored = scored
 
-    @property
+    @cached_property
     def dim_broker(self) -> DataFrame:
-        return self._book.dim_broker
+        return settle(self._book.dim_broker, "dim_broker")
 
     @property
     def dim_customer(self) -> DataFrame:

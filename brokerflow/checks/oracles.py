@@ -430,6 +430,9 @@ SELECT rule_id, severity, passed, count(*) AS records FROM (
   SELECT v.rule_id AS rule_id, CASE v.rule_id WHEN 'POL_005' THEN 'INFO' ELSE v.severity END AS severity,
     CASE v.rule_id WHEN 'POL_005' THEN coalesce(days <= 365, false) ELSE v.passed END AS passed
   FROM (SELECT unnest(verdicts) AS v, date_diff('day', effective_date, expiry_date) AS days FROM pol_v) WHERE v.rule_id <> 'POL_007') GROUP BY ALL""")
+_CATALOG_RULE = _verdict("POL_X01", "INFO", "sum_insured >= 40 * premium_amount AND customer_name <> ''", "sum_insured", "premium_amount", "customer_name")
+add("catalog_only_rule", STAR, f"""
+SELECT stg_id, v.severity AS severity, v.observed AS observed_value FROM (SELECT stg_id, {_CATALOG_RULE} AS v FROM stg_pol) WHERE NOT v.passed""")
 add("sync_rules", STAR, """
 SELECT rule_id, CASE WHEN rule_id LIKE 'CLM%' THEN 'claim' ELSE 'policy' END AS entity,
   CASE WHEN rule_id IN ('POL_001','POL_002','POL_004','POL_006','CLM_001','CLM_002','CLM_003','CLM_004','CLM_005','CLM_008') THEN 'ERROR' ELSE 'WARN' END AS severity,
@@ -643,7 +646,7 @@ add("batch_run", WIRE_STAR, _PORTFOLIO)
 # In three deliveries, claims with an odd place in the log come one delivery after their order's policy, or two before it.
 _IN_TIME = "policy_number IN (SELECT policy_number FROM dim_policy0)"
 _DELIVERED = WIRE_STAR.replace(_IN_TIME, f"({_IN_TIME} AND order_key % 3 <= (order_key % 3 + log_offset % 2) % 3)")
-for _name in ("idempotent_rerun", "micro_batches"):
+for _name in ("idempotent_rerun", "micro_batches", "failed_batch"):
     add(_name, _DELIVERED, _PORTFOLIO)
 add("incremental_scores", WIRE_STAR.replace(
     "PARTITION BY policy_number ORDER BY loaded_at DESC", "PARTITION BY policy_number ORDER BY order_key % 5 DESC, loaded_at DESC"

@@ -6,18 +6,19 @@ import datetime as dt
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brokerflow.checks.book import BATCH, Book, plain, rounded, run_time
 from brokerflow.config.brokers import BROKERS
-from brokerflow.config.rules import rules_for
+from brokerflow.config.rules import RULES, Rule, rules_for
 from brokerflow.functions import cleaning, keys, payload, text
 from brokerflow.operators import anomaly, enrich, inference, mapping, quality, staging, star
 from brokerflow.operators.joins import lookup_join
 from brokerflow.plans import metrics, reports, views
-from brokerflow.plans.batch import run_batch, star_of
+from brokerflow.plans.batch import Options, run_batch, star_of
 from brokerflow.plans.scratch import new_folder, settle
 from brokerflow.plans.tables import Tables
 from brokerflow.sources import envelopes, files, snapshots, testdata
@@ -469,6 +470,19 @@ def load_rule(b: Book) -> DataFrame:
     return rows.groupBy("rule_id", "severity", "passed").agg(F.count("*").alias("records"))
 
 
+CATALOG_RULE = Rule("POL_X01", "policy", "Sum insured covers forty premiums of a named customer", "INFO", "sum_insured >= 40 * premium_amount AND customer_name <> ''", ())
+
+
+@query
+def catalog_only_rule(b: Book) -> DataFrame:
+    """A rule that only the catalog holds, with the values of the columns that its expression reads."""
+    first = settle(quality.load_rules(None, quality.rule_rows(b.spark)), "catalog")
+    catalog = quality.load_rules(first, quality.rule_rows(b.spark, [CATALOG_RULE]))
+    rules = [r for r in quality.rules_from_catalog(catalog, "policy") if r.rule_type == "expression"]
+    rows = quality.results(quality.check(b.policies, rules, testdata.AS_OF), "policy", BATCH, run_time(), only_failed=True)
+    return rows.where(F.col("rule_id") == CATALOG_RULE.rule_id).select("stg_id", "severity", "observed_value")
+
+
 @query
 def sync_rules(b: Book) -> DataFrame:
     """The catalog with the failures that each of its rules has among the records."""
@@ -962,6 +976,21 @@ def micro_batches(b: Book) -> DataFrame:
     return _portfolio(tables)
 
 
+@query
+def failed_batch(b: Book) -> DataFrame:
+    """Three deliveries, then a batch that dies when its policies are promoted and its claims are checked: the three are what readers see."""
+    tables = Tables(b.spark, new_folder(b.spark, "tables"))
+    for i, delivery in enumerate(b.deliveries(DELIVERIES)):
+        run_batch(b.spark, tables, i, delivery, testdata.AS_OF)
+    later = b.messages.withColumn("offset", F.col("offset") + (1 << 40))  # everything comes once more, from other places in the log
+    lost = Rule("CLM_X01", "claim", "No rule at all", "ERROR", "raise_error('lost') IS NULL", ("claim_number",))
+    try:
+        run_batch(b.spark, tables, DELIVERIES, later, testdata.AS_OF, Options(rules=[*RULES, lost]))
+        raise AssertionError("the batch didn't fail")
+    except PySparkException:
+        return _portfolio(tables)
+
+
 @query
 def incremental_scores(b: Book) -> DataFrame:
     """Policies in five deliveries, some of which change what an earlier one brought; scores as if all came at once."""
@@ -976,7 +1005,7 @@ def incremental_scores(b: Book) -> DataFrame:
 def stage_log(b: Book) -> DataFrame:
     tables = Tables(b.spark, new_folder(b.spark, "tables"))
     run_batch(b.spark, tables, 1, b.messages, testdata.AS_OF)
-    return tables.read("stage_log").select("stage", "rows_in", "rows_out", "rows_rejected", "status")
+    return tables.read_log("stage_log").select("stage", "rows_in", "rows_out", "rows_rejected", "status")
 
 
 @query

@@ -59,10 +59,13 @@ def spread(groups: DataFrame) -> DataFrame:
     )
 
 
-def with_distance(rows: DataFrame, value: str, group: Sequence[str], row_id: str, groups: DataFrame) -> DataFrame:
-    """Add ``peer_mean`` and ``peer_distance``, abs(value - mean) in deviations; NULL without a spread."""
+def with_distance(rows: DataFrame, value: str, group: Sequence[str], row_id: str, groups: DataFrame, stored: bool = False) -> DataFrame:
+    """Add ``peer_mean`` and ``peer_distance``, abs(value - mean) in deviations; NULL without a spread.
+
+    ``groups`` that are ``stored`` are not written out to be measured.
+    """
     keyed = rows.withColumn("peers", joint_key(*group))
-    joined = lookup_join(keyed, spread(groups), ["peers"], [row_id], name="peers")
+    joined = lookup_join(keyed, spread(groups), ["peers"], [row_id], name="peers", stored=stored)
     distance = F.abs(F.col(value).cast("double") - F.col("peer_mean")) / F.col("peer_deviation")
     return joined.withColumn("peer_distance", distance).select(*rows.columns, "peer_mean", "peer_deviation", "peer_distance")
 
@@ -80,9 +83,9 @@ def score_outliers(
 
     Rows of a group without spread (one row, or all equal) keep the score they had. ``reason`` may use
     the columns of the row, ``peer_mean`` and ``peer_distance``. ``groups`` are the moments of the peer
-    groups; without them they are taken from ``rows``, which is then read twice.
+    groups, a stored table; without them they are taken from ``rows``, which is then read twice.
     """
-    measured = with_distance(rows, value, group, row_id, moments(rows, value, group) if groups is None else groups)
+    measured = with_distance(rows, value, group, row_id, moments(rows, value, group) if groups is None else groups, groups is not None)
     score = F.when(F.col(value).isNotNull(), F.least(F.lit(1.0), F.col("peer_distance") / 3.0))
     text = reason if reason is not None else F.lit(None).cast("string")
     scored = F.col("peer_deviation").isNotNull()

@@ -6,6 +6,8 @@ import json
 import re
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -172,7 +174,9 @@ def propose_mapping(unmapped: DataFrame, min_similarity: float) -> DataFrame:
 
     A header scores 1 on equality after dropping case and punctuation, else 1 - edit distance over
     length. One whose words each begin the word at the same place in a known header, with three letters
-    at least, scores ``ABBREVIATED``. Every header proposes its best field; a field takes its best header.
+    at least, scores ``ABBREVIATED``. Headers and fields are then paired so that the sum of the scores is
+    largest: a header that loses its best field to another one gets its next best. A pair that is equal weighs
+    more than all that are alike, so that it is never given up for them.
     """
     known = F.from_json(
         F.lit(json.dumps([dict(zip(("entity", "known", "field"), k)) for k in known_headers()])),
@@ -190,22 +194,55 @@ def propose_mapping(unmapped: DataFrame, min_similarity: float) -> DataFrame:
         short = (F.size("words") == F.size(known_words)) & F.forall(begun, lambda same: F.coalesce(same, F.lit(False)))
         return F.when(short, F.greatest(alike, F.lit(ABBREVIATED))).otherwise(alike)
 
-    best = headers.withColumn(
-        "best",
-        F.array_max(
-            F.transform(
-                F.filter(known, lambda k: k["entity"] == F.col("record_type")),
-                lambda k: F.struct(score(k).alias("score"), k["field"].alias("field")),
-            )
-        ),
-    ).where(F.col("best.score") >= min_similarity)
-    taken = best.groupBy("record_type", "header_signature", F.col("best.field").alias("field")).agg(
-        F.max(F.struct(F.col("best.score").alias("score"), F.col("header"))).alias("winner")
-    )
-    # At most one entry per canonical field, so the collected map is bounded.
-    return taken.groupBy("record_type", "header_signature").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("winner.header"), F.col("field")))).alias("mapping")
+    own = F.filter(known, lambda k: k["entity"] == F.col("record_type"))
+    scored = headers.select(
+        "record_type", "header_signature", "header", F.explode(F.transform(own, lambda k: F.struct(k["field"].alias("field"), score(k).alias("score")))).alias("s")
     )
+    edges = scored.groupBy("record_type", "header_signature", "header", F.col("s.field").alias("field")).agg(F.max("s.score").alias("score"))
+    # A group holds the pairs of one layout: its headers times the canonical fields.
+    layouts = edges.where(F.col("score") >= min_similarity).groupBy("record_type", "header_signature")
+    return layouts.applyInPandas(_assigned, "record_type string, header_signature string, mapping map<string,string>")
+
+
+def _assigned(pairs: pd.DataFrame) -> pd.DataFrame:
+    headers, fields = sorted(set(pairs["header"])), sorted(set(pairs["field"]))
+    weight = np.zeros((len(headers), len(fields)))
+    for header, field, alike in zip(pairs["header"], pairs["field"], pairs["score"], strict=True):
+        weight[headers.index(header), fields.index(field)] = len(headers) + 1 if alike == 1 else alike
+    mapping = {headers[i]: fields[j] for i, j in assignment(weight)}
+    return pd.DataFrame({"record_type": pairs["record_type"][:1], "header_signature": pairs["header_signature"][:1], "mapping": [mapping]})
+
+
+def assignment(weight: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of a row and a column, each used once at most, with the largest sum of weights; pairs of weight 0 are none.
+
+    Rows are added one by one. Each takes the cheapest alternating path to a free column under prices that
+    keep every pair's reduced cost at 0 or above (shortest augmenting paths).
+    """
+    size = max(weight.shape, default=0)
+    cost = np.zeros((size, size))
+    cost[: weight.shape[0], : weight.shape[1]] = -weight
+    row_price, column_price = np.zeros(size), np.zeros(size)
+    row_of = np.full(size, -1)
+    for start in range(size):
+        reached, via = np.full(size, np.inf), np.full(size, -1)
+        done, column, row, length = np.zeros(size, bool), -1, start, 0.0
+        while row >= 0:
+            through = length + cost[row] - row_price[row] - column_price
+            better = ~done & (through < reached)
+            reached[better], via[better] = through[better], row
+            column = int(np.where(done, np.inf, reached).argmin())
+            length, done[column], row = reached[column], True, row_of[column]
+        on_path = done & (row_of >= 0)
+        row_price[start] += length
+        row_price[row_of[on_path]] += length - reached[on_path]
+        column_price[done] -= length - reached[done]
+        while column >= 0:  # turn the path around
+            row = via[column]
+            before = np.flatnonzero(row_of == row)
+            row_of[column] = row
+            column = int(before[0]) if row != start else -1
+    return [(int(i), j) for j, i in enumerate(row_of) if i < weight.shape[0] and j < weight.shape[1] and weight[i, j] > 0]
 
 
 def resolve_unmapped(registry: DataFrame, matcher: Callable[[DataFrame], DataFrame] = match_headers) -> DataFrame:

@@ -8,6 +8,7 @@ trail explodes it.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections import Counter
 from collections.abc import Iterable, Sequence
 
@@ -60,11 +61,14 @@ def load_rules(catalog: DataFrame | None, rules: DataFrame) -> DataFrame:
 
 
 def rules_from_catalog(catalog: DataFrame, entity: str, rules: Sequence[Rule] = RULES) -> list[Rule]:
-    """Active catalog rules of an entity (a handful of rows, read on the driver to build the plan)."""
-    columns = {r.rule_id: r.columns for r in rules}
+    """Active catalog rules of an entity (a handful of rows, read on the driver to build the plan).
+
+    A rule that is not among ``rules``, or not with this expression, names no columns; ``check`` finds them.
+    """
+    columns = {(r.rule_id, r.expression): r.columns for r in rules}
     rows = catalog.where((F.col("entity") == entity) & F.col("active")).orderBy("rule_id").collect()
     return [
-        Rule(r.rule_id, r.entity, r.description, r.severity, r.expression, columns.get(r.rule_id, ()),
+        Rule(r.rule_id, r.entity, r.description, r.severity, r.expression, columns.get((r.rule_id, r.expression), ()),
              r.rule_type, r.explain, r.active)
         for r in rows
     ]
@@ -114,22 +118,41 @@ def with_policy(claims: DataFrame, policies: DataFrame, stored: bool = True) ->
 
 # ---------------------------------------------------------------- evaluation
 
-def _verdict(rule: Rule) -> str:
+def references(rows: DataFrame, expression: str) -> tuple[str, ...]:
+    """The columns of ``rows`` that an expression reads, in the order in which it names them first.
+
+    They are those that Spark resolves, so a name in a text or a lambda's variable is none.
+    """
+    found = rows.select(F.expr(expression))._jdf.queryExecution().analyzed().references().toSeq()
+    written = {c.lower(): c for c in rows.columns}
+    names = {written[found.apply(i).name().lower()] for i in range(found.length())}
+
+    def place(column: str) -> int:
+        at = re.search(rf"(?<![\w']){re.escape(column)}(?!\w)", expression, re.IGNORECASE)
+        return at.start() if at else len(expression)
+
+    return tuple(sorted(names, key=lambda c: (place(c), c)))
+
+
+def _verdict(rule: Rule, columns: Sequence[str]) -> str:
     passed = f"coalesce({rule.expression}, false)"
-    shown = ", ".join(f"concat('{c}=', coalesce(cast({name(c)} AS string), 'NULL'))" for c in rule.columns)
+    shown = [f"concat({text(c + '=')}, coalesce(cast({name(c)} AS string), 'NULL'))" for c in columns]
+    observed = f"concat_ws(', ', {', '.join(shown)})" if shown else "cast(NULL AS string)"
     return (
         f"struct({text(rule.rule_id)} AS rule_id, {text(rule.severity)} AS severity, {passed} AS passed, "
-        f"CASE WHEN NOT {passed} THEN concat_ws(', ', {shown}) END AS observed_value)"
+        f"CASE WHEN NOT {passed} THEN {observed} END AS observed_value)"
     )
 
 
 def check(staged: DataFrame, rules: Sequence[Rule], as_of: dt.date) -> DataFrame:
     """Add ``verdicts`` (one per rule; a NULL predicate counts as failed) and ``dq_status``.
 
-    A rule that does not fit the columns is rejected before any job starts.
+    A rule that names no columns shows those that its expression reads. One that does not fit the columns of
+    the records is rejected before any job starts.
     """
     dated = staged.withColumn("as_of", F.lit(as_of))
-    verdicts = F.expr(f"array({', '.join(_verdict(r) for r in rules)})")
+    columns = {r.rule_id: r.columns or [c for c in references(dated, r.expression) if c != "as_of"] for r in rules}
+    verdicts = F.expr(f"array({', '.join(_verdict(r, columns[r.rule_id]) for r in rules)})")
     return once(dated, "verdicts", verdicts).drop("as_of").withColumn("dq_status", _status())
 
 

@@ -4,9 +4,10 @@ Policies are checked and promoted before the claims are checked, so that a claim
 that came in the same batch. Product lines are set in staging, before the checks read them, unless
 ``Options`` ask for the other order.
 
-A batch costs what the batch holds. It writes its own rows to the keyed tables, reads the past only for
-the keys it touches, and keeps the peer groups' moments up to date, from which scores are computed when
-the star schema is read (``star_of``). Its intermediate tables are deleted at its end.
+A batch costs what the batch holds. It writes its own rows to the keyed tables, reads the past only in
+the buckets of the keys it touches, and keeps the peer groups' moments up to date, from which scores are
+computed when the star schema is read (``star_of``). It ends with a commit, before which readers see none of
+its tables but the logs. Its intermediate tables are deleted at its end.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from brokerflow.operators.joins import joint_key
 from brokerflow.operators.staging import stage_claims, stage_policies
 from brokerflow.operators.upsert import upsert
 from brokerflow.plans.landing import keep_places, new_messages
-from brokerflow.plans.scratch import scope, settle, settle_measured, together
-from brokerflow.plans.tables import Keyed, Tables
+from brokerflow.plans.scratch import fits_broadcast, scope, settle, settle_measured, together
+from brokerflow.plans.tables import Batch, Keyed, Tables, View
 from brokerflow.plans.views import Star
 from brokerflow.sources import envelopes
 
@@ -36,8 +37,13 @@ POLICIES = Keyed("dim_policy", ("policy_number",), tuple(star.POLICY_UPDATES))
 CLAIMS = Keyed("fact_claim", ("claim_number",), tuple(star.CLAIM_UPDATES))
 CUSTOMERS = Keyed("dim_customer", ("customer_id",))
 PREMIUMS = Keyed("fact_premium", ("policy_key",))
-KEYED = (POLICIES, CLAIMS, CUSTOMERS, PREMIUMS)
+POLICY_SCORES = Keyed("dim_policy_scores", ("policy_key",), ("anomaly_score", "anomaly_reason"))
+CLAIM_SCORES = Keyed("fact_claim_scores", ("claim_key",), ("anomaly_score", "anomaly_reason"))
+ANSWERS = Keyed("model_answers", ("asked",))
+KEYED = (POLICIES, CLAIMS, CUSTOMERS, PREMIUMS, POLICY_SCORES, CLAIM_SCORES, ANSWERS)
+SCORES = {POLICIES: POLICY_SCORES, CLAIMS: CLAIM_SCORES}
 
+LAYOUT = ("record_type", "header_signature")
 STAGES = ("landing", "header_mapping", "unmapped", "dq_policy", "promote_policies", "dq_claim", "promote_claims")
 STAGE_LOG = (
     "run_id string, step int, stage string, rows_in long, rows_out long, rows_rejected long, message string, status string, "
@@ -69,6 +75,8 @@ def _now() -> dt.datetime:
 class BatchRun:
     """The stages of one batch. Each writes its tables and a line of the stage log."""
 
+    batch: Batch
+
     def __init__(self, spark: SparkSession, tables: Tables, batch_id: int, as_of: dt.date, options: Options):
         self.spark = spark
         self.tables = tables
@@ -83,31 +91,16 @@ class BatchRun:
     def _note(self, stage: str, rows_in: int, rows_out: int, rejected: int, began: dt.datetime, message: str = "") -> None:
         self.log[stage] = (self.run_id, STAGES.index(stage), stage, rows_in, rows_out, rejected, message, "SUCCESS", began, _now())
 
-    def _append(self, name: str, df: DataFrame) -> int:
-        return self.tables.append(name, df, self.batch_id)
-
-    def _swap(self, name: str, df: DataFrame) -> int:
-        return self.tables.swap(name, df, self.batch_id)
-
-    def _before(self, name: str) -> DataFrame | None:
-        return self.tables.current(name, before=self.batch_id)
-
-    def _now_current(self, name: str) -> DataFrame | None:
-        return self.tables.current(name, before=self.batch_id + 1)
-
     def run(self, messages: DataFrame) -> str:
-        later = [n for n in self.tables.batches("raw") if n > self.batch_id]
-        if later:
-            raise ValueError(f"batch {self.batch_id} is older than batch {later[0]}: rewind to it and run all later batches again")
-        for table in KEYED:
-            self.tables.drop_bases(table, self.batch_id)
+        self.batch = self.tables.begin(self.batch_id)
         self._status("RUNNING", "")
         failure = ""
         try:
             with scope(self.spark, self.run_id):
                 self._stages(messages)
                 for table in KEYED:
-                    self.tables.compact(table, self.batch_id)
+                    self.batch.compact(table)
+                self.batch.commit()
         except Exception as error:
             failure = f"{type(error).__name__}: {error}"[:500]
             raise
@@ -133,11 +126,11 @@ class BatchRun:
     def land(self, messages: DataFrame) -> DataFrame:
         """Append what is new to landing; returns the usable rows."""
         began = _now()
-        new, came = new_messages(self.tables, self.batch_id, messages)
+        new, came = new_messages(self.batch, messages)
         landed, dead, _ = together(
-            lambda: self._append("raw", envelopes.landed(new)),
-            lambda: self._append("dead_letter", envelopes.dead(new)),
-            lambda: keep_places(self.tables, self.batch_id, new),
+            lambda: self.batch.append("raw", envelopes.landed(new)),
+            lambda: self.batch.append("dead_letter", envelopes.dead(new)),
+            lambda: keep_places(self.batch, new),
         )
         self._note("landing", came, landed, dead, began)
         return envelopes.usable(new)
@@ -147,36 +140,39 @@ class BatchRun:
     def map_headers(self, new: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The registry with the batch's layouts; and the rows to stage, with those that waited for their layout."""
         began = _now()
-        known = self._before("registry")
+        known = self.batch.past.current("registry")
         if known is None:
             known = mapping.seed_mappings(self.spark)
-        n = self._swap("registry", mapping.registry_for(new, known, self.options.matcher))
-        registry = self._now_current("registry")
-        todo, released = new, 0
-        held = self.tables.batches("waiting_layouts", self.batch_id)
-        free = self.spark.createDataFrame([], "record_type string, header_signature string")
-        if held:
-            layouts = self.tables.read_batches("waiting_layouts", held).select("record_type", "header_signature").distinct()
-            done = self.tables.read_batches("released", self.tables.batches("released", self.batch_id)).drop("batch_id")
-            mapped = registry.where("mapping IS NOT NULL").select("record_type", "header_signature")
-            key = ["record_type", "header_signature"]
-            free = settle(layouts.join(done, key, "left_anti").join(mapped, key, "left_semi"), "free")
-            released = free.count()
-            if released:
-                rows = self.tables.read_batches("waiting", held).drop("batch_id").withColumn("_entity", envelopes.entity_of(F.col("record_type")))
-                asked = free.withColumnRenamed("record_type", "_entity")
-                todo = new.unionByName(rows.join(asked, ["_entity", "header_signature"], "left_semi").select(*new.columns))
-        self._append("released", free)
-        self._note("header_mapping", n, n, 0, began, f"{released} waiting layouts released" if released else "")
+        n = self.batch.swap("registry", mapping.registry_for(new, known, self.options.matcher))
+        registry = self.batch.now.current("registry")
+        waiting = self.batch.past.current("waiting_layouts")
+        if waiting is None:
+            return self._mapped(registry, new, n, began, "")
+        mapped = registry.where("mapping IS NOT NULL").select(*LAYOUT)
+        free = settle(waiting.join(mapped, list(LAYOUT), "left_semi"), "free")
+        batches = [r["batch_id"] for r in free.select("batch_id").distinct().collect()]  # those in which such a layout came
+        if not batches:
+            return self._mapped(registry, new, n, began, "")
+        rows = self.tables.read_batches("waiting", batches).withColumn("_entity", envelopes.entity_of(F.col("record_type")))
+        asked = free.select("header_signature", "batch_id", F.col("record_type").alias("_entity"))
+        todo = new.unionByName(rows.join(asked, ["_entity", "header_signature", "batch_id"], "left_semi").select(*new.columns))
+        return self._mapped(registry, todo, n, began, f"{free.select(*LAYOUT).distinct().count()} waiting layouts released")
+
+    def _mapped(self, registry: DataFrame, todo: DataFrame, n: int, began: dt.datetime, message: str) -> tuple[DataFrame, DataFrame]:
+        self._note("header_mapping", n, n, 0, began, message)
         return registry, todo
 
     def keep_unmapped(self, policies: DataFrame, claims: DataFrame, registry: DataFrame) -> None:
+        """Set apart the rows without a mapping, and keep which layouts wait in which batch until they have one."""
         began = _now()
         waiting = mapping.unmapped_rows(policies, registry, "policy").unionByName(mapping.unmapped_rows(claims, registry, "claim"))
-        n = self._append("waiting", waiting)
-        rows = self.tables.read_batch("waiting", self.batch_id)  # few, and read back rather than found again
-        layouts = rows.groupBy(envelopes.entity_of(F.col("record_type")).alias("record_type"), "header_signature")
-        self._append("waiting_layouts", layouts.agg(F.count("*").alias("records")))
+        n, held = self.batch.append("waiting", waiting), self.batch.past.current("waiting_layouts")
+        if n or held is not None:
+            rows = self.batch.own("waiting")  # few, and read back rather than found again
+            layouts = rows.groupBy(envelopes.entity_of(F.col("record_type")).alias("record_type"), "header_signature")
+            own = layouts.agg(F.count("*").alias("records")).withColumn("batch_id", F.lit(self.batch_id).cast("long"))
+            mapped = registry.where("mapping IS NOT NULL").select(*LAYOUT)
+            self.batch.swap("waiting_layouts", own if held is None else held.join(mapped, list(LAYOUT), "left_anti").unionByName(own))
         self._note("unmapped", n, n, 0, began, "rows waiting for a mapping" if n else "")
 
     # ------------------------------------------------------------ enrichment
@@ -189,13 +185,13 @@ class BatchRun:
         held = settle(staged, "unclassified")
         open_ = F.coalesce("product_line", F.lit("OTHER")) == "OTHER"
         asked = held.where(open_).select("stg_id", "product_name")
-        earlier = self.tables.batches("model_answers", self.batch_id)
-        cache = self.tables.read_batches("model_answers", earlier).drop("batch_id") if earlier else None
+        names, size = settle_measured(asked.select(joint_key("product_name").alias("asked")).distinct(), "asked_names")
+        cache = self.batch.past.touched(ANSWERS, names, size)  # the answers of all batches, read in the buckets of these names
         answered, fresh, calls = infer_distinct(
             asked, ["product_name"], model, PRODUCT_ANSWER, cache, ["stg_id"], "product_line", self.options.model_name
         )
-        self._append("model_answers", fresh)
-        self._append("model_call_log", calls)
+        self.batch.merge(ANSWERS, fresh.withColumn("asked", joint_key("product_name")))
+        self.batch.append("model_call_log", calls)
         lines = answered.select("stg_id", "answered_line")
         return held.join(lines, "stg_id", "left").withColumn(
             "product_line", F.when(open_, F.coalesce("answered_line", "product_line")).otherwise(F.col("product_line"))
@@ -205,15 +201,15 @@ class BatchRun:
 
     def load_catalog(self) -> None:
         rules = quality.rule_rows(self.spark, self.options.rules)
-        self._swap("rule_catalog", quality.load_rules(self._before("rule_catalog"), rules))
+        self.batch.swap("rule_catalog", quality.load_rules(self.batch.past.current("rule_catalog"), rules))
 
-        catalog = self._now_current("rule_catalog")
+        catalog = self.batch.now.current("rule_catalog")
         self.rules = {entity: quality.rules_from_catalog(catalog, entity, self.options.rules) for entity in ("policy", "claim")}
 
     def _check(self, staged: DataFrame, entity: str) -> DataFrame:
         """Evaluate the rules and write the staged batch with its verdicts; returns it."""
-        self._append(f"stg_{entity}", quality.check(staged, self.rules[entity], self.as_of))
-        return self.tables.read_batch(f"stg_{entity}", self.batch_id)
+        self.batch.append(f"stg_{entity}", quality.check(staged, self.rules[entity], self.as_of))
+        return self.batch.own(f"stg_{entity}")
 
     def _report(self, checked: DataFrame, entity: str, began: dt.datetime) -> None:
         """Write audit trail, quarantine and batch log of a checked batch."""
@@ -222,9 +218,9 @@ class BatchRun:
         audit = quality.explained(quality.results(checked, entity, self.run_id, now), rules)
         summary = quality.batch_log(checked, entity, len(rules), self.run_id, began)
         _, blocked, _ = together(
-            lambda: self._append(f"dq_result_{entity}", audit),
-            lambda: self._append(f"quarantine_{entity}", quality.quarantine(checked, entity, now)),
-            lambda: self._append(f"dq_batch_log_{entity}", summary),
+            lambda: self.batch.append(f"dq_result_{entity}", audit),
+            lambda: self.batch.append(f"quarantine_{entity}", quality.quarantine(checked, entity, now)),
+            lambda: self.batch.append(f"dq_batch_log_{entity}", summary),
         )
         n = checked.count()
         self._note(f"dq_{entity}", n, n - blocked, blocked, began)
@@ -234,7 +230,7 @@ class BatchRun:
     def promote_policies(self, staged: DataFrame, then: Callable[[], None]) -> None:
         """Check and promote the policies. ``then`` is run as soon as they can be looked up, beside the rest."""
         began = _now()
-        known = self._before(f"peers_{POLICIES.name}")
+        known = self.batch.past.current(f"peers_{POLICIES.name}")
         measured = quality.with_premium_distance(quality.with_policy_copies(staged), known)
         checked = self._check(measured, "policy")
         good = quality.promotable(checked)
@@ -243,7 +239,7 @@ class BatchRun:
 
         started = _now()
         rows, size = settle_measured(star.policy_rows(good, self.as_of), "policy_rows")
-        n = self.tables.merge(POLICIES, rows, self.batch_id)
+        n = self.batch.merge(POLICIES, rows)
 
         def scores() -> None:
             self._score_peers(POLICIES, POLICY_PEERS, "policy_key", rows, size)
@@ -252,30 +248,30 @@ class BatchRun:
         together(
             scores,
             lambda: self._report(checked, "policy", began),
-            lambda: self.tables.merge(CUSTOMERS, star.customer_rows(good), self.batch_id),
-            lambda: self.tables.merge(PREMIUMS, star.premium_rows(rows, None), self.batch_id),
-            lambda: self._swap("dim_product", star.product_rows(self.spark)),
+            lambda: self.batch.merge(CUSTOMERS, star.customer_rows(good)),
+            lambda: self.batch.merge(PREMIUMS, star.premium_rows(rows, None)),
+            lambda: self.batch.swap("dim_product", star.product_rows(self.spark)),
             then,
         )
 
     def promote_claims(self, staged: DataFrame) -> None:
         began = _now()
         numbers, size = settle_measured(staged.select("policy_number").distinct(), "numbers")
-        known = self.tables.touched(POLICIES, numbers, size, self.batch_id + 1)
+        known = self.batch.now.touched(POLICIES, numbers, size)
         checked = self._check(quality.with_policy(staged, known, stored=False), "claim")
         good = quality.promotable(checked)
         if self.options.classify_after_checks:
             good = settle(enrich.score_missing_sentiment(good), "scored")
 
         def brokers() -> None:
-            codes = star.broker_rows(self.tables.read_batch("stg_policy", self.batch_id), checked)
-            self._swap("dim_broker", star.dim_broker(self._before("dim_broker"), codes))
+            codes = star.broker_rows(self.batch.own("stg_policy"), checked)
+            self.batch.swap("dim_broker", star.dim_broker(self.batch.past.current("dim_broker"), codes))
 
         def claims() -> None:
             started = _now()
             rows, size = settle_measured(star.claim_rows(good), "claim_rows")
             n, _ = together(
-                lambda: self.tables.merge(CLAIMS, rows, self.batch_id),
+                lambda: self.batch.merge(CLAIMS, rows),
                 lambda: self._score_peers(CLAIMS, CLAIM_PEERS, "claim_key", rows, size),
             )
             self._note("promote_claims", n, n, 0, started)
@@ -285,8 +281,8 @@ class BatchRun:
     def _score_peers(self, table: Keyed, peers: tuple[str, tuple[str, ...]], key: str, rows: DataFrame, size: int) -> None:
         """Bring the peer groups' moments up to date, and keep scores that can't be computed any more."""
         name = table.name
-        known = self._before(f"peers_{name}")
-        old = self.tables.touched(table, rows, size, self.batch_id)
+        known = self.batch.past.current(f"peers_{name}")
+        old = self.batch.past.touched(table, rows, size)
         if old is None:
             now, gone = rows, None
         else:
@@ -294,40 +290,42 @@ class BatchRun:
             others = [c for c in rows.columns if c not in table.keys]
             now = settle(upsert(old, rows, table.keys, table.updates, others).select(*rows.columns), f"now_{name}")
             gone = moments(old, *peers)
-        self._swap(f"peers_{name}", changed_moments(known, moments(now, *peers), gone))
-        self._append(f"{name}_scores", self._kept_scores(table, peers, key, old, now, known))
+        self.batch.swap(f"peers_{name}", changed_moments(known, moments(now, *peers), gone))
+        kept = self._kept_scores(table, peers, key, old, now, known)
+        if kept is not None:
+            self.batch.merge(SCORES[table], kept)
 
     def _kept_scores(
         self, table: Keyed, peers: tuple[str, tuple[str, ...]], key: str, old: DataFrame | None, now: DataFrame, known: DataFrame | None
-    ) -> DataFrame:
+    ) -> DataFrame | None:
         """The last scores of rows whose group has no spread any more, since such rows keep theirs."""
-        none = self.spark.createDataFrame([], f"{key} string, anomaly_score double, anomaly_reason string")
         if old is None or known is None:
-            return none
+            return None
         score = score_policies if table is POLICIES else score_claims
-        spread_now = spread(self._now_current(f"peers_{table.name}")).select("peers")
+        spread_now = spread(self.batch.now.current(f"peers_{table.name}")).select("peers")
         flat = now.withColumn("peers", joint_key(*peers[1])).join(spread_now, "peers", "left_anti").select(key)
         kept = score(old, groups=known).join(flat, key, "left_semi")
-        lost = settle(spread(known).select("peers").join(spread_now, "peers", "left_anti"), "lost")
-        if lost.count():
-            others = self.tables.keyed(table, self.batch_id).join(now.select(key), key, "left_anti")
-            members = others.withColumn("peers", joint_key(*peers[1])).join(F.broadcast(lost), "peers", "left_semi").drop("peers")
+        lost, size = settle_measured(spread(known).select("peers").join(spread_now, "peers", "left_anti"), "lost")
+        if not lost.isEmpty():
+            others = self.batch.past.keyed(table).join(now.select(key), key, "left_anti")
+            asked = F.broadcast(lost) if fits_broadcast(size) else lost
+            members = others.withColumn("peers", joint_key(*peers[1])).join(asked, "peers", "left_semi").drop("peers")
             kept = kept.unionByName(score(members.select(*kept.columns), groups=known))
-        return none.unionByName(kept.where("anomaly_score IS NOT NULL").select(*none.columns))
+        return kept.where("anomaly_score IS NOT NULL").select(key, "anomaly_score", "anomaly_reason")
 
     # ------------------------------------------------------------ logs
 
     def _status(self, status: str, message: str) -> None:
         ended = None if status == "RUNNING" else _now()
         row = self.spark.createDataFrame([(self.run_id, status, message, self.began, ended)], RUN_LOG)
-        self._swap("run_log", row)
+        self.tables.log("run_log", row, self.batch_id)
 
     def _finish(self, failure: str) -> None:
         rows = sorted(self.log.values(), key=lambda entry: entry[1])
         if failure:
             at = next((s for s in STAGES if s not in self.log), STAGES[-1])
             rows.append((self.run_id, STAGES.index(at), at, 0, 0, 0, failure, "ERROR", self.began, _now()))
-        self._append("stage_log", self.spark.createDataFrame(rows, STAGE_LOG))
+        self.tables.log("stage_log", self.spark.createDataFrame(rows, STAGE_LOG), self.batch_id)
         self._status("FAILED" if failure else "SUCCESS", failure)
 
 
@@ -338,34 +336,35 @@ def run_batch(spark: SparkSession, tables: Tables, batch_id: int, messages: Data
 
 def waiting_rows(tables: Tables) -> DataFrame | None:
     """The rows that still wait for a mapping of their layout."""
-    held = tables.batches("waiting")
-    if not held:
+    view = tables.view()
+    if view.state.batch < 0:
         return None
-    released = tables.read_batches("released", tables.batches("released")).select(F.col("record_type").alias("_entity"), "header_signature").distinct()
-    rows = tables.read_batches("waiting", held).withColumn("_entity", envelopes.entity_of(F.col("record_type")))
-    return rows.join(released, ["_entity", "header_signature"], "left_anti").drop("_entity")
-
-
-def _scored(tables: Tables, table: Keyed, key: str) -> DataFrame:
-    rows = tables.keyed(table)
-    batches = tables.batches(f"{table.name}_scores")
-    kept = tables.read_batches(f"{table.name}_scores", batches).groupBy(key).agg(
-        F.max_by(F.struct("anomaly_score", "anomaly_reason"), "batch_id").alias("_kept")
-    )
-    old = rows.join(kept, key, "left").select(
-        *[F.col(f"_kept.{c}").alias(c) if c in ("anomaly_score", "anomaly_reason") else F.col(c) for c in rows.columns]
-    )
+    layouts = view.current("waiting_layouts")
+    if layouts is None:
+        return view.read("waiting").limit(0)
+    rows = view.read("waiting").withColumn("_entity", envelopes.entity_of(F.col("record_type")))
+    asked = layouts.select("header_signature", "batch_id", F.col("record_type").alias("_entity"))
+    return rows.join(asked, ["_entity", "header_signature", "batch_id"], "left_semi").drop("_entity")
+
+
+def _scored(view: View, table: Keyed, key: str) -> DataFrame:
+    rows, kept = view.keyed(table), view.keyed(SCORES[table])
+    if kept is not None:
+        last = kept.select(key, F.struct("anomaly_score", "anomaly_reason").alias("_kept"))
+        rows = rows.join(last, key, "left").select(
+            *[F.col(f"_kept.{c}").alias(c) if c in ("anomaly_score", "anomaly_reason") else F.col(c) for c in rows.columns]
+        )
     score = score_policies if table is POLICIES else score_claims
-    return score(old, groups=tables.current(f"peers_{table.name}"))
+    return score(rows, groups=view.current(f"peers_{table.name}"))
 
 
 def star_of(tables: Tables) -> Star:
-    """The star schema as the last batch left it, scored against the peer groups as they are now."""
+    """The star schema as the last commit names it, scored against the peer groups of that time."""
+    view = tables.view()
     return Star(
-        tables.current("dim_broker"),
-        tables.keyed(CUSTOMERS),
-        _scored(tables, POLICIES, "policy_key"),
-        _scored(tables, CLAIMS, "claim_key"),
-        unscored=tables.keyed(POLICIES),
-        stored=False,
+        view.current("dim_broker"),
+        view.keyed(CUSTOMERS),
+        _scored(view, POLICIES, "policy_key"),
+        _scored(view, CLAIMS, "claim_key"),
+        unscored=view.keyed(POLICIES),
     )

@@ -16,6 +16,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A lookup table is sent to every executor only up to this many bytes of row text.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -61,6 +62,17 @@ def _row_bytes() -> Column:
     return F.octet_length(F.to_json(F.struct("*")))
 
 
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row, without turning it into text: those of its texts, and a fixed number for other values."""
+    size = F.lit(16 * len(schema.fields)).cast("long")
+    for field in schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+    return size
+
+
 def settle_measured(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """``settle``, and the bytes of all rows as text, summed up while they are written."""
     size = Observation()
@@ -70,8 +82,9 @@ def settle_measured(df: DataFrame, name: str) -> tuple[DataFrame, int]:
 
 
 def stored_size(table: DataFrame) -> int | None:
-    """Bytes of all rows of a stored table as text; None when its files alone are too large to broadcast."""
-    files = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Bytes of all rows of stored tables put together, as text; None when their files alone are too large to broadcast."""
+    leaves = table._jdf.queryExecution().optimizedPlan().collectLeaves()
+    files = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
     if files > BROADCAST_BYTES:
         return None
     return table.agg(F.coalesce(F.sum(_row_bytes()), F.lit(0)).alias("bytes")).first()["bytes"]

@@ -136,11 +136,16 @@ def drop_redelivered(messages: DataFrame, late: str = "1 hour") -> DataFrame:
     """
     if messages.isStreaming:
         return messages.withWatermark("timestamp", late).dropDuplicatesWithinWatermark(list(PLACE))
-    repeated = messages.groupBy(*PLACE).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    repeated = repeated_places(messages)
     single = without_places(messages, repeated)
     return single.unionByName(messages.join(repeated, list(PLACE), "left_semi").dropDuplicates(list(PLACE)))
 
 
+def repeated_places(messages: DataFrame) -> DataFrame:
+    """The places in the log that several messages have."""
+    return messages.groupBy(*PLACE).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+
+
 def without_places(messages: DataFrame, places: DataFrame) -> DataFrame:
     """The messages whose place is not among some; these are few as a rule, and then broadcast."""
     known, size = settle_measured(places, "places")

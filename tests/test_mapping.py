@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from itertools import permutations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,3 +229,38 @@ def test_files_become_envelopes_and_dead_lines(spark, tmp_path):
     assert (dead.record_type, dead.value) == ("claim", "C2|P1")
     wrapped = files.files_to_envelopes(spark, paths).where("record_type = 'claim'").withColumn("ingested_at", F.lit(NOW).cast("timestamp_ntz"))
     assert mapping.new_signatures(mapping.layouts(wrapped), mapping.seed_mappings(spark)).count() == 0
+
+
+def test_headers_that_want_one_field_share_out_the_fields(spark):
+    """Both names are nearest to ``claim_number``; the one that is nearly a policy number gives way."""
+    headers = [["claim_numbr", "policy_numbr"], ["claimNumber", "claim_number_", "loss_date"]]
+    rows = [("claim", f"s{i}", h) for i, h in enumerate(headers)]
+    unmapped = spark.createDataFrame(rows, "record_type string, header_signature string, source_headers array<string>")
+    found = {r.header_signature: r.mapping for r in mapping.propose_mapping(unmapped, 0.3).collect()}
+    assert found["s0"] == {"claim_numbr": "claim_number", "policy_numbr": "policy_number"}
+    assert found["s1"]["loss_date"] == "loss_date" and set(found["s1"]) == set(headers[1]) and len(set(found["s1"].values())) == 3
+
+
+def test_a_layout_whose_headers_compete_is_mapped_whole(spark, monkeypatch):
+    """``policy_number_x`` is nearest to the policy number, which an equal header has; it takes its next best field."""
+    monkeypatch.setattr(mapping, "known_headers", lambda: [("policy", "policy number", "policy_number"), ("policy", "policy name", "customer_name")])
+    rows = [("policy", "s", ["policyNumber", "policy_numbe"])]
+    unmapped = spark.createDataFrame(rows, "record_type string, header_signature string, source_headers array<string>")
+    (row,) = mapping.propose_mapping(unmapped, 0.6).collect()
+    assert row.mapping == {"policyNumber": "policy_number", "policy_numbe": "customer_name"}
+
+
+def test_assignment_equals_all_permutations():
+    random = np.random.default_rng(3)
+    for turn in range(300):
+        rows, columns = random.integers(1, 6, 2)
+        weight = np.round(random.random((rows, columns)), 1) * (random.random((rows, columns)) < 0.7)
+        if turn % 3 == 0:
+            weight[random.integers(rows), random.integers(columns)] = rows + 1
+        pairs = mapping.assignment(weight)
+        assert len({i for i, _ in pairs}) == len({j for _, j in pairs}) == len(pairs) and all(weight[i, j] > 0 for i, j in pairs)
+        square = np.zeros((max(rows, columns),) * 2)
+        square[:rows, :columns] = weight
+        best = max(sum(square[i, j] for i, j in enumerate(p)) for p in permutations(range(len(square))))
+        assert sum(weight[i, j] for i, j in pairs) == pytest.approx(best)
+    assert mapping.assignment(np.zeros((0, 0))) == []

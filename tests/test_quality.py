@@ -169,3 +169,22 @@ def test_catalog_is_upserted(spark):
     for bad in ([Rule("X", "policy", "d", "FATAL", "true", ())], [Rule("X", "policy", "", "WARN", "true", ())], [RULES[0], RULES[0]]):
         with pytest.raises(ValueError):
             quality.rule_rows(spark, bad)
+
+
+def test_columns_of_a_rule_come_from_its_expression(spark):
+    rows = frame(spark, "policy", {})
+    read = quality.references(rows.withColumn("as_of", F.lit(AS_OF)).withColumn("tags", F.array(F.lit("a"))), "exists(tags, policy_number -> policy_number = 'customer_name') AND Premium_Amount > 0 OR expiry_date > as_of")
+    assert read == ("tags", "premium_amount", "expiry_date", "as_of")
+    assert quality.references(rows, "1 > 0") == ()
+    rules = [Rule("X1", "policy", "d", "WARN", "sum_insured > 20 * premium_amount", ()), Rule("X2", "policy", "d", "INFO", "false", ()), Rule("X3", "policy", "it's", "INFO", "expiry_date < as_of", ())]
+    (row,) = quality.check(rows, rules, AS_OF).collect()
+    assert [v.observed_value for v in row.verdicts] == ["sum_insured=1000.00, premium_amount=100.00", None, "expiry_date=2026-01-01"]
+
+
+def test_a_rule_that_only_the_catalog_holds(spark):
+    extra = Rule("POL_X", "policy", "Sum insured is twenty premiums", "WARN", "sum_insured > 20 * premium_amount", ())
+    catalog = quality.load_rules(quality.load_rules(None, quality.rule_rows(spark)), quality.rule_rows(spark, [extra]))
+    rules = [r for r in quality.rules_from_catalog(catalog, "policy") if r.rule_type == "expression"]
+    (row,) = quality.check(frame(spark, "policy", {}), rules, AS_OF).collect()
+    assert {v.rule_id: v.observed_value for v in row.verdicts if not v.passed} == {"POL_X": "sum_insured=1000.00, premium_amount=100.00"}
+    assert row.dq_status == "WARN"

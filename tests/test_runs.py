@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from brokerflow.checks.book import Book
 from brokerflow.config.brokers import BROKERS
-from brokerflow.config.rules import RULES
+from brokerflow.config.rules import RULES, Rule
 from brokerflow.plans import batch as batch_module
+from brokerflow.plans import landing
+from brokerflow.plans import tables as tables_module
 from brokerflow.plans.batch import CLAIMS, CUSTOMERS, POLICIES, PREMIUMS, Options, run_batch, star_of, waiting_rows
 from brokerflow.plans.scratch import shared_folder
 from brokerflow.plans.tables import Keyed, Tables
@@ -22,6 +26,7 @@ from brokerflow.streaming import ingest
 from tests.test_envelopes import log
 
 AS_OF = dt.date(2025, 6, 30)
+T_SCHEMA = StructType().add("k", "string").add("a", "integer").add("b", "integer").json()
 
 
 def policy(number, premium="100", name="Ann", broker="BRK_ALPHA", **more):
@@ -72,7 +77,7 @@ def test_first_batch_and_its_waiting_rows(spark, tmp_path):
     assert blocked.failed_rules == ["CLM_008"]
     results = tables.read("dq_result_policy")
     assert results.where("rule_id = 'POL_002' AND NOT passed").first().explanation.startswith("Premium must be a positive number - error on this policy, which has premium_amount=-1")
-    log_rows = {r.stage: (r.rows_out, r.rows_rejected) for r in tables.read("stage_log").collect()}
+    log_rows = {r.stage: (r.rows_out, r.rows_rejected) for r in tables.read_log("stage_log").collect()}
     assert log_rows["landing"] == (5, 1)
     assert log_rows["dq_policy"] == (1, 1)
     assert log_rows["unmapped"] == (1, 0)
@@ -81,7 +86,9 @@ def test_first_batch_and_its_waiting_rows(spark, tmp_path):
     known = tables.current("registry").withColumn(
         "mapping", F.when(F.col("broker_code") == "B", F.create_map(F.lit("zzz"), F.lit("policy_number"))).otherwise(F.col("mapping"))
     )
-    tables.swap("registry", known, 1)
+    correction = tables.begin(1)
+    correction.swap("registry", known)
+    correction.commit()
     run_batch(spark, tables, 2, log(spark, [policy("P9")], start=50), AS_OF)
     assert waiting_rows(tables).count() == 0
     assert sorted(r.policy_number for r in tables.read_batch("stg_policy", 2).collect()) == ["1", "P9"]
@@ -100,10 +107,10 @@ def test_second_batch_merges(spark, two_batches):
 
 
 def test_running_a_batch_again_changes_nothing(spark, two_batches):
-    appended = ("raw", "stg_policy", "dq_result_claim", "quarantine_policy", "stage_log")
-    before = content(two_batches), [two_batches.read(n).count() for n in appended]
+    appended = ("raw", "stg_policy", "dq_result_claim", "quarantine_policy")
+    before = content(two_batches), [two_batches.read(n).count() for n in appended], two_batches.read_log("stage_log").count()
     run_batch(spark, two_batches, 1, log(spark, SECOND, start=20), AS_OF)
-    assert (content(two_batches), [two_batches.read(n).count() for n in appended]) == before
+    assert (content(two_batches), [two_batches.read(n).count() for n in appended], two_batches.read_log("stage_log").count()) == before
 
 
 def test_streamed_batches_equal_batch_runs(spark, tmp_path, two_batches):
@@ -143,40 +150,170 @@ def test_redelivery_on_a_stream(spark, tmp_path):
     assert spark.read.parquet(out).count() == len(FIRST)
 
 
-def test_snapshots_ignore_unfinished_ones(spark, tmp_path):
+def test_snapshots_are_those_of_the_commit(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     assert tables.current("t") is None
     for n in range(5):
-        assert tables.swap("t", spark.range(n), n) == n
-    (tmp_path / "t" / "snapshot=9").mkdir()
+        batch = tables.begin(n)
+        assert batch.swap("t", spark.range(n)) == n
+        assert tables.current("t") is None if n == 0 else tables.current("t").count() == n - 1  # not before the commit
+        batch.commit()
+    tables.begin(9).swap("t", spark.range(99))
     assert tables.current("t").count() == 4
-    assert tables.current("t", before=4).count() == 3
-    assert tables.current("t", before=1).count() == 0  # nothing is pruned by itself
+    assert tables.begin(4).past.current("t").count() == 3  # batch 4 starts again, from what batch 3 left
+    assert tables.current("t").count() == 3
     tables.prune(3)
-    assert tables.snapshots("t") == [2, 3, 4]  # batch 3 starts from snapshot 2
+    assert tables.begin(3).past.current("t").count() == 2
+    assert not (tmp_path / "t" / "snapshot=1").exists()
+
+
+TABLE = Keyed("t", ("k",), ("a",), buckets=4)
+
+
+def deliver(spark, tables, n, rows, compact=True):
+    batch = tables.begin(n)
+    assert batch.merge(TABLE, spark.createDataFrame(rows, "k string, a int, b int")) == len(rows)
+    if compact:
+        batch.compact(TABLE)
+    batch.commit()
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
 
 
 def test_keyed_tables_merge_deliveries_on_read(spark, tmp_path, monkeypatch):
     tables = Tables(spark, str(tmp_path))
-    table = Keyed("t", ("k",), ("a",))
-    assert tables.keyed(table) is None
-    for n, rows in enumerate(([("x", 1, 1), ("y", 2, 2)], [("y", 20, 20)], [("y", None, 30), ("z", 3, 3)], [("x", 9, 9)])):
-        tables.merge(table, spark.createDataFrame(rows, "k string, a int, b int"), n)
+    assert tables.keyed(TABLE) is None
+    for n, rows in enumerate(([], [("x", 1, 1), ("y", 2, 2)], [("y", 20, 20)], [("y", None, 30), ("z", 3, 3)], [("x", 9, 9)])):
+        deliver(spark, tables, n, rows)
+        if not n:
+            assert rows_of(tables.keyed(TABLE)) == []
     wanted = [("x", 9, 1), ("y", None, 2), ("z", 3, 3)]
-
-    def content(df):
-        return sorted(map(tuple, df.collect()))
-
-    assert content(tables.keyed(table)) == wanted
-    assert content(tables.keyed(table, before=2)) == [("x", 1, 1), ("y", 20, 2)]
     asked = spark.createDataFrame([("y",), ("q",)], "k string")
-    for size in (1, 1 << 40):
-        assert content(tables.touched(table, asked, size, 4)) == [("y", None, 2)]
-    assert tables.compact(table, 2) and content(tables.keyed(table)) == wanted
-    assert not tables.compact(Keyed("none", ("k",)), 2)
-    assert content(tables.touched(table, asked, 1, 4)) == [("y", None, 2)]
-    tables.rewind(2)
-    assert content(tables.keyed(table)) == [("x", 1, 1), ("y", 20, 2)]
+    nobody = spark.createDataFrame([("nobody",)], "k string")
+
+    def check():
+        assert rows_of(tables.keyed(TABLE)) == wanted
+        for size in (1, 1 << 40):
+            assert rows_of(tables.view().touched(TABLE, asked, size)) == [("y", None, 2)]
+        assert rows_of(tables.view().touched(TABLE, nobody, 1)) == []
+
+    check()
+    assert rows_of(tables.begin(5).past.keyed(TABLE)) == wanted
+    monkeypatch.setattr(tables_module, "MERGE_AT", 1)
+    batch = tables.begin(5)
+    assert batch.compact(TABLE)
+    batch.commit()
+    check()
+    assert not tables.view().state.keyed["t"].changes
+    deliver(spark, tables, 6, [("z", 30, 30), ("w", 5, 5)], compact=False)
+    wanted = [("w", 5, 5), ("x", 9, 1), ("y", None, 2), ("z", 30, 3)]
+    check()
+    monkeypatch.setattr("brokerflow.plans.scratch.BROADCAST_BYTES", -1)
+    check()
+    tables.rewind(3)
+    assert rows_of(tables.keyed(TABLE)) == [("x", 1, 1), ("y", 20, 2)]
+
+
+def test_other_buckets_are_neither_read_nor_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables_module, "MERGE_AT", 3)
+    tables = Tables(spark, str(tmp_path))
+    names = [f"k{i}" for i in range(40)]
+    bucket = {r.k: r.b for r in spark.createDataFrame([(k,) for k in names], "k string").select("k", TABLE.bucket().alias("b")).collect()}
+    deliver(spark, tables, 0, [(k, 0, 0) for k in names])
+    mine = [k for k in names if bucket[k] == bucket["k0"]]
+    assert len(mine) < len(names)
+    for n in range(1, 8):  # the bucket's base is written in batches 2 and 5, and no other one's
+        files = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+        deliver(spark, tables, n, [(mine[n % len(mine)], n, n)])
+        assert {p: p.stat().st_mtime_ns for p in files} == files
+    written = {p.relative_to(tmp_path).parts[1:3] for p in (tmp_path / "t_base").rglob("*.parquet")}
+    assert written == {(f"batch_id={n}", f"bucket={bucket['k0']}") for n in (2, 5)}
+    asked = spark.createDataFrame([(mine[0],), (mine[1],)], "k string")
+    read = tables.view().touched(TABLE, asked, 1).inputFiles()
+    assert read and all(f"/bucket={bucket['k0']}/" in f for f in read)
+    assert len(read) == 3  # the base and the changes since
+    assert rows_of(tables.keyed(TABLE)) == sorted([(k, max([n for n in range(1, 8) if mine[n % len(mine)] == k], default=0), 0) for k in names], key=str)
+
+
+def test_pruning_keeps_what_later_batches_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables_module, "MERGE_AT", 2)
+    tables = Tables(spark, str(tmp_path))
+    for n in range(7):
+        deliver(spark, tables, n, [(f"k{i}", n, n) for i in range(n % 3, 12, 3)])
+    want, before = rows_of(tables.keyed(TABLE)), len(list(tmp_path.rglob("*.parquet")))
+    past = rows_of(tables.begin(7).past.keyed(TABLE))
+    tables.prune(6)
+    assert len(list(tmp_path.rglob("*.parquet"))) < before
+    assert rows_of(tables.keyed(TABLE)) == want == past
+    earlier = tables.begin(6).past
+    assert earlier.state.batch == 5 and len(rows_of(earlier.keyed(TABLE))) == 12
+
+
+def test_the_last_of_many_batches_opens_few_files(spark, tmp_path):
+    """Five hundred batches of one row: what the last one lists and opens doesn't grow with their number."""
+    tables, opened = Tables(spark, str(tmp_path)), {}
+    parts = tables_module.Parts({b: 480 for b in range(4)}, {b: [493 + b] for b in range(4)}, {493 + b: (1, 9) for b in range(4)}, T_SCHEMA)
+    for n in range(500):  # commits are small files; the tables of most batches are not needed for this
+        commit = Path(tables._commit(n))
+        commit.parent.mkdir(parents=True, exist_ok=True)
+        commit.write_text(tables_module.State(n, {landing.RANGES: n}, {"t": parts}).text())
+    for b in range(4):
+        for name, number in (("t_base", 480), ("t_changes", 493 + b)):
+            spark.createDataFrame([(f"{name}{b}", b, b)], "k string, a int, b int").coalesce(1).write.parquet(str(tmp_path / name / f"batch_id={number}" / f"bucket={b}"))
+    spark.createDataFrame([("t", 0, 0, 499)], "topic string, partition int, first long, last long").coalesce(1).write.parquet(str(tmp_path / landing.RANGES / "snapshot=499"))
+    listed, listing = [], tables._list
+    tables._list = lambda path: listed.append(path) or listing(path)
+    batch = tables.begin(500)
+    opened["ranges"] = batch.past.current(landing.RANGES).inputFiles()
+    opened["t"] = batch.past.touched(TABLE, spark.createDataFrame([("t_base0",)], "k string"), 1).inputFiles()
+    assert len(opened["ranges"]) == 1 and len(opened["t"]) <= 2
+    assert len(listed) <= 6 and len(listing(f"{tmp_path}/_commits")) == 1
+
+
+def test_ranges_of_offsets(spark):
+    held = [("t", 0, o) for o in (5, 6, 7, 9, 10, 20, 7)] + [("t", 1, 3), ("u", 0, 4), ("u", 0, 5)]
+    places = spark.createDataFrame(held, "topic string, partition int, offset long")
+    want = [("t", 0, 5, 7), ("t", 0, 9, 10), ("t", 0, 20, 20), ("t", 1, 3, 3), ("u", 0, 4, 5)]
+    got = landing.ranges_of(places)
+    assert rows_of(got) == sorted(want, key=str)
+    landing_stretch = landing.STRETCH
+    try:
+        landing.STRETCH = 2
+        assert rows_of(landing.ranges_of(places)) == sorted(want, key=str)
+    finally:
+        landing.STRETCH = landing_stretch
+    more = spark.createDataFrame([("t", 0, 8, 8), ("t", 0, 11, 30), ("u", 0, 1, 2)], got.schema)
+    assert rows_of(landing.islands(got.unionByName(more), ["topic", "partition"])) == [("t", 0, 5, 30), ("t", 1, 3, 3), ("u", 0, 1, 2), ("u", 0, 4, 5)]
+
+
+@pytest.mark.parametrize("stretch", [1 << 20, 3])
+def test_redelivery_is_found_by_ranges(spark, tmp_path, monkeypatch, stretch):
+    """Batches that overlap, fill gaps and repeat themselves land each place once, as sets of places say."""
+    monkeypatch.setattr(landing, "STRETCH", stretch)
+    tables, seen = Tables(spark, str(tmp_path)), set()
+    for n, offsets in enumerate(([0, 1, 2, 8, 9], [3, 4, 2, 4], [5, 6, 7, 0, 8, 11], [20, 21, 22], [10, 21, 30, 10], [])):
+        batch = tables.begin(n)
+        messages = log(spark, [policy(f"P{o}") for o in offsets] or ["x"]).where(F.lit(bool(offsets)))
+        numbered = messages.withColumn("offset", F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets or [0]]), (F.col("offset") + 1).cast("int")))
+        new, came = landing.new_messages(batch, numbered)
+        got = sorted(r.kafka_offset for r in new.select("kafka_offset").collect())
+        assert (got, came) == (sorted(set(offsets) - seen), len(offsets))
+        landing.keep_places(batch, new)
+        batch.commit()
+        seen |= set(offsets)
+        held = sorted(o for r in tables.current(landing.RANGES).collect() for o in range(r["first"], r["last"] + 1))
+        assert held == sorted(seen)
+    assert tables.current(landing.RANGES).count() == 3
+
+
+def test_a_batch_without_repeats_is_stored_once(spark, tmp_path, monkeypatch):
+    stored, settle = [], landing.settle
+    monkeypatch.setattr(landing, "settle", lambda df, name: stored.append(name) or settle(df, name))
+    batch = Tables(spark, str(tmp_path)).begin(0)
+    landing.new_messages(batch, log(spark, FIRST))
+    assert stored == ["decoded"]
 
 
 def everything(tables):
@@ -233,6 +370,16 @@ def test_the_catalog_steers_the_checks(spark, tmp_path):
     assert tables.current("rule_catalog").count() == len(RULES)
 
 
+def test_a_rule_of_an_earlier_batch_runs_in_later_ones(spark, tmp_path):
+    """The second batch knows the rule from the catalog alone."""
+    extra = Rule("POL_X", "policy", "Sum insured is at most ten premiums", "WARN", "sum_insured <= 10 * premium_amount", ())
+    tables = tables_after(spark, tmp_path, (0, [policy("P1")]), options=Options(rules=[*RULES, extra]))
+    run_batch(spark, tables, 1, log(spark, [policy("P2")], start=20), AS_OF)
+    failed = tables.read("dq_result_policy").where("rule_id = 'POL_X' AND NOT passed").orderBy("batch_id").collect()
+    assert [r.observed_value for r in failed] == ["sum_insured=9000.00, premium_amount=100.00"] * 2
+    assert failed[1].severity == "WARN" and tables.read_batch("stg_policy", 1).first().dq_status == "WARN"
+
+
 def test_far_premiums_are_in_the_audit_trail(spark, tmp_path):
     values = [policy(f"P{i}", premium=str(100 + i % 3)) for i in range(20)] + [policy("FAR", premium="9000")]
     tables = tables_after(spark, tmp_path, (0, values))
@@ -265,14 +412,44 @@ def test_scores_follow_from_moments_as_if_all_was_scored_again(spark, tmp_path):
             assert got[number] == (pytest.approx(kept[number], abs=1e-9) if number in kept else None), (i, number)
 
 
+def held_scratch(spark, pattern="batch-*"):
+    held = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{pattern}")
+    return held.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(held)
+
+
 def test_untouched_files_stay_and_scratch_is_gone(spark, tmp_path):
     tables = tables_after(spark, tmp_path, (0, [policy(f"P{i}") for i in range(30)]))
     files = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
     run_batch(spark, tables, 1, log(spark, [policy("P3", premium="7")], start=40), AS_OF)
     assert {p: p.stat().st_mtime_ns for p in files} == files
-    assert tables.read_batch("dim_policy_changes", 1).count() == 1 and tables.snapshots("dim_policy_base") == [0]
-    held = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/batch-*")
-    assert not held.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(held)
+    assert len(list((tmp_path / "dim_policy_changes" / "batch_id=1").rglob("*.parquet"))) == 1
+    assert not held_scratch(spark)
+
+
+def test_reading_the_star_writes_nothing(spark, two_batches):
+    before = {str(s.getPath()) for s in held_scratch(spark, "*/*") or []}
+    assert content(two_batches)[0]
+    assert {str(s.getPath()) for s in held_scratch(spark, "*/*") or []} == before
+
+
+@pytest.mark.parametrize("step", ["claim_rows"])
+def test_readers_see_a_batch_whole_or_not_at_all(spark, tmp_path, monkeypatch, step):
+    """A batch that dies between two of its tables leaves the state before it, also while it is run again."""
+    tables = tables_after(spark, tmp_path, (0, FIRST))
+    before = everything(tables)
+
+    def broken(*_):
+        raise RuntimeError("executor lost for good")
+
+    monkeypatch.setattr(batch_module.star, step, broken)
+    with pytest.raises(RuntimeError):
+        run_batch(spark, tables, 1, log(spark, SECOND, start=20), AS_OF)
+    assert (tmp_path / "raw" / "batch_id=1").exists()
+    assert everything(tables) == before
+    assert sorted(r.status for r in tables.read_log("run_log").collect()) == ["FAILED", "SUCCESS"]
+    monkeypatch.undo()
+    run_batch(spark, tables, 1, log(spark, SECOND, start=20), AS_OF)
+    assert content(tables) != before["star"] and tables.read("raw").count() == 9
 
 
 def test_a_failed_batch_is_logged_and_leaves_no_scratch(spark, tmp_path, monkeypatch):
@@ -283,15 +460,14 @@ def test_a_failed_batch_is_logged_and_leaves_no_scratch(spark, tmp_path, monkeyp
     monkeypatch.setattr(batch_module.star, "claim_rows", broken)
     with pytest.raises(RuntimeError):
         run_batch(spark, tables, 0, log(spark, FIRST), AS_OF)
-    last = tables.read("stage_log").orderBy("step").collect()[-1]
+    last = tables.read_log("stage_log").orderBy("step").collect()[-1]
     assert (last.stage, last.status) == ("promote_claims", "ERROR") and "no space left" in last.message
-    assert tables.current("run_log").first().status == "FAILED"
-    held = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/batch-*")
-    assert not held.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(held)
+    assert tables.read_log("run_log").first().status == "FAILED"
+    assert not held_scratch(spark)
     monkeypatch.undo()
     run_batch(spark, tables, 0, log(spark, FIRST), AS_OF)
-    assert [(r.stage, r.status) for r in tables.read("stage_log").orderBy("step").collect()] == [(s, "SUCCESS") for s in batch_module.STAGES]
-    assert tables.current("run_log").first().status == "SUCCESS"
+    assert [(r.stage, r.status) for r in tables.read_log("stage_log").orderBy("step").collect()] == [(s, "SUCCESS") for s in batch_module.STAGES]
+    assert tables.read_log("run_log").first().status == "SUCCESS"
 
 
 def test_a_model_answers_what_the_word_lists_leave_open(spark, tmp_path):

@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from brokerflow.plans.scratch import shared_folder
 
@@ -27,6 +28,11 @@ def settle(df: DataFrame, group: str, name: str) -> DataFrame:
     return settle_at(df, place(df.sparkSession, group, name))
 
 
+def numbered(df: DataFrame, group: str, name: str) -> DataFrame:
+    """``settle`` with a number ``row`` of each row. It is stored with the row, so it stays the same."""
+    return settle(df.withColumn("row", F.monotonically_increasing_id()), group, name)
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a table that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

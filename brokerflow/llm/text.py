@@ -64,5 +64,10 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with a name for a value that is computed once a row, however often lambdas in it ask for it."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)

@@ -8,9 +8,15 @@ so a hash that two grams share by chance changes nothing.
 An item with fewer words than ``WINDOW`` is one window. Such items can't be found by winnowing; if a
 length below ``WINDOW`` occurs among the items, the documents' windows of that length are all joined.
 
-Null texts have no words: nothing hits them and they hit nothing. Repeated rows are one document and get
-the same result; so do rows with a null ``doc_id``, whose hits count together. Null ``item_id`` is left
-out of the item lists. Of the tables, only ``doc_id``, ``item_id`` and ``text`` are read.
+Rows are numbered once, in a stored table, and told apart by that number alone. Texts are not shuffled for
+the search: fingerprints meet the items' by broadcast up to a measured size, and by a join that splits hot
+ones beyond it; only the texts that hit are looked at again. Every step is linear in a text's words, so
+documents and items may have any length.
+
+Null texts have no words: nothing hits them and they hit nothing. Every row is judged by its own text, also
+where ids are null or occur several times; repeated rows get the same result. Null ``item_id`` is left out of
+the item lists, and items with the same id are one. Of the tables, only ``doc_id``, ``item_id`` and ``text``
+are read.
 """
 
 from __future__ import annotations
@@ -18,7 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerflow.llm.store import settle
+from brokerflow.llm.store import numbered, settle, tasks
+from brokerflow.llm.text import let
+from brokerflow.operators.joins import lookup_join
+from brokerflow.plans.scratch import fits_broadcast, settle_measured
 
 WINDOW = 10
 GRAM = 5
@@ -27,86 +36,104 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def words_of(text: Column) -> Column:
-    lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
-    return F.array_remove(F.split(lowered, NO_WORD), "")
+def words_of(text: str) -> str:
+    """SQL for the words of a text column."""
+    cut = f"split(translate(coalesce({text}, ''), '{UPPER}', '{UPPER.lower()}'), r'{NO_WORD}')"
+    return f"array_remove({cut}, '')"
 
 
-def with_grams(worded: DataFrame, gram: int = GRAM) -> DataFrame:
-    """Adds ``grams``: the hash of every ``gram`` consecutive entries of ``words``."""
-    hashed = worded.withColumn("hashes", F.expr("transform(words, w -> xxhash64(w))"))
-    parts = ", ".join(["h", *(f"hashes[i + {k}]" for k in range(1, gram))])
-    kept = f"slice(hashes, 1, greatest(size(hashes) - {gram - 1}, 0))"
-    return hashed.withColumn("grams", F.expr(f"transform({kept}, (h, i) -> xxhash64({parts}))")).drop("hashes")
+def grams_of(words: str, gram: int = GRAM) -> str:
+    """SQL for the hash of every ``gram`` consecutive words."""
+    parts = ", ".join(["x", *(f"h[i + {k}]" for k in range(1, gram))])
+    return let("h", f"transform({words}, x -> xxhash64(x))", f"transform(slice(h, 1, greatest(size(h) - {gram - 1}, 0)), (x, i) -> xxhash64({parts}))")
 
 
-def with_fingerprints(worded: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Adds ``prints``: the distinct least hashes of the gram runs; drops ``grams``."""
+def prints_of(words: str, window: int = WINDOW, gram: int = GRAM) -> str:
+    """SQL for the distinct least hashes of the gram runs."""
     run = window - gram + 1
-    kept = f"slice(grams, 1, greatest(size(grams) - {run - 1}, 0))"
-    least = ", ".join(["g", *(f"grams[i + {k}]" for k in range(1, run))])
-    return with_grams(worded, gram).withColumn("prints", F.expr(f"array_distinct(transform({kept}, (g, i) -> least({least})))")).drop("grams")
+    least = ", ".join(["x", *(f"g[i + {k}]" for k in range(1, run))])
+    runs = f"transform(slice(g, 1, greatest(size(g) - {run - 1}, 0)), (x, i) -> least({least}))"
+    return let("g", grams_of(words, gram), f"array_distinct({runs})")
 
 
-def _window_text(start: str, length: str | int) -> Column:
-    return F.expr(f"array_join(slice(words, {start} + 1, {length}), ' ')")
+def _windows(starts: str, words: str, length: str | int) -> Column:
+    """A row per start: the start and, as text, the window there."""
+    return F.explode(F.expr(f"transform({starts}, s -> struct(s AS start, array_join(slice({words}, s + 1, {length}), ' ') AS window))"))
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(item_id, length, window): every window of every item, as text; ``items`` has item_id and words."""
     sized = items.withColumn("length", F.least(F.size("words"), F.lit(window))).filter("length > 0")
-    started = sized.withColumn("start", F.explode(F.expr("sequence(0, size(words) - length)")))
-    return started.select("item_id", "length", _window_text("start", "length").alias("window")).distinct()
-
-
-def _hits(worded: DataFrame, items: DataFrame, prints: DataFrame, item_prints: DataFrame, windows: DataFrame, window: int, gram: int) -> DataFrame:
-    """(doc_id, start, length, window) of the documents' windows that may be an item's, found from fingerprints."""
-    met = prints.select("doc_id", F.explode("prints").alias("print")).join(item_prints, "print", "left_semi")
-    by_doc = met.groupBy("doc_id").agg(F.collect_set("print").alias("met"))
-    texts = worded.alias("t").join(by_doc.alias("m"), F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")))
-    texts = with_grams(texts.select("t.doc_id", "t.words", "m.met"), gram)
-    around = f"transform(sequence(greatest(p - {window - gram}, 0), least(p, size(words) - {window})), s -> s)"
-    places = F.expr("filter(transform(grams, (g, p) -> if(array_contains(met, g), p, -1)), p -> p >= 0)")
-    starts = F.expr(f"array_distinct(flatten(transform(filter(places, p -> greatest(p - {window - gram}, 0) <= size(words) - {window}), p -> {around})))")
-    started = texts.withColumn("places", places).select("doc_id", "words", F.explode(starts).alias("start"))
-    return started.select("doc_id", "start", F.lit(window).alias("length"), _window_text("start", window).alias("window"))
+    found = sized.select("item_id", "length", _windows("sequence(0, size(words) - length)", "words", "length").alias("w"))
+    return found.select("item_id", "length", "w.window").distinct()
+
+
+def _hits(rows: DataFrame, item_prints: DataFrame, window: int, gram: int, group: str) -> DataFrame:
+    """(row, start, length, window) of the windows around every gram that is an item's fingerprint.
+
+    A document that shares a window has such a gram among its own fingerprints; only those that do are read again.
+    """
+    met = lookup_join(rows.select("row", F.explode("prints").alias("gram")), item_prints, ["gram"], ["row"], "inner", "item_prints")
+    texts = lookup_join(rows.select("row", F.col("doc.text").alias("text")), met.select("row").distinct(), ["row"], ["row"], "inner", "met")
+    held = settle(texts.select("row", F.expr(words_of("text")).alias("words")), group, "met_texts")
+    places = held.select("row", F.posexplode(F.expr(grams_of("words", gram))).alias("place", "gram"))
+    shared = lookup_join(places, item_prints, ["gram"], ["row", "place"], "inner", "item_prints")
+    at = shared.groupBy("row").agg(F.collect_set("place").alias("places"))
+    back = window - gram
+    around = f"filter(flatten(transform(places, p -> sequence(greatest(p - {back}, 0), p))), s -> s + {window} <= size(words))"
+    started = lookup_join(held, at, ["row"], ["row"], "inner", "places").withColumn("starts", F.expr(f"array_distinct({around})"))
+    found = started.select("row", _windows("starts", "words", window).alias("w"))
+    return found.select("row", "w.start", F.lit(window).alias("length"), "w.window")
+
+
+def _short_hits(rows: DataFrame, length: int) -> DataFrame:
+    """All windows of a length that is too short for fingerprints."""
+    held = rows.filter(F.col("n_words") >= length).select("row", F.expr(words_of("doc.text")).alias("words"))
+    starts = f"transform(sequence(0, size(v) - {length}), s -> struct(s AS start, array_join(slice(v, s + 1, {length}), ' ') AS window))"
+    found = held.select("row", F.explode(F.expr(let("v", "words", starts))).alias("w"))
+    return found.select("row", "w.start", F.lit(length).alias("length"), "w.window")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, group: str, window: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """The numbered rows (row, doc, n_words), and those with a hit (row, n_hit, n_items, items_sha256)."""
+    found = let("w", words_of("text"), f"struct(cast(size(w) AS long) AS n_words, {prints_of('w', window, gram)} AS prints)")  # split once
+    rows = numbered(docs.select(F.struct("*").alias("doc"), F.expr(found).alias("found")), group, "rows").select("row", "doc", "found.*")
+
+    dealt = benchmark.select("item_id", "text").repartition(tasks(docs.sparkSession), "item_id", "text")  # long items apart
+    items = settle(dealt.select("item_id", F.expr(words_of("text")).alias("words")), group, "items")
+    item_prints = items.select(F.explode(F.expr(prints_of("words", window, gram))).alias("gram")).distinct()
+    windows = settle(item_windows(items, window), group, "windows")
 
+    hits = _hits(rows, settle(item_prints, group, "item_prints"), window, gram, group)
+    for length in sorted(r[0] for r in windows.filter(F.col("length") < window).select("length").distinct().collect()):
+        hits = hits.unionByName(_short_hits(rows, length))
+    named = windows.groupBy("window", "length").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
+    found = settle(lookup_join(hits, named, ["window", "length"], ["row", "start"], "inner", "item_windows"), group, "found")
 
-def _short_hits(worded: DataFrame, lengths: list[int]) -> DataFrame:
-    """All windows of the given lengths, for items that are too short for fingerprints."""
-    sized = worded.withColumn("length", F.explode(F.array(*map(F.lit, lengths)))).filter(F.size("words") >= F.col("length"))
-    started = sized.withColumn("start", F.explode(F.expr("sequence(0, size(words) - length)")))
-    return started.select("doc_id", "start", "length", _window_text("start", "length").alias("window"))
+    covered = F.expr("size(array_distinct(flatten(collect_set(sequence(start, start + length - 1)))))").cast("long")
+    ids = F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids"))))
+    listed = found.groupBy("row").agg(covered.alias("n_hit"), ids.alias("ids"))
+    digest = F.sha2(F.array_join("ids", ","), 256)
+    return rows.drop("prints"), listed.select("row", "n_hit", F.size("ids").cast("long").alias("n_items"), digest.alias("items_sha256"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, group: str = "winnow", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    worded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("words"))
-    items = settle(benchmark.select("item_id", words_of(F.col("text")).alias("words")), group, "items")
-    counted = worded.withColumn("n_words", F.size("words").cast("long"))
-    prints = settle(with_fingerprints(counted, window, gram).drop("words"), group, "prints")
-    item_prints = settle(with_fingerprints(items, window, gram).select(F.explode("prints").alias("print")).distinct(), group, "item_prints")
-    windows = settle(item_windows(items, window), group, "windows")
-
-    hits = _hits(worded, items, prints, item_prints, windows, window, gram)
-    lengths = [r[0] for r in windows.filter(F.col("length") < window).select("length").distinct().collect()]
-    if lengths:
-        hits = hits.unionByName(_short_hits(worded, sorted(lengths)))
-    named = windows.select("window", "length").distinct()
-    found = settle(hits.join(named, ["window", "length"], "left_semi").distinct(), group, "found")
-
-    covered = F.expr("size(array_distinct(flatten(collect_set(sequence(start, start + length - 1)))))").cast("long")
-    n_hit = found.groupBy("doc_id").agg(covered.alias("n_hit"))
-    listed = found.select("doc_id", "window", "length").distinct().join(windows, ["window", "length"])
-    ids = F.array_sort(F.collect_set(F.col("item_id").cast("string")))
-    by_doc = listed.groupBy("doc_id").agg(F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"))
-    summary = n_hit.alias("a").join(by_doc.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))).select("a.*", "b.n_items", "b.items_sha256")
-    out = prints.select("doc_id", "n_words").alias("d").join(summary.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left")
-    return out.select(
-        "d.doc_id",
+    rows, hit = _judged(docs.select("doc_id", "text"), benchmark, group, window, gram)
+    known = lookup_join(rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), "n_words"), hit, ["row"], ["row"], "left", "hit")
+    none = F.lit(0).cast("long")
+    return known.select(
+        "doc_id",
         "n_words",
-        F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("n_hit", none).alias("n_hit"),
+        F.coalesce("n_items", none).alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        (F.coalesce("n_hit", none) > 0).alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, group: str = "winnow", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The rows of ``docs`` that hold no window of an item, with all their columns."""
+    rows, hit = _judged(docs, benchmark, group, window, gram)
+    hit, size = settle_measured(hit.select("row"), "hit")
+    return rows.join(F.broadcast(hit) if fits_broadcast(size) else hit, "row", "left_anti").select("doc.*")

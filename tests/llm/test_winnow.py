@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -60,6 +61,39 @@ def test_hits_equal_brute_force(spark, short):
     assert sorted(map(tuple, got.collect()), key=str) == brute(held, items)
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    """Rows without an id, one id with several texts, and rows that are there twice."""
+    r = random.Random(5)
+    part = " ".join(f"w{r.randrange(900)}" for _ in range(14))
+    clean = " ".join(f"w{r.randrange(900)}" for _ in range(60))
+    texts = [f"a b {part} c", clean, part, "", None, f"{clean} {part}"]
+    held = [(i, t) for i in (None, 7, 8) for t in texts for _ in range(3)] + [(None, f"{clean} x{k}") for k in range(40)]
+    items = [(1, part), (2, f"{part} more words than before"), (None, part), (3, clean[:20])]
+    got = winnow.contamination(frame(spark, held), benchmark(spark, items))
+    assert sorted(map(tuple, got.collect()), key=str) == brute(held, items)
+    kept = winnow.clean(frame(spark, held), benchmark(spark, items))
+    assert kept.columns == frame(spark, []).columns
+    assert sorted((str(x["doc_id"]), str(x["text"])) for x in kept.collect()) == sorted((str(b[0]), str(t)) for (i, t), b in zip(held, [brute([x], items)[0] for x in held], strict=True) if not b[5])
+
+
+@pytest.mark.parametrize("short", [False, True])
+def test_long_texts_and_items_end(spark, short):
+    r = random.Random(6)
+    long = [" ".join(f"w{r.randrange(5000)}" for _ in range(20_000)) for _ in range(2)]
+    held = [(1, long[0]), (2, long[1][:9000]), (3, "same " * 20_000), (4, "short one")]
+    items = [(1, long[0]), (2, "same " * 3000), (3, long[1])] + ([(4, "w1 w2"), (5, "short")] if short else [])
+    began = time.monotonic()
+    got = winnow.contamination(frame(spark, held), benchmark(spark, items)).collect()
+    assert time.monotonic() - began < 60
+    assert sorted(map(tuple, got), key=str) == brute(held, items)
+
+
+def test_prints_that_cannot_be_broadcast(spark, no_broadcast):
+    held = rows()
+    items = [(1, next(t for _, t in held if t and len(words(t)) > 60)), (2, "the same " * 8)]
+    assert sorted(map(tuple, winnow.contamination(frame(spark, held), benchmark(spark, items)).collect()), key=str) == brute(held, items)
+
+
 def test_empty_tables(spark):
     items = [(1, "one two three")]
     assert winnow.contamination(empty(spark), benchmark(spark, items)).count() == 0

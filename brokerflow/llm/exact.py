@@ -6,22 +6,23 @@ know is new. One that it may know is looked up among the bucket's stored keys, s
 lookup and is never a duplicate. A digest whose last document goes leaves the filter. When an insertion
 finds no place, the filter is made twice as large and filled again from the stored keys.
 
-A digest is SHA-256 of the text with each run of white space as one space. Null counts as empty. Rows
-with the same ``doc_id`` and text are one document: all of them are marked kept, or none. A null
-``doc_id`` is never the smallest; a group of such rows alone has a null ``keep_id`` and keeps them all.
-Only ``doc_id`` and ``text`` are read.
+A digest is SHA-256 of the text with each run of white space as one space. Null counts as empty. Rows are
+numbered once, in a stored table, and of equal texts exactly one row is kept: of those with the smallest
+``doc_id`` the first. A null ``doc_id`` is never the smallest; of a group of such rows alone one is kept, and
+its ``keep_id`` is null. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerflow.llm.store import settle, tasks
+from brokerflow.llm.store import numbered, settle, tasks
 from brokerflow.llm.text import record
 
 #: Live digests of a bucket, about; a task holds one bucket at a time.
@@ -30,10 +31,12 @@ SLOTS = 4
 KICKS = 200
 
 WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
-CHANGES = pa.schema([("bucket", pa.int64()), ("digest", pa.string()), ("low_id", pa.int64()), ("change", pa.int64())])
-CHANGES_DDL = "bucket long, digest string, low_id long, change long"
-INDEX = pa.schema([("bucket", pa.int64()), ("digest", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
-INDEX_DDL = "bucket long, digest string, keep_id long, group_size long"
+CHANGES = pa.schema([("bucket", pa.int64()), ("digest", pa.string()), ("low_id", pa.int64()), ("low_row", pa.int64()), ("change", pa.int64())])
+CHANGES_DDL = "bucket long, digest string, low_id long, low_row long, change long"
+INDEX = pa.schema([("bucket", pa.int64()), ("digest", pa.string()), ("keep_id", pa.int64()), ("keep_row", pa.int64()), ("group_size", pa.int64())])
+INDEX_DDL = "bucket long, digest string, keep_id long, keep_row long, group_size long"
+#: The number of a row that comes to a built index, which has numbers of its own.
+LATER = 1 << 62
 
 
 class CuckooFilter:
@@ -101,20 +104,26 @@ class Bucket:
             self.filter = CuckooFilter(room)
             placed = all(map(self.filter.insert, self.stored))
 
-    def change(self, digest: str, low_id: int | None, change: int) -> None:
-        """Add documents of a digest, or take some away; documents that aren't there can't be taken."""
+    def change(self, digest: str, low: Any, change: int) -> None:
+        """Add documents of a digest, of which ``low`` comes first, or take some away; documents that aren't there can't be taken."""
         held = self.stored.get(digest) if digest in self.filter else None
         if held is None:
             if change > 0:
-                self.stored[digest] = [low_id, change]
+                self.stored[digest] = [low, change]
                 self._place(digest)
             return
         held[1] += change
         if held[1] <= 0:
             del self.stored[digest]
             self.filter.delete(digest)
-        elif change > 0 and low_id is not None and (held[0] is None or low_id < held[0]):
-            held[0] = low_id
+        elif change > 0 and low is not None and (held[0] is None or low < held[0]):
+            held[0] = low
+
+
+def _changes(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(bucket, digest, first document, change); a document is (whether it has no id, id, row), which is how they are ordered."""
+    for bucket, digest, low_id, low_row, change in zip(*(batch.column(n).to_pylist() for n in CHANGES.names), strict=True):
+        yield bucket, digest, (low_id is None, low_id or 0, low_row), change
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,16 +131,17 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number, bucket = None, Bucket()
 
     def rows() -> pa.RecordBatch:
-        stored = bucket.stored
-        return record(INDEX, [number] * len(stored), list(stored), [v[0] for v in stored.values()], [v[1] for v in stored.values()])
+        stored, low = bucket.stored, [v[0] for v in bucket.stored.values()]
+        ids = [None if without else i for without, i, _ in low]
+        return record(INDEX, [number] * len(stored), list(stored), ids, [n for *_, n in low], [v[1] for v in stored.values()])
 
     for batch in batches:
-        for at, digest, low_id, change in zip(*(batch.column(n).to_pylist() for n in CHANGES.names), strict=True):
+        for at, digest, low, change in _changes(batch):
             if at != number:
                 if bucket.stored:
                     yield rows()
                 number, bucket = at, Bucket()
-            bucket.change(digest, low_id, change)
+            bucket.change(digest, low, change)
     if bucket.stored:
         yield rows()
 
@@ -141,18 +151,13 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, list] = {}
 
     def rows() -> pa.RecordBatch:
-        columns = zip(*((bucket, digest, low_id, change) for digest, (bucket, low_id, change) in held.items()), strict=True)
+        columns = zip(*((bucket, digest, None if low[0] else low[1], low[2], change) for digest, (bucket, low, change) in held.items()), strict=True)
         return record(CHANGES, *columns)
 
     for batch in batches:
-        for bucket, digest, low_id, change in zip(*(batch.column(n).to_pylist() for n in CHANGES.names), strict=True):
-            if digest not in held:
-                held[digest] = [bucket, low_id, change]
-                continue
-            sum_ = held[digest]
-            sum_[2] += change
-            if low_id is not None and (sum_[1] is None or low_id < sum_[1]):
-                sum_[1] = low_id
+        for bucket, digest, low, change in _changes(batch):
+            sum_ = held.setdefault(digest, [bucket, low, 0])
+            sum_[1], sum_[2] = min(sum_[1], low), sum_[2] + change
         if len(held) > KEYS_PER_BUCKET:
             yield rows()
             held.clear()
@@ -181,10 +186,14 @@ def _changed(changes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_apply, INDEX_DDL)
 
 
+def _row(documents: DataFrame, otherwise: int) -> Column:
+    return (F.col("row") if "row" in documents.columns else F.lit(otherwise).cast("long")).alias("low_row")
+
+
 def build(keyed: DataFrame, buckets: int) -> DataFrame:
-    """An index (bucket, digest, keep_id, group_size) of the documents (doc_id, digest)."""
-    changes = keyed.select(_bucket(buckets).alias("bucket"), "digest", F.col("doc_id").alias("low_id"), F.lit(1).cast("long").alias("change"))
-    return _changed(changes.mapInArrow(_add_up, CHANGES_DDL))
+    """An index (bucket, digest, keep_id, keep_row, group_size) of the documents (doc_id, digest, and row where they are numbered)."""
+    own = [_bucket(buckets).alias("bucket"), "digest", F.col("doc_id").alias("low_id"), _row(keyed, 0), F.lit(1).cast("long").alias("change")]
+    return _changed(keyed.select(*own).mapInArrow(_add_up, CHANGES_DDL))
 
 
 def update(index: DataFrame, buckets: int, come: DataFrame | None = None, gone: DataFrame | None = None) -> DataFrame:
@@ -193,18 +202,27 @@ def update(index: DataFrame, buckets: int, come: DataFrame | None = None, gone:
     What comes is applied before what goes. ``keep_id`` stays that of the first build while any document
     of its digest is live, as an index holds no members.
     """
-    changes = index.select("bucket", "digest", F.col("keep_id").alias("low_id"), F.col("group_size").alias("change"))
+    changes = index.select("bucket", "digest", F.col("keep_id").alias("low_id"), F.col("keep_row").alias("low_row"), F.col("group_size").alias("change"))
     for documents, change in ((come, 1), (gone, -1)):
         if documents is not None:
-            rows = documents.select(_bucket(buckets).alias("bucket"), "digest", F.col("doc_id").alias("low_id"), F.lit(change).cast("long").alias("change"))
-            changes = changes.unionByName(rows.mapInArrow(_add_up, CHANGES_DDL))
+            own = [_bucket(buckets).alias("bucket"), "digest", F.col("doc_id").alias("low_id"), F.lit(LATER).alias("low_row"), F.lit(change).cast("long").alias("change")]
+            changes = changes.unionByName(documents.select(*own).mapInArrow(_add_up, CHANGES_DDL))
     return _changed(changes)
 
 
+def _index(rows: DataFrame, group: str) -> DataFrame:
+    return settle(build(rows.select("doc_id", "digest", "row"), _buckets(rows.count())).drop("bucket"), group, "index")
+
+
 def duplicates(docs: DataFrame, group: str = "exact") -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    keyed = settle(digests(docs), group, "digests")
-    index = settle(build(keyed, _buckets(keyed.count())).drop("bucket"), group, "index")
-    found = keyed.join(index, "digest")
-    kept = F.col("keep_id").isNull() | (F.col("doc_id") == F.col("keep_id"))
-    return found.select("doc_id", "keep_id", "group_size", F.coalesce(kept, F.lit(False)).alias("kept"), F.col("digest").alias("text_sha256"))
+    rows = numbered(digests(docs), group, "digests")
+    found = rows.join(_index(rows, group), "digest")
+    return found.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.col("digest").alias("text_sha256"))
+
+
+def single(docs: DataFrame, group: str = "exact") -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    held = numbered(docs.select(F.struct("*").alias("doc"), digest_of(F.col("text")).alias("digest")), group, "rows")
+    index = _index(held.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "digest", "row"), group)
+    return held.join(index.select(F.col("keep_row").alias("row")), "row", "left_semi").select("doc.*")

@@ -14,8 +14,8 @@ Only distinct fingerprints are compared, and a key's group yields a spanning for
 all pairs. Components grow over these links by alternating star operations.
 
 Null texts count as empty. A text without words has fingerprint zero and is linked like any other.
-Repeated rows are one document. Rows with a null ``doc_id`` count in no component's smallest id; a
-component of them alone has a null ``component_id``. Only ``doc_id`` and ``text`` are read.
+Repeated rows get equal results. Rows with a null ``doc_id`` link like any others and count in no
+component's smallest id; a component of them alone has a null ``component_id``. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from brokerflow.llm.store import settle, tasks
 from brokerflow.llm.text import record, utf8
+from brokerflow.operators.joins import lookup_join
 
 SHINGLE = 3
 SEED = 42
@@ -266,13 +267,15 @@ def components(edges: DataFrame, group: str) -> DataFrame:
 
 
 def classes(docs: DataFrame, group: str = "simhash") -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint in hexadecimal, component_id."""
+    """One row per row of ``docs``: doc_id, fingerprint in hexadecimal, component_id.
+
+    Components are those of the fingerprints, so one that only rows without an id have links others all the same.
+    """
     marked = settle(fingerprints(docs), group, "fingerprints")
     distinct = settle(marked.groupBy("bits").agg(F.min("doc_id").alias("low_id")), group, "distinct")
-    pairs = links(distinct)
-    numbered = pairs.join(distinct.select(F.col("bits").alias("a"), F.col("low_id").alias("u")), "a").join(
-        distinct.select(F.col("bits").alias("b"), F.col("low_id").alias("v")), "b"
-    )
-    roots = components(numbered.filter("u is not null and v is not null"), group)
-    named = distinct.join(roots, distinct.low_id == roots.node, "left").select("bits", F.coalesce("root", "low_id").alias("component_id"))
-    return marked.join(named, "bits").select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+    roots = components(links(distinct).select(F.col("a").alias("u"), F.col("b").alias("v")), group)
+    rooted = distinct.join(roots, distinct.bits == roots.node, "left").select("bits", "low_id", F.coalesce("root", "bits").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"))
+    named = lookup_join(rooted.select("bits", "root"), lowest, ["root"], ["bits"], name="components")
+    found = marked.join(named.select("bits", "component_id"), "bits")
+    return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")

@@ -21,7 +21,8 @@ def brute(held):
     for n, (doc_id, _) in enumerate(held):
         group = groups[digest[n]]
         keep = min((held[m][0] for m in group if held[m][0] is not None), default=None)
-        out.append((doc_id, keep, len(group), keep is None or doc_id == keep, digest[n]))
+        first = next(m for m in group if held[m][0] == keep)  # one row of equal ids, whichever
+        out.append((doc_id, keep, len(group), n == first, digest[n]))
     return sorted(out, key=str)
 
 
@@ -32,6 +33,24 @@ def test_groups_equal_brute_force(spark):
     assert sorted(map(tuple, got.collect()), key=str) == brute(held)
 
 
+def test_one_row_of_each_group_is_kept(spark):
+    """Tables delivered twice, rows without an id, one id with several texts."""
+    held = [(i, f"text {i % 4}") for i in range(9)] * 2 + [(None, "text 1"), (None, "alone"), (None, "alone"), (5, "other"), (5, "text 9"), (None, None), (None, "")]
+    got = exact.duplicates(frame(spark, held)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(held)
+    texts = {r["text_sha256"] for r in got}
+    assert sum(r["kept"] for r in got) == len(texts)
+    kept = exact.single(frame(spark, held))
+    assert kept.columns == frame(spark, []).columns
+    assert sorted((str(r["doc_id"]), (r["text"] or "")) for r in kept.collect()) == sorted((str(b[0]), t or "") for (_, t), b in zip(held, [brute_of(held, n) for n in range(len(held))], strict=True) if b[3])
+
+
+def brute_of(held, n):
+    group = [m for m, (_, t) in enumerate(held) if (t or "") == (held[n][1] or "")]
+    keep = min((held[m][0] for m in group if held[m][0] is not None), default=None)
+    return held[n][0], keep, len(group), n == next(m for m in group if held[m][0] == keep)
+
+
 def test_a_hot_text_and_many_buckets(spark, monkeypatch):
     monkeypatch.setattr(exact, "KEYS_PER_BUCKET", 7)
     held = [(i, "hot" if i % 3 else f"text {i}") for i in range(300)]

@@ -53,6 +53,19 @@ def test_copies_equal_brute_force(spark):
     assert {tuple(r) for r in near.copies(frame(spark, held)).collect()} == want
 
 
+def test_rows_are_judged_by_their_text(spark):
+    """Copies among rows without an id, under one id and in a table delivered twice: one row of each group stays."""
+    r = random.Random(9)
+    texts = [" ".join(f"w{r.randrange(5000)}" for _ in range(120)) for _ in range(6)]
+    near_copy = lambda t, k: " ".join([*t.split()[:-1], f"end{k}"])
+    held = [(None, texts[0]), (None, near_copy(texts[0], 1)), (4, near_copy(texts[0], 2)), (3, texts[1]), (3, texts[2]), (3, near_copy(texts[2], 1)), (None, texts[3]), (2, texts[4]), (2, texts[4]), (None, "")]
+    kept = near.apart(frame(spark, held))
+    assert kept.columns == frame(spark, []).columns
+    got = [(x["doc_id"], x["text"]) for x in kept.collect()]
+    assert (4, near_copy(texts[0], 2)) in got and (3, texts[1]) in got and (None, texts[3]) in got and (None, "") in got
+    assert len(got) == 6 and sum(t in (texts[2], near_copy(texts[2], 1)) for _, t in got) == 1 and got.count((2, texts[4])) == 1
+
+
 def test_one_changed_word_is_a_copy(spark):
     """Two bits of fingerprint linked about half of these."""
     r, held = random.Random(8), []

@@ -60,6 +60,15 @@ def test_dense_groups_and_long_paths(spark, monkeypatch, pairwise):
     assert distinct.count() > 50
 
 
+def test_a_fingerprint_without_ids_links_others(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs: docs)
+    bits = 0b1011 << 40
+    rows_ = [(8, bits), (None, bits ^ 3), (5, bits ^ 15), (None, bits ^ 15), (None, 1 << 20), (9, 7 << 50)]
+    got = simhash.classes(spark.createDataFrame(rows_, "doc_id long, bits long")).collect()
+    assert sorted((str(r["doc_id"]), r["component_id"]) for r in got if r["component_id"] == 5) == [("5", 5), ("8", 5), ("None", 5), ("None", 5)]
+    assert {r["component_id"] for r in got} == {5, 9, None}
+
+
 def test_all_pairs_within_two_bits_share_a_key():
     r = random.Random(1)
     for _ in range(300):

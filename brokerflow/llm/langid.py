@@ -107,7 +107,8 @@ def fit(labelled: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> tuple[li
     langs = sorted(sizes)
     if not langs:
         return [], np.full((1, BUCKETS), 1 / BUCKETS, np.float32)
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    number = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))  # rows without an id are drawn by their text
+    draw = F.pmod(number, F.lit(1 << 30))
     share = F.lit(0)
     for lang in langs:
         share = F.when(F.col("lang") == lang, F.lit(min(1 << 30, (per_language << 30) // sizes[lang]))).otherwise(share)
@@ -143,8 +144,8 @@ def mixture(doc: np.ndarray, n: np.ndarray, likelihood: np.ndarray, docs: int, a
     return shares, log
 
 
-def select(doc: np.ndarray, n: np.ndarray, likelihood: np.ndarray, docs: int) -> np.ndarray:
-    """Shares of the languages that penalised likelihood selects; zero for all others."""
+def select(doc: np.ndarray, n: np.ndarray, likelihood: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the languages that penalised likelihood selects, zero for all others; and those of all languages together."""
     kinds = likelihood.shape[1]
     all_shares, _ = mixture(doc, n, likelihood, docs, np.ones((docs, kinds), bool))
     order = np.argsort(-all_shares, axis=1, kind="stable")
@@ -166,33 +167,40 @@ def select(doc: np.ndarray, n: np.ndarray, likelihood: np.ndarray, docs: int) ->
         better = some_log > log[rows] + price[rows]
         best[rows[better]], log[rows[better]] = some[better], some_log[better]
         going[rows[~better]] = False
-    return best
+    return best, all_shares
 
 
 def _guess(langs: list[str], table: np.ndarray) -> Callable:
     by_bucket = np.ascontiguousarray(table.T)
 
-    def some(texts: list[str]) -> np.ndarray:
-        """Shares of every text, the last for no language; all zero without a letter."""
+    def some(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Shares of every text, the last for no language, all zero without a letter; and its likeliest language.
+
+        That is the one with the largest share, or where none was selected the largest one of all languages together.
+        """
         pairs, counts = ngrams(texts)
         doc, bucket = pairs // BUCKETS, pairs % BUCKETS
-        out = np.zeros((len(texts), len(langs) + 1), np.float32)
+        out, likeliest = np.zeros((len(texts), len(langs) + 1), np.float32), np.zeros(len(texts), np.int64)
         first = 0
         while first < len(doc):
             last = int(np.searchsorted(doc, doc[min(first + PAIRS_AT_ONCE, len(doc)) - 1], side="right"))
             low, high = int(doc[first]), int(doc[last - 1]) + 1
             part = slice(first, last)
-            out[low:high] = select(doc[part] - low, counts[part].astype(np.float32), by_bucket[bucket[part]], high - low)
+            out[low:high], together = select(doc[part] - low, counts[part].astype(np.float32), by_bucket[bucket[part]], high - low)
+            if langs:
+                named = np.where(out[low:high, :-1].any(axis=1, keepdims=True), out[low:high, :-1], together[:, :-1])
+                likeliest[low:high] = named.argmax(axis=1)
             out[np.setdiff1d(np.arange(low, high), doc[part])] = 0
             first = last
-        return out
+        return out, likeliest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            shares = np.concatenate([np.zeros((0, len(langs) + 1), np.float32), *(some(texts[a:b]) for a, b in parts(texts))])
+            found = [(np.zeros((0, len(langs) + 1), np.float32), np.zeros(0, np.int64)), *(some(texts[a:b]) for a, b in parts(texts))]
+            shares, chosen = (np.concatenate(x) for x in zip(*found, strict=True))
             if langs:
-                chosen, spoken = shares[:, :-1].argmax(axis=1), shares.sum(axis=1) > 0
+                spoken = shares.sum(axis=1) > 0
                 named = [langs[c] if s else "und" for c, s in zip(chosen.tolist(), spoken.tolist(), strict=True)]
                 score = shares[np.arange(len(texts)), chosen]
             else:

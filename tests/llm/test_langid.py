@@ -45,7 +45,7 @@ def test_batched_em_equals_one_document_at_a_time(model):
     texts = [prose(r, lang, r.randint(1, 30)) + " " + prose(r, other, r.randint(0, 20)) for lang in SYLLABLES for other in SYLLABLES]
     pairs, n = langid.ngrams(texts)
     doc, bucket = pairs // langid.BUCKETS, pairs % langid.BUCKETS
-    together = langid.select(doc, n.astype(np.float32), table.T[bucket], len(texts))
+    together, _ = langid.select(doc, n.astype(np.float32), table.T[bucket], len(texts))
     for i, text in enumerate(texts):
         own, count = langid.ngrams([text])
         p, shares = table[:, own].astype(float), None

@@ -7,10 +7,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from brokerflow.llm import quality, secrets
 from brokerflow.llm.queries import QUERIES
+from brokerflow.llm.text import utf8
 from tests.llm.samples import empty, frame, rows
 
 SF = "/root/testdata/sf0.01"
@@ -118,35 +120,87 @@ def test_patterns_equal_the_plain_ones():
         assert secrets.base(text) == slow_base(text), text
 
 
-def test_scan_keeps_the_patterns_findings_and_adds_from_the_threshold_on(spark):
-    held = [(i, t) for i, t in enumerate(odd_texts())] + [(1000, None), (1001, "")]
-    x = np.array([secrets.codes(t, *s) for _, t in held for s in secrets.candidates(t or "")])
+def candidates_of(texts):
+    return secrets.Candidates(*utf8(pa.array([t or "" for t in texts])))
+
+
+def spans_of(text):
+    return [m.span() for m in re.finditer(r"[A-Za-z0-9+/_=-]{6,}", text or "")]
+
+
+def overlap(span, found):
+    return any(start < span[1] and span[0] < end for start, _, end in found)
+
+
+def test_every_run_of_token_characters_is_a_candidate():
+    texts = [*odd_texts(300), "é漢字abcdef\U0001f600ABCDEF1", "x" * 9000, "", "short a bc"]
+    got, found = candidates_of(texts), [secrets.base(t) for t in texts]
+    spans = [(int(d), int(a - got.text_at[d]), int(b - got.text_at[d])) for d, a, b in zip(got.doc, got.first, got.last, strict=True)]
+    assert spans == [(d, *s) for d, t in enumerate(texts) for s in spans_of(t)]
+    assert got.met(found).tolist() == [overlap((a, b), found[d]) for d, a, b in spans]
+    assert got.missing(found) == [d for d, own in enumerate(found) for start, _, end in own if not any(start < b and a < end for a, b in spans_of(texts[d]))]
+
+
+@pytest.mark.parametrize("block", [1 << 16, 150])
+def test_tables_give_what_the_convolution_gives(monkeypatch, block):
+    monkeypatch.setattr(secrets, "BLOCK", block)
+    r = random.Random(8)
+    texts = [*odd_texts(200), *("".join(r.choice("abcDEF019_-/ \né") for _ in range(r.randint(0, 300))) for _ in range(60)), "abcdefgh", "Z" * secrets.LEARNED]
+    got, network = candidates_of(texts), secrets.Network.fresh()
+    network.arrays["b"] += np.linspace(-0.5, 0.5, secrets.FILTERS).astype(np.float32)
+    short = np.flatnonzero(got.ends - got.starts <= secrets.LEARNED)
+    assert len(short) > 300
+    assert np.allclose(network.logits(got)[short], network.forward(got.examples(short))["logit"], atol=1e-4)
+
+
+def test_a_long_run_is_read_whole(monkeypatch):
+    """What lies in the middle of a run counts, in whatever blocks it is read."""
     network = secrets.Network.fresh()
-    network.arrays["threshold"] = np.array([np.median(network.probability(x))], np.float32)
+    for size in (300, 70_000):
+        texts = ["say " + "a" * size + " now", "say " + "a" * (size // 2) + "Q7+" + "a" * (size - size // 2 - 3) + " now"]
+        whole = network.logits(candidates_of(texts))
+        assert whole[0] != whole[1]
+        for block in (97, 1 << 20):
+            monkeypatch.setattr(secrets, "BLOCK", block)
+            assert np.allclose(network.logits(candidates_of(texts)), whole, atol=1e-4)
+
+
+def test_scan_keeps_the_patterns_findings_and_adds_from_the_threshold_on(spark):
+    held = [(i, t) for i, t in enumerate(odd_texts())] + [(1000, None), (1001, ""), (1002, "ünï abcdefgh ünï")]
+    texts, network = candidates_of([t for _, t in held]), secrets.Network.fresh()
+    likely = network.likely(network.logits(texts))
+    network.arrays["threshold"] = np.array([np.median(likely)], np.float32)
     got = {r["doc_id"]: r for r in secrets.scan(frame(spark, held), network.bytes()).collect()}
-    added = 0
+    want = {(held[d][0], int(a - texts.text_at[d]), int(b - texts.text_at[d])) for d, a, b, p in zip(texts.doc, texts.first, texts.last, likely, strict=True) if p >= network.arrays["threshold"][0]}
+    added = set()
     for doc_id, text in held:
-        row, want = got[doc_id], slow_base(text or "")
-        assert row["base_sha256"] == hashlib.sha256(secrets.listed(want).encode()).hexdigest()
+        row, base = got[doc_id], slow_base(text or "")
+        assert row["base_sha256"] == hashlib.sha256(secrets.listed(base).encode()).hexdigest()
         spans = [s.split(":") for s in row["spans"].split(",") if s]
-        assert [s for s in row["spans"].split(",") if s and not s.startswith("model")] == [s for s in secrets.listed(want).split(",") if s]
-        for kind, start, end in spans:
-            if kind == "model":
-                added += 1
-                assert not secrets._overlap((int(start), int(end)), want)
-                assert network.probability(secrets.codes(text, int(start), int(end))[None])[0] >= network.arrays["threshold"][0] - 1e-6
-    assert added > 20
+        assert [s for s in row["spans"].split(",") if s and not s.startswith("model")] == [s for s in secrets.listed(base).split(",") if s]
+        added |= {(doc_id, int(start), int(end)) for kind, start, end in spans if kind == "model"}
+        want -= {(doc_id, *s) for s in spans_of(text) if overlap(s, base)}
+    assert added == want and len(added) > 20
 
 
 def test_network_learns_secrets_and_its_threshold_keeps_the_recall():
+    """Keys of letters alone and short ones too, which no pattern finds, told from words and numbers."""
     r = random.Random(2)
-    texts = [("key " + "%032x" % r.getrandbits(128) + " end", 1) for _ in range(300)] + [("call " + str(r.randrange(10**15, 10**16)) + " now", 0) for _ in range(300)]
-    x = np.array([secrets.codes(t, *secrets.candidates(t)[0]) for t, _ in texts])
-    label = np.array([y for _, y in texts])
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = ["settled", "insurance", "Reporting", "weather", "Buildings", "something", "yesterday", "collision"]
+    keys = ["%032x" % r.getrandbits(128) for _ in range(200)] + ["".join(r.choice(letters) for _ in range(r.randint(7, 30))) for _ in range(300)]
+    plain = [str(r.randrange(10**7, 10**9)) for _ in range(150)] + [r.choice(words) for _ in range(350)]
+    texts = [(f"is {k} end", 1) for k in keys] + [(f"is {k} end", 0) for k in plain]
+    got, label = candidates_of([t for t, _ in texts]), np.array([y for _, y in texts])
+    x = got.examples(np.arange(len(got)))
     network = secrets.train(x, label, np.arange(len(x)) % 4 == 0)
-    likely = network.probability(x) >= network.arrays["threshold"][0]
-    assert likely[label == 1].mean() >= 0.95 and likely[label == 0].mean() <= 0.02
+    likely = network.likely(network.logits(got)) >= network.arrays["threshold"][0]
+    assert likely[label == 1].mean() >= 0.95 and likely[label == 0].mean() <= 0.03
+    fresh = candidates_of(["is qZxWvBnMkLpTrYc end", "is tRqKZxWe end", "is yesterday end"])
+    assert (network.likely(network.logits(fresh)) >= network.arrays["threshold"][0]).tolist() == [True, True, False]
     assert secrets.train(x, np.ones(len(x)), np.arange(len(x)) % 4 == 0) is None
+    strict, lax = (secrets.train(x, label, np.arange(len(x)) % 4 == 0, missed=m).arrays["threshold"][0] for m in (0, 60))
+    assert lax <= strict  # findings without a candidate count as missed
 
 
 def test_secrets_without_rows(spark):

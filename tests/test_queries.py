@@ -17,7 +17,7 @@ from brokerflow.checks.queries import QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 QUICK = [
     "parse_envelope", "dead_letter", "header_signature", "read_broker_csv", "stage_claim", "parse_money", "parse_date_multi",
-    "failed_rules", "quarantine", "explain_sample", "duplicate_check", "customer_profile", "infer_distinct", "upsert_policies",
+    "failed_rules", "catalog_only_rule", "quarantine", "explain_sample", "duplicate_check", "customer_profile", "infer_distinct", "upsert_policies",
     "fact_claim", "policy_anomaly", "claims_view", "broker_performance_fanout", "validation_summary", "metric_policies",
     "dq_kpis", "stream_freshness",
 ]

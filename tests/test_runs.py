@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 from pathlib import Path
 
 import pandas as pd
@@ -491,6 +492,29 @@ def test_checks_before_classification(spark, tmp_path):
     assert [r.sentiment_score for r in tables.keyed(CLAIMS).collect()] == [0.0]
 
 
+def test_a_stream_without_input_ages(spark, tmp_path):
+    """One file of rows, and then nothing: the status goes from healthy to stale by itself."""
+    source, tables = str(tmp_path / "landing"), Tables(spark, str(tmp_path / "tables"))
+    rows = [("BRK_ALPHA", "policy"), ("BRK_ALPHA", "policy"), ("BRK_BETA", None)]
+    landed = spark.createDataFrame(rows, "broker_code string, record_type string").withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz"))
+    landed.coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(landed.schema).parquet(source)
+    query = ingest.stream_status(stream, tables, str(tmp_path / "state"), "1 second", healthy=30, lagging=45)
+    seen, until = [], time.monotonic() + 240
+    try:
+        while time.monotonic() < until and (not seen or seen[-1] != {"STALE"}) and query.isActive:
+            known = tables.keyed(ingest.STATUS)
+            now = {r.ingest_status for r in known.collect()} if known is not None else set()
+            if now and (not seen or seen[-1] != now):
+                seen.append(now)
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert query.exception() is None
+    assert seen[0] == {"HEALTHY"} and {"LAGGING"} in seen and seen[-1] == {"STALE"}
+    assert {(r.broker_code, r.record_type): r.rows_landed for r in tables.keyed(ingest.STATUS).collect()} == {("BRK_ALPHA", "policy"): 2, ("BRK_BETA", None): 1}
+
+
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         ev.read_envelopes(spark, {"kafka.bootstrap.servers": "localhost:9"})

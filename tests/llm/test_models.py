@@ -141,7 +141,7 @@ def test_every_run_of_token_characters_is_a_candidate():
     assert got.missing(found) == [d for d, own in enumerate(found) for start, _, end in own if not any(start < b and a < end for a, b in spans_of(texts[d]))]
 
 
-@pytest.mark.parametrize("block", [1 << 16, 150])
+@pytest.mark.parametrize("block", [1 << 12, 150])
 def test_tables_give_what_the_convolution_gives(monkeypatch, block):
     monkeypatch.setattr(secrets, "BLOCK", block)
     r = random.Random(8)
@@ -153,6 +153,14 @@ def test_tables_give_what_the_convolution_gives(monkeypatch, block):
     assert np.allclose(network.logits(got)[short], network.forward(got.examples(short))["logit"], atol=1e-4)
 
 
+def test_largest_of_stretches():
+    r = np.random.default_rng(7)
+    values, begin = r.normal(0, 1, (60, 3)), r.integers(0, 50, 80)
+    stop = begin + r.integers(1, 11, 80)
+    assert (secrets.range_max(values, begin, stop) == [values[a:b].max(axis=0) for a, b in zip(begin, stop, strict=True)]).all()
+    assert (secrets.range_max(values, np.array([0]), np.array([60])) == values.max(axis=0)).all()
+
+
 def test_a_long_run_is_read_whole(monkeypatch):
     """What lies in the middle of a run counts, in whatever blocks it is read."""
     network = secrets.Network.fresh()

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from brokerflow.llm import langid
@@ -71,6 +72,15 @@ def slow_em(p, count, allowed):
     return shares
 
 
+def test_a_text_in_no_language_gets_its_likeliest_one():
+    """Where "no language" alone is selected, the name isn't that of the first language in the alphabet."""
+    table = np.full((3, langid.BUCKETS), 1e-7, np.float32)
+    table[1], table[2] = 2e-7, 1 / langid.BUCKETS
+    text = pa.RecordBatch.from_pydict({"doc_id": pa.array([1], pa.int64()), "text": ["ЖЩ ЮЭ ЪЬ " * 30]})
+    (got,) = langid._guess(["aa", "bb"], table)(iter([text]))
+    assert got.column("lang_pred").to_pylist() == ["bb"] and got.column("unknown")[0].as_py() > 0.99
+
+
 def test_only_texts_in_a_known_language_stay(spark, model):
     r = random.Random(5)
     held = [(1, prose(r, "aa", 20)), (2, None), (3, "... 12"), (4, "ЖЩ ЮЭ ЪЬ " * 30), (None, prose(r, "bb", 3))]

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from brokerflow.llm.store import numbered, settle, tasks
 from brokerflow.llm.text import record
+from brokerflow.plans.scratch import fits_broadcast, settle_measured
 
 #: Live digests of a bucket, about; a task holds one bucket at a time.
 KEYS_PER_BUCKET = 50_000
@@ -222,7 +223,12 @@ def duplicates(docs: DataFrame, group: str = "exact") -> DataFrame:
 
 
 def single(docs: DataFrame, group: str = "exact") -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
+    """The rows of ``docs`` that are kept, with all their columns.
+
+    Texts are not dealt out where the numbers of the rows that go can be broadcast.
+    """
     held = numbered(docs.select(F.struct("*").alias("doc"), digest_of(F.col("text")).alias("digest")), group, "rows")
     index = _index(held.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "digest", "row"), group)
-    return held.join(index.select(F.col("keep_row").alias("row")), "row", "left_semi").select("doc.*")
+    kept = index.select(F.col("keep_row").alias("row"))
+    gone, size = settle_measured(held.select("row").join(kept, "row", "left_anti"), "gone")
+    return held.join(F.broadcast(gone) if fits_broadcast(size) else gone, "row", "left_anti").select("doc.*")

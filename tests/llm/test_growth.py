@@ -22,22 +22,22 @@ def test_exact_copies_go_without_dealing_texts(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_sets_of_candidates_are_made_without_dealing_texts(spark, monkeypatch):
+def test_sets_are_dealt_out_once_and_texts_never(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    plans, settle = {}, near.settle
+    plans, components = [], near.components
 
-    def kept(df, group, name):
-        plans[name] = dealt(df)
-        return settle(df, group, name)
+    def linked(links, group):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return components(links, group)
 
-    monkeypatch.setattr(near, "settle", kept)
+    monkeypatch.setattr(near, "components", linked)
     words = [f"w{i}" for i in range(60)]
     held = [(1, " ".join(words)), (2, " ".join(words[:-1])), (3, "something else that is of more than five words")]
     try:
         assert [(r.doc_id, r.component_id) for r in near.copies(frame(spark, held)).collect()] == [(2, 1)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plans["sets"] is False
+    assert [plan.count("Exchange hashpartitioning") for plan in plans] == [1]
 
 
 def test_too_many_rows_to_broadcast_are_dealt_out(spark, no_broadcast):

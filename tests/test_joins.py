@@ -91,3 +91,21 @@ def test_hot_key_join_on_any_input(spark, keys, known):
     b = spark.createDataFrame([(k, ord(k)) for k in known], "key string, value long")
     wanted = sorted((i, k or "~", ord(k) if k in known else -1) for i, k in enumerate(keys))
     assert as_set(hot_key_join(a, b, ["key"], ["id"], target=1)) == wanted
+
+
+def test_rows_are_neither_sorted_nor_counted_by_key(spark, monkeypatch, tmp_path):
+    """What is dealt out unsorted can't spill; more parts than shuffle partitions keep the lookup of a task small."""
+    monkeypatch.setattr("brokerflow.operators.joins.LOOKUP_BYTES", 500)
+    lookup(spark).write.parquet(str(tmp_path / "names"))
+    names = spark.read.parquet(str(tmp_path / "names"))
+    even = spark.range(3000).select("id", F.concat(F.lit("k"), F.col("id") % 1000).alias("key"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for found, asked in ((rows(spark), False), (even, True)):
+            joined = hot_key_join(found, names, ["key"], ["id"], target=None if not asked else 2000)
+            assert as_set(joined) == as_set(found.join(names, "key", "left"))
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+            assert joined.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

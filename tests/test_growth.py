@@ -5,13 +5,16 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from brokerflow.checks import queries
 from brokerflow.checks.book import Book
 from brokerflow.functions.payload import is_object_text
-from brokerflow.operators import joins, quality, star, upsert
-from brokerflow.plans import landing
+from brokerflow.operators import joins, mapping, quality, star, upsert
+from brokerflow.plans import landing, views
+from brokerflow.plans.batch import POLICIES
 from brokerflow.plans.tables import Tables
 from brokerflow.sources import envelopes as ev
 from tests.test_envelopes import log
+from tests.test_runs import policy, tables_after
 from tests.test_star import CLAIM_SCHEMA, claim
 
 
@@ -96,3 +99,28 @@ def test_landed_rows_are_signed_like_parsed_ones(spark, monkeypatch):
     columns = ("kafka_offset", "payload_map", "header_signature")
     parsed = with_signature(ev.parse_envelopes(book.messages)).select(*columns)
     assert sorted(map(str, book.landed.select(*columns).collect())) == sorted(map(str, parsed.collect()))
+
+
+def test_landed_places_are_not_compared_with_every_range(spark, tmp_path):
+    """Offsets that do not touch are a range each; finding the landed ones among them takes one walk, no join by stretch."""
+    spread = log(spark, ["{}"] * 200).withColumn("offset", F.col("offset") * 3)
+    tables = Tables(spark, str(tmp_path))
+    first = tables.begin(0)
+    landing.keep_places(first, ev.decode(spread))
+    first.commit()
+    again = spread.where("offset < 30").unionByName(spread.withColumn("offset", F.col("offset") + 1)).unionByName(spread.where("offset = 0"))
+    messages = again.unionByName(spread.limit(3).withColumn("offset", F.lit(None).cast("long")))
+    found = landing._landed_before(tables.begin(1), messages)
+    assert sorted(r.offset for r in found.collect()) == list(range(0, 30, 3))
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_range_over_several_stretches_is_found_in_each(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "STRETCH", 4)
+    messages = log(spark, ["{}"] * 20)
+    tables = Tables(spark, str(tmp_path))
+    first = tables.begin(0)
+    landing.keep_places(first, ev.decode(messages.where("offset BETWEEN 2 AND 15")))
+    first.commit()
+    found = landing._landed_before(tables.begin(1), messages)
+    assert sorted(r.offset for r in found.collect()) == list(range(2, 16))

@@ -124,3 +124,11 @@ def test_a_range_over_several_stretches_is_found_in_each(spark, tmp_path, monkey
     first.commit()
     found = landing._landed_before(tables.begin(1), messages)
     assert sorted(r.offset for r in found.collect()) == list(range(2, 16))
+
+
+def test_a_log_is_written_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "MESSAGES_PER_FILE", 50)
+    parts = [log(spark, ["{}"] * n) for n in (400, 30)]
+    path, files = queries._write_log(parts, str(tmp_path / "log"))
+    written = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert files == 8 and max(written) < 400 / 2 and sum(written) == 430

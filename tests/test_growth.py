@@ -132,3 +132,13 @@ def test_a_log_is_written_in_files_of_bounded_size(spark, tmp_path, monkeypatch)
     path, files = queries._write_log(parts, str(tmp_path / "log"))
     written = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
     assert files == 8 and max(written) < 400 / 2 and sum(written) == 430
+
+
+
+def test_rows_are_not_searched_for_unmapped_ones_where_every_layout_is_mapped(spark, tmp_path, monkeypatch):
+    def searched(*_):
+        raise AssertionError("searched")
+
+    monkeypatch.setattr(mapping, "unmapped_rows", searched)
+    tables = tables_after(spark, tmp_path, (0, [policy("P1")]))
+    assert tables.read("waiting").count() == 0 and tables.keyed(POLICIES).count() == 1

@@ -102,15 +102,15 @@ def with_premium_distance(staged: DataFrame, history: DataFrame | None = None) -
     return far.select(*staged.columns, F.col("peer_distance").alias("premium_distance"))
 
 
-def with_policy(claims: DataFrame, policies: DataFrame, stored: bool = True, cheap: bool = False) -> DataFrame:
-    """Add the keys of the referenced policy and whether it exists. ``policies`` is a stored table or is small.
+def with_policy(claims: DataFrame, policies: DataFrame, stored: bool = True, cheap: bool = False, more: Sequence[str] = ()) -> DataFrame:
+    """Add the keys of the referenced policy, whether it exists, and ``more`` columns of it. ``policies`` is a stored table or is small.
 
     One join serves the referential rule and the claim fact. A policy with a third of all claims is
     spread over the tasks. ``cheap`` claims are read twice rather than written out, see ``lookup_join``.
     """
     lookup = policies.select(
         "policy_number", F.lit(True).alias("policy_exists"), "policy_key", "broker_key", "customer_key",
-        "product_key",
+        "product_key", *more,
     )
     joined = lookup_join(claims, lookup, ["policy_number"], ["stg_id"], stored=stored, cheap=cheap)
     return joined.withColumn("policy_exists", F.coalesce("policy_exists", F.lit(False)))

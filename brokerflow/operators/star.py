@@ -7,6 +7,7 @@ looked up: promoting policies takes no join at all.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,8 +137,8 @@ def premium_rows(policies: DataFrame, existing: DataFrame | None) -> DataFrame:
     )
 
 
-def claim_rows(promotable: DataFrame) -> DataFrame:
-    """One row per claim number, the latest delivery winning. Takes claims with their policy keys.
+def claim_rows(promotable: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """One row per claim number, the latest delivery winning. Takes claims with their policy keys, and keeps the ``carried`` columns.
 
     Only claims whose number comes again are dealt out, if ``upsert.with_repeats`` has told them apart.
     """
@@ -145,7 +146,7 @@ def claim_rows(promotable: DataFrame) -> DataFrame:
         promotable.select(
             "claim_number", "policy_key", "broker_key", "customer_key", "product_key", "loss_date", "reported_date",
             "reporting_lag_days", "claim_amount", "claim_status", "loss_description", "sentiment_score",
-            "loaded_at", "stg_id", *[c for c in promotable.columns if c == REPEATED],
+            "loaded_at", "stg_id", *carried, *[c for c in promotable.columns if c == REPEATED],
         ),
         ["claim_number"],
         ["loaded_at", "stg_id"],

@@ -134,6 +134,16 @@ def test_a_log_is_written_in_files_of_bounded_size(spark, tmp_path, monkeypatch)
     assert files == 8 and max(written) < 400 / 2 and sum(written) == 430
 
 
+def test_claims_that_carry_a_column_are_not_joined_for_it(spark):
+    names = spark.createDataFrame([("B", "b", "Beta")], "broker_key string, broker_code string, broker_name string")
+    fact = spark.createDataFrame(
+        [("c1", "p1", "B", "k1", "C1", "P1", "MOTOR", "Ann")],
+        "claim_key string, policy_key string, broker_key string, customer_key string, claim_number string, policy_number string, product_line string, customer_name string",
+    )
+    none = spark.createDataFrame([], "policy_key string")  # has none of the columns, so that a lookup would fail
+    seen = views.claims_view(views.Star(names, none, none, fact), ("claim_number", "policy_number", "broker_name", "product_line", "customer_name"))
+    assert [tuple(r) for r in seen.collect()] == [("C1", "P1", "Beta", "Ann", "MOTOR")]
+
 
 def test_rows_are_not_searched_for_unmapped_ones_where_every_layout_is_mapped(spark, tmp_path, monkeypatch):
     def searched(*_):

@@ -115,5 +115,23 @@ def test_stages_from_near_dedup_on_equal_brute_force(spark):
     assert corpus_pipeline.run(spark, SF).count() == stages["pack"](spark, clean, SF).count()
 
 
+def test_linked_fingerprints_are_candidates(spark, monkeypatch):
+    """Without any band: the links of op7 whose shingles are alike, all of them and no other; texts without words link to nothing."""
+
+    def no_bands(batches):
+        for _ in batches:
+            pass
+        return iter(())
+
+    monkeypatch.setattr(near, "_keys", no_bands)
+    held = changed(rows(n=60), 150) + [(20_000, ""), (20_001, " \t"), (20_002, None)]
+    of = {r["doc_id"]: r["component_id"] for r in simhash.classes(frame(spark, held)).collect()}
+    want = set()
+    for component in set(of.values()):
+        want |= slow_copies([(i, t) for i, t in held if i is not None and of[i] == component])
+    assert len(want) > 10
+    assert {tuple(r) for r in near.copies(frame(spark, held)).collect()} == want
+
+
 def test_empty_table(spark):
     assert near.copies(empty(spark)).count() == 0

@@ -6,8 +6,8 @@ largest output of each filter counts, and their weighted sum says how likely the
 threshold on, candidates are added as kind ``model``.
 
 Filters are sums over the bytes they cover, so their outputs are looked up in tables of byte pairs and added,
-once for every byte as part of a candidate and once as its surroundings; a candidate takes the largest ones of
-its stretch, and only those filters that lie across its ends are added up for it alone.
+once for every byte as surroundings and once for those of candidates as a part of theirs; a candidate takes the largest
+ones of its stretch, and only those filters that lie across its ends are added up for it alone.
 
 The network learns from the candidates of all texts: label 1 if a pattern found it, else 0. A quarter of the texts,
 by a hash of doc_id (of the text where that is null), is kept out. Of the others a first network learns all candidates
@@ -59,8 +59,8 @@ WIDTH = 2 * AROUND + LEARNED
 EMBEDDED, KERNEL, FILTERS = 8, 5, 24
 #: Examples that a task learns from in all turns, about.
 EXAMPLES, BATCH, RATE, DECAY = 60_000, 64, 4e-3, 1e-4
-#: Bytes that are worked on at once; their filters' outputs stay in the processor's cache.
-BLOCK = 1 << 12
+#: Bytes that are worked on at once: enough that few calls are made, few enough that the outputs of their filters stay near the processor.
+BLOCK = 1 << 14
 
 #: Byte classes: printable ASCII 1 to 95, other bytes 96, line ends 97, nothing 0; within a candidate larger by ``INSIDE``.
 INSIDE, UNUSED = 98, 196
@@ -160,12 +160,23 @@ def range_max(values: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.nda
     out, length = np.empty((len(begin), values.shape[1]), values.dtype), 1
     for k in range(int(level.max()) + 1):
         own = np.flatnonzero(level == k)
-        out[own] = np.maximum(values.take(begin[own], axis=0), values.take(stop[own] - length, axis=0))
+        if len(own):
+            out[own] = np.maximum(values.take(begin[own], axis=0), values.take(stop[own] - length, axis=0))
         values = np.maximum(values[:-length], values[length:])
         length *= 2
     return out
 
 
+def window_max(values: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
+    """The largest rows of stretches of the same size: of two halves that overlap, each as long as a power of two."""
+    length = 1
+    while 2 * length <= size:
+        values = np.maximum(values[:-length], values[length:])
+        length *= 2
+    out = values.take(begin, axis=0)
+    return np.maximum(out, values.take(begin + size - length, axis=0), out=out)
+
+
 class Network:
     """Embedding, one convolution, the largest output of each filter, and a weighted sum of them."""
 
@@ -228,6 +239,16 @@ class Network:
         out += self.one[4].take(c[4 : 4 + n] + shift, axis=0)
         return out
 
+    def within(self, c: np.ndarray, pair: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The largest of the filters that lie within candidates, whose places there are ``begin`` to ``stop``; only these are looked up."""
+        size = stop - begin
+        first = np.cumsum(size) - size
+        at = np.repeat(begin - first, size) + np.arange(int(size.sum()))
+        own = self.two[INSIDE, 0].take(pair[at], axis=0)
+        own += self.two[INSIDE, 2].take(pair[at + 2], axis=0)
+        own += self.one[4].take(c[at + 4] + INSIDE, axis=0)
+        return range_max(own, first, first + size)
+
     def across(self, c: np.ndarray, pair: np.ndarray, place: np.ndarray, into: bool) -> np.ndarray:
         """The largest of the filters that lie across the start (``into``) or the end of candidates."""
         first, then, most = (0, INSIDE, None) if into else (INSIDE, 0, None)
@@ -252,11 +273,11 @@ class Network:
             else:
                 c = texts.codes[low : end[-1] + AROUND + KERNEL].astype(np.intp)
                 pair, a, b, room = c[:-1] * INSIDE + c[1:], start - low, end - low, AROUND - KERNEL + 1
-                outside, inside = self.outputs(c, pair, 0), self.outputs(c, pair, INSIDE)
+                outside = self.outputs(c, pair, 0)
                 most = np.maximum(self.across(c, pair, a, True), self.across(c, pair, b, False))
                 around = np.concatenate((a - AROUND, b))
-                most = np.maximum(most, range_max(inside, a, b - KERNEL + 1))
-                np.maximum.reduce([most, *range_max(outside, around, around + room).reshape(2, *most.shape)], out=most)
+                np.maximum(most, self.within(c, pair, a, b - KERNEL + 1), out=most)
+                np.maximum.reduce([most, *window_max(outside, around, room).reshape(2, *most.shape)], out=most)
             p = self.arrays
             found[first:last] = np.maximum(most + p["b"], 0) @ p["w"] + p["bias"][0]
             first = last

@@ -93,3 +93,13 @@ def test_weights_are_repetitions():
 def test_no_rows_and_texts_without_secrets(spark):
     assert secrets.fit(empty(spark)) == b""
     assert secrets.fit(frame(spark, [(i, "nothing of that kind here " + "word " * i) for i in range(40)] + [(99, None)])) == b""
+
+
+def test_what_lies_between_candidates_is_not_looked_up_as_a_part_of_one(monkeypatch):
+    """Every byte was, which took most of the time."""
+    texts = secrets.Candidates(*utf8(pa.array(["a " * 300 + "deadbeef " + "b " * 300 + "0123456789ab", "c " * 400 + "something"])))
+    network, looked_up, whole = secrets.Network.fresh(), [], secrets.range_max
+    monkeypatch.setattr(secrets, "range_max", lambda values, begin, stop: looked_up.append(len(values)) or whole(values, begin, stop))
+    got = network.logits(texts)
+    assert len(texts) == 3 and sum(looked_up) == sum(n - secrets.KERNEL + 1 for n in (8, 12, 9))
+    assert np.allclose(got, network.forward(texts.examples(np.arange(3)))["logit"], atol=1e-4)

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from brokerflow.plans.scratch import fits_broadcast, settle_measured
+from brokerflow.plans.scratch import fits_broadcast, settle, settle_measured
 
 #: The column of ``with_repeats``.
 REPEATED = "_repeated"
@@ -28,6 +29,17 @@ def with_repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return found.select(*df.columns, F.coalesce(REPEATED, F.lit(False)).alias(REPEATED))
 
 
+def repeats_apart(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``with_repeats``, with the rows of repeated keys written out, so that what follows is computed for these few and not for all rows twice."""
+    found = with_repeats(df, keys)
+    again = settle(found.where(REPEATED), "again").withColumn(REPEATED, F.lit(True))
+    # Files don't tell that a text is never NULL; whoever counts it would then have to read it.
+    for field in df.schema.fields:
+        if field.dataType == T.StringType() and not field.nullable:
+            again = again.withColumn(field.name, F.coalesce(field.name, F.lit("")))
+    return found.where(~F.col(REPEATED)).withColumn(REPEATED, F.lit(False)).unionByName(again)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order`` values.
 

@@ -152,3 +152,15 @@ def test_rows_are_not_searched_for_unmapped_ones_where_every_layout_is_mapped(sp
     monkeypatch.setattr(mapping, "unmapped_rows", searched)
     tables = tables_after(spark, tmp_path, (0, [policy("P1")]))
     assert tables.read("waiting").count() == 0 and tables.keyed(POLICIES).count() == 1
+
+
+def test_repeated_rows_alone_are_written_out(spark, monkeypatch):
+    """What follows was computed for all rows twice, to keep the repeated ones of the second time."""
+    written, settle = [], upsert.settle
+    monkeypatch.setattr(upsert, "settle", lambda df, name: written.append(settle(df, name)) or written[-1])
+    rows = spark.createDataFrame([("C1", 1), ("C1", 2), ("C2", 3), (None, 4)], "claim_number string, n int")
+    apart = upsert.repeats_apart(rows, ["claim_number"])
+    assert {(r.claim_number, r.n, r[upsert.REPEATED]) for r in apart.collect()} == {("C1", 1, True), ("C1", 2, True), ("C2", 3, False), (None, 4, False)}
+    assert sorted(r.n for r in written[0].collect()) == [1, 2]
+    whole = rows.withColumn("claim_number", F.coalesce("claim_number", F.lit("C3")))
+    assert not upsert.repeats_apart(whole, ["claim_number"]).schema["claim_number"].nullable

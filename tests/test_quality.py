@@ -188,3 +188,17 @@ def test_a_rule_that_only_the_catalog_holds(spark):
     (row,) = quality.check(frame(spark, "policy", {}), rules, AS_OF).collect()
     assert {v.rule_id: v.observed_value for v in row.verdicts if not v.passed} == {"POL_X": "sum_insured=1000.00, premium_amount=100.00"}
     assert row.dq_status == "WARN"
+
+
+def test_promotion_without_verdicts_keeps_what_the_verdicts_let_through(spark):
+    """The star was built from verdict arrays of every record, which no filter passes."""
+    changes = [{}, {"claim_number": " "}, {"claim_number": None}, {"policy_number": ""}, {"claim_amount": None}, {"loss_date": D(2099, 1, 1)},
+               {"reported_date": D(2020, 1, 1)}, {"reported_date": D(2029, 1, 1)}, {"claim_status": None}, {"policy_exists": False}]
+    rows, rules = frame(spark, "claim", *changes), rules_for("claim")
+    verdicts = quality.check(rows, rules, AS_OF)
+    promoted, failing = quality.promoted(rows, rules, AS_OF), quality.failing(rows, rules, AS_OF)
+    assert promoted.columns == rows.columns == failing.columns
+    assert {r.stg_id for r in promoted.collect()} == {r.stg_id for r in quality.promotable(verdicts).collect()} == {"s0", "s7", "s8"}
+    assert {r.stg_id for r in failing.collect()} == {r.stg_id for r in verdicts.where("dq_status <> 'PASS'").collect()}
+    assert "Generate" not in promoted._jdf.queryExecution().optimizedPlan().toString()
+    assert quality.promoted(rows, [], AS_OF).count() == len(changes) and quality.failing(rows, [], AS_OF).count() == 0

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brokerflow.config.rules import rules_for
+from brokerflow.functions.keys import raw_id
 from brokerflow.functions.payload import TEXT_MAP, header_signature
 from brokerflow.operators import mapping, quality, star
 from brokerflow.operators.anomaly import CLAIM_PEERS, moments, score_claims, score_policies
@@ -23,7 +24,7 @@ from brokerflow.plans import views
 from brokerflow.plans.metrics import Catalog
 from brokerflow.plans.scratch import settle
 from brokerflow.sources import testdata
-from brokerflow.sources.envelopes import LANDING, NO_OBJECT, decode, drop_redelivered, route
+from brokerflow.sources.envelopes import LANDING, NO_OBJECT, PLACE, decode, drop_redelivered, route
 
 BATCH = "batch-1"
 #: Columns of policies and customers that the claims of a book carry for those who ask for them.
@@ -36,6 +37,14 @@ def run_time() -> Column:
     return F.lit(testdata.AS_OF).cast("timestamp_ntz")
 
 
+def _signed(decoded: DataFrame) -> DataFrame:
+    """Decoded messages with a map, and so a signature, also where the payload is missing or has no fields."""
+    no_fields = F.when(F.col("payload") == "{}", F.create_map().cast(TEXT_MAP))
+    mapped = decoded.withColumn("payload_map", F.coalesce("payload_map", no_fields))
+    unsigned = F.when(F.size("payload_map") == 0, header_signature(F.array().cast("array<string>")))
+    return mapped.withColumn("header_signature", F.coalesce("header_signature", unsigned))
+
+
 class Book:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -54,14 +63,17 @@ class Book:
     @cached_property
     def landed(self) -> DataFrame:
         """The landing rows as one plan, for queries that read them once. The payload is a map, which nobody has to parse again."""
-        decoded = decode(drop_redelivered(self.messages)).where(~F.col("problem").eqNullSafe(NO_OBJECT))
-        no_fields = F.when(F.col("payload") == "{}", F.create_map().cast(TEXT_MAP))
-        rows = decoded.withColumn("payload_map", F.coalesce("payload_map", no_fields))
-        return rows.select(*[c for c in LANDING if c != "payload"], "payload_map", header_signature(F.map_keys("payload_map")).alias("header_signature"))
+        decoded = _signed(decode(drop_redelivered(self.messages))).where(~F.col("problem").eqNullSafe(NO_OBJECT))
+        return decoded.select(*[c for c in LANDING if c != "payload"], "payload_map", "header_signature")
 
     @cached_property
     def raw(self) -> DataFrame:
-        return settle(self.landed, "raw")
+        """The landing rows as mapping and staging read them. Every message is built and decoded once; its id follows from its place."""
+        place = dict(zip(("kafka_topic", "kafka_partition", "kafka_offset"), PLACE, strict=True))
+        needed = ("broker_code", "record_type", "ingested_at", "payload_map", "header_signature", "problem")
+        held = settle(_signed(decode(self.messages)).withColumnsRenamed(place).select(*PLACE, *needed), "raw")
+        once = drop_redelivered(held, keep=lambda again: settle(again, "again")).where(~F.col("problem").eqNullSafe(NO_OBJECT))
+        return once.select(raw_id(*map(F.col, PLACE)).alias("raw_id"), *needed[:-1])
 
     @cached_property
     def registry(self) -> DataFrame:

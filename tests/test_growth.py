@@ -9,12 +9,12 @@ from brokerflow.checks import queries
 from brokerflow.checks.book import Book
 from brokerflow.functions.payload import is_object_text
 from brokerflow.operators import joins, mapping, quality, star, upsert
-from brokerflow.plans import landing, views
-from brokerflow.plans.batch import POLICIES
+from brokerflow.plans import landing, scratch, views
+from brokerflow.plans.batch import POLICIES, BatchRun, run_batch
 from brokerflow.plans.tables import Tables
 from brokerflow.sources import envelopes as ev
 from tests.test_envelopes import log
-from tests.test_runs import policy, tables_after
+from tests.test_runs import AS_OF, policy, tables_after
 from tests.test_star import CLAIM_SCHEMA, claim
 
 
@@ -164,3 +164,62 @@ def test_repeated_rows_alone_are_written_out(spark, monkeypatch):
     assert sorted(r.n for r in written[0].collect()) == [1, 2]
     whole = rows.withColumn("claim_number", F.coalesce("claim_number", F.lit("C3")))
     assert not upsert.repeats_apart(whole, ["claim_number"]).schema["claim_number"].nullable
+
+
+def scratch_names(spark):
+    """The names of all folders of stored intermediate tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch.shared_folder(spark)}/*/*")
+    return [s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []]
+
+
+def test_messages_are_not_held_beyond_staging(spark, tmp_path, monkeypatch):
+    seen, promote = [], BatchRun.promote_policies
+    monkeypatch.setattr(BatchRun, "promote_policies", lambda run, *a, **b: seen.append([n for n in scratch_names(spark) if n.startswith(("decoded-", "again-", "claims-"))]) or promote(run, *a, **b))
+    before = set(scratch_names(spark))
+    run_batch(spark, Tables(spark, str(tmp_path)), 0, log(spark, [policy("P1")]), AS_OF)
+    assert [n.split("-")[0] for n in set(seen[0]) - before] == ["claims"]
+
+
+def test_stored_tables_take_little_room(spark, tmp_path):
+    """Stored tables are zstd files, and the shuffle files of a write don't outlive it."""
+    stored = scratch.settle(spark.range(100).repartition(3, "id"), "small")
+    assert all(".zstd.parquet" in f for f in stored.inputFiles())
+    Tables(spark, str(tmp_path))._write(spark.range(10), "t/batch_id=0")
+    assert list((tmp_path / "t").rglob("*.zstd.parquet")) and spark.conf.get(scratch.CLEANUP) == "true"
+
+
+def test_raw_rows_are_stored_without_what_follows_from_them(spark):
+    texts = ["junk", "{}", '{"payload": {}}', '{"payload": [1]}', '{"record_type": "claim", "payload": {"a": 1.50}}']
+    book = Book(spark, "")
+    messages = log(spark, texts)
+    book.__dict__["messages"] = messages.unionByName(messages.where("offset = 4"))
+    columns = ("raw_id", "broker_code", "record_type", "ingested_at", "payload_map", "header_signature")
+    assert book.raw.columns == list(columns)
+    assert sorted(map(str, book.raw.collect())) == sorted(map(str, book.landed.select(*columns).collect()))
+    stored = spark.read.parquet(*[f for f in book.raw.inputFiles() if "/raw-" in f])
+    assert not {"raw_id", "payload", "message_key"} & set(stored.columns)
+
+
+def test_no_window_holds_a_whole_partition_of_the_log(spark, monkeypatch):
+    """Two thousand offsets with gaps: ranges are put together by stretch, and across stretches only those at their ends."""
+    sizes, islands = [], landing.islands
+
+    def watched(ranges, by):
+        sizes.append(max(r["count"] for r in ranges.groupBy(*by).count().collect()))
+        return islands(ranges, by)
+
+    monkeypatch.setattr(landing, "STRETCH", 64)
+    monkeypatch.setattr(landing, "islands", watched)
+    gaps = spark.range(0, 6000, 3).selectExpr("'t' AS topic", "0 AS partition", "id AS offset")
+    held = landing.ranges_of(gaps)
+    more = landing.with_places(held, gaps.withColumn("offset", F.col("offset") + 1))
+    assert max(sizes) < 200 and held.count() == 2000
+    assert sorted((r["first"], r["last"]) for r in more.collect()) == [(i, i + 1) for i in range(0, 6000, 3)]
+
+
+def test_the_copy_a_log_is_written_from_is_deleted(spark):
+    book, before = Book(spark, ""), set(scratch_names(spark))
+    book.deliveries = lambda n: [scratch.settle(log(spark, ["{}"]).limit(0 if i else 1), "deliveries") for i in range(n)]
+    path, files = queries._delivered_log(book)
+    assert spark.read.parquet(path).count() == 1 and files == queries.FILES_PER_PART
+    assert not [n for n in set(scratch_names(spark)) - before if n.startswith("deliveries-")]
